@@ -1,32 +1,12 @@
 """The query catalogue: one callable per operator family.
 
 Each entry takes ``(spark, base_dir)`` and returns a lazy DataFrame over the
-driver tables; :mod:`dealwise.plans.oracle` holds the matching DuckDB SQL.
+driver tables; the registry also keeps the matching DuckDB SQL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dealwise.plans import q_bi, q_fields  # noqa: F401  (registration)
+from dealwise.plans.registry import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-from dealwise.operators.bi import build_bi_fact
-from dealwise.plans import crm_views as v
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def register(name: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
-@register("bi_fact")
-def q_bi_fact(spark: SparkSession, base: str) -> DataFrame:
-    """B3 with P1 J6 J7 B1 B2 A8 W2: deals ⟕ contacts ⟕ companies."""
-    roll = v.order_rollup(spark, base)
-    return build_bi_fact(v.deals(spark, base, roll), v.contacts(spark, base),
-                         v.companies(spark, base))
+__all__ = ["QUERIES", "ORACLE"]

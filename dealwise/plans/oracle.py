@@ -72,7 +72,3 @@ FROM deals d
 LEFT JOIN people p ON p.id = d.person_id
 LEFT JOIN orgs c ON c.id = d.org_id
 """
-
-ORACLE: dict[str, str] = {
-    "bi_fact": BI_FACT,
-}
