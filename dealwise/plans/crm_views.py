@@ -87,3 +87,60 @@ def companies(spark: SparkSession, base: str) -> DataFrame:
     n = read_table(spark, base, "nation")
     return n.select(F.col("n_nationkey").cast("bigint").alias("id"),
                     F.col("n_name").alias("company_name"))
+
+
+PAGE_SIZE = 500
+
+
+def _jq(c: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+
+
+def change_log_item(e: DataFrame) -> Column:
+    """One change-log item per event, as JSON text, in one of three layouts.
+
+    field_key is ``stage_id`` except for ``view`` events; new_value is the
+    event's ``props.k`` as a number, as a string (every third event), or an
+    empty string (even ``signup`` events); old layout for even ids, new
+    layout (``details``) for odd ids, and no ``data`` wrapper every 7th id.
+    """
+    i = F.col("event_id")
+    k = F.try_variant_get(F.parse_json("props"), "$.k", "bigint").cast("string")
+    fk = F.when(F.col("event_type") == "view", F.lit('"title"')).otherwise(F.lit('"stage_id"'))
+    nv = (F.when((F.col("event_type") == "signup") & (i % 2 == 0), F.lit('""'))
+           .when(i % 3 == 1, F.concat(F.lit('"'), k, F.lit('"')))
+           .otherwise(k))
+    uid = (i % 50).cast("string")
+    ts = _jq(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    old = F.concat(F.lit('{"field_key":'), fk, F.lit(',"new_value":'), nv, F.lit(',"user_id":'), uid, F.lit("}"))
+    new = F.concat(F.lit('{"user_id":'), uid, F.lit(',"details":{"field_key":'), fk,
+                   F.lit(',"new_value":'), nv, F.lit("}}"))
+    payload = F.when(i % 2 == 0, old).otherwise(new)
+    bare = F.concat(F.lit('{"timestamp":'), ts, F.lit(',"field_key":'), fk, F.lit(',"new_value":'), nv,
+                    F.lit(',"user_id":'), uid, F.lit("}"))
+    wrapped = F.concat(F.lit('{"timestamp":'), ts, F.lit(',"data":'), payload, F.lit("}"))
+    return F.when(i % 7 == 0, bare).otherwise(wrapped)
+
+
+def change_log_pages(spark: SparkSession, base: str) -> DataFrame:
+    """S8 landing: ``(deal_id, page, items)`` with at most PAGE_SIZE items a page.
+
+    Pages group a deal's items by ``event_id div PAGE_SIZE``, so every array
+    is bounded however many changes one deal has.
+    """
+    e = read_table(spark, base, "events")
+    return (e.select(F.col("user_id").alias("deal_id"),
+                     F.floor(F.col("event_id") / PAGE_SIZE).alias("page"),
+                     F.col("event_id"), change_log_item(e).alias("item"))
+             .groupBy("deal_id", "page")
+             .agg(F.sort_array(F.collect_list(F.struct("event_id", "item"))).alias("items"))
+             .select("deal_id", "page", F.col("items.item").alias("items")))
+
+
+def stage_deals(spark: SparkSession, base: str) -> DataFrame:
+    """Deals with a current stage (NULL every 13th) for the history queries."""
+    o = read_table(spark, base, "orders")
+    return o.select(F.col("o_orderkey").alias("id"),
+                    F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("bigint"))
+                     .otherwise(F.col("o_orderkey") % 25).alias("stage_id"),
+                    F.col("o_orderdate").alias("add_time"))
