@@ -33,41 +33,62 @@ def _truthy(v: Column) -> Column:
              .otherwise(F.lit(True)))
 
 
+# One typed view of a change-log item: a single variant traversal per item;
+# every later step reads plain struct fields.
+ITEM_SCHEMA = ("struct<timestamp:string, field_key:string, new_value:variant, user_id:variant,"
+               " details:struct<field_key:string, new_value:variant>,"
+               " data:struct<field_key:string, new_value:variant, user_id:variant,"
+               " details:struct<field_key:string, new_value:variant>>>")
+
+
 def change_items(pages: DataFrame, deal_col: str = "deal_id", items_col: str = "items") -> DataFrame:
-    """One row per change-log item ``(deal_id, pos, item VARIANT)``."""
-    exploded = pages.select(F.col(deal_col).alias("deal_id"),
-                            *[c for c in pages.columns if c == "page"],
-                            F.posexplode(items_col).alias("pos", "item"))
-    if isinstance(exploded.schema["item"].dataType, StringType):
-        exploded = exploded.withColumn("item", F.try_parse_json("item"))
-    return exploded
+    """One row per change-log item ``(deal_id, [page,] pos, it)``.
+
+    Each item (JSON text or VARIANT) is decoded to :data:`ITEM_SCHEMA`
+    *inside* the explode: the decoded value is generator output, so later
+    filters cannot be pushed below it and re-run the decoding per predicate.
+    """
+    elem = pages.schema[items_col].dataType.elementType
+    if isinstance(elem, StringType):
+        typed = F.transform(items_col, lambda x: F.try_variant_get(F.try_parse_json(x), "$", ITEM_SCHEMA))
+    else:
+        typed = F.transform(items_col, lambda x: F.try_variant_get(x, "$", ITEM_SCHEMA))
+    return pages.select(F.col(deal_col).alias("deal_id"),
+                        *[c for c in pages.columns if c == "page"],
+                        F.posexplode(typed).alias("pos", "it"))
 
 
 def stage_changes(items: DataFrame, with_rejects: bool = False):
     """Stage changes in either layout; falsy ``new_value`` dropped.
 
     Old layout: ``payload.field_key == 'stage_id'``; new layout:
-    ``payload.details.field_key``.  ``payload`` is ``item.data`` when present
-    (and truthy), else the item itself.  A non-integer ``new_value`` does
-    not fail the job (D23): with ``with_rejects`` it is returned aside.
+    ``payload.details.field_key``.  ``payload`` is ``item.data`` when present,
+    else the item itself.  A non-integer ``new_value`` does not fail the job
+    (D23): with ``with_rejects`` those rows are returned aside.
     """
-    it = F.col("item")
-    data = P.field(it, "data")
-    payload = F.when(data.isNotNull() & ~F.is_variant_null(data) & (P.vstr(data) != "{}"), data) \
-               .otherwise(it)
-    old_key = P.vstr(payload, "$.field_key")
-    details = P.field(payload, "details")
-    is_old = old_key == STAGE_KEY
-    is_new = ~F.coalesce(is_old, F.lit(False)) & (P.vstr(details, "$.field_key") == STAGE_KEY)
-    new_value = F.when(is_old, P.field(payload, "new_value")).when(is_new, P.field(details, "new_value"))
-    rows = items.select(
+    typed_item = items
+    it = F.col("it")
+    has_data = it["data"].isNotNull()
+
+    def pay(field: str) -> Column:
+        return F.when(has_data, it["data"][field]).otherwise(it[field])
+
+    old_key = pay("field_key")
+    details = pay("details")
+    is_old = F.coalesce(old_key == STAGE_KEY, F.lit(False))
+    is_new = ~is_old & F.coalesce(details["field_key"] == STAGE_KEY, F.lit(False))
+    flat = typed_item.select(
         "deal_id",
-        new_value.alias("nv"),
-        P.vget(payload, "$.user_id", "bigint").alias("user_id"),
-        F.try_to_timestamp(P.vstr(it, "$.timestamp")).alias("change_time"),
-    ).filter(_truthy(F.col("nv")))
-    typed = rows.select("deal_id", P.vget(F.col("nv"), "$", "bigint").alias(STAGE_KEY),
-                        "change_time", "user_id", P.vstr(F.col("nv")).alias("raw_value"))
+        F.when(is_old, pay("new_value")).when(is_new, details["new_value"]).alias("nv"),
+        (is_old | is_new).alias("is_stage"),
+        pay("user_id").alias("uid"),
+        F.try_to_timestamp(it["timestamp"]).alias("change_time"))
+    rows = flat.filter(F.col("is_stage")).select(
+        "deal_id", "nv", "change_time", P.vget(F.col("uid"), "$", "bigint").alias("user_id"),
+        _truthy(F.col("nv")).alias("truthy"))
+    typed = rows.filter("truthy").select(
+        "deal_id", P.vget(F.col("nv"), "$", "bigint").alias(STAGE_KEY), "change_time", "user_id",
+        P.vstr(F.col("nv")).alias("raw_value"))
     good = typed.filter(F.col(STAGE_KEY).isNotNull()).drop("raw_value")
     if not with_rejects:
         return good
