@@ -6,7 +6,7 @@ driver tables; the registry also keeps the matching DuckDB SQL.
 
 from __future__ import annotations
 
-from dealwise.plans import q_bi, q_enrich, q_fields, q_history, q_tables  # noqa: F401  (registration)
+from dealwise.plans import q_bi, q_enrich, q_fields, q_history, q_sources, q_tables  # noqa: F401  (registration)
 from dealwise.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
