@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from dealwise.functions.once import evaluate_once
+
 
 @dataclass(frozen=True)
 class FieldRule:
@@ -39,7 +41,8 @@ def extra_fields(body: Column | str, known: Sequence[str]) -> Column:
 def validate_stage(df: DataFrame, body: str, rules: Sequence[FieldRule],
                    keep: Sequence[str] = ()) -> DataFrame:
     """One projection: typed fields + ``errors`` array (+ the raw body)."""
-    rec = _record(df, body)
+    df = evaluate_once(df, __vrec=_record(df, body))
+    rec = F.col("__vrec")
     typed, errs = [], []
     for r in rules:
         path = f"$.{r.key or r.name}"
