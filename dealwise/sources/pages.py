@@ -23,7 +23,11 @@ def scan_pages(pages: DataFrame, body: str = "value", page_col: str | None = Non
     scan uses ``(input file, offset in file)`` order from the landing.
     """
     env = F.from_json(F.col(body), ENVELOPE)
-    page = F.col(page_col) if page_col else F.monotonically_increasing_id()
+    # without a page column, the page's own position (offset start or cursor)
+    meta = env["additional_data"]
+    page = F.col(page_col) if page_col else F.coalesce(
+        F.try_variant_get(meta, "$.pagination.start", "bigint"),
+        F.crc32(F.coalesce(F.try_variant_get(meta, "$.next_cursor", "string"), F.lit(""))))
     parsed = pages.select(page.alias("page"), env["data"].alias("data"))
     ok = parsed.filter(F.col("data").isNotNull() & (F.size("data") > 0))
     return ok.select("page", F.posexplode("data").alias("ordinal", "record"))
