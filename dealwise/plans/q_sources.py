@@ -56,7 +56,7 @@ def q_offset_pages(spark: SparkSession, base: str) -> DataFrame:
     total = read_table(spark, base, "orders").count()
     df = (spark.read.format("offset_pages").option("landing", path).option("endpoint", "/deals")
           .option("total", str(total)).option("numPartitions", "8").load())
-    return _typed(df, "record")
+    return _typed(PG.scan_pages(df, "body"), "record")
 
 
 @register("cursor_pages", ORDERS_SQL)
@@ -65,7 +65,7 @@ def q_cursor_pages(spark: SparkSession, base: str) -> DataFrame:
     path = _landing(spark, base, cursor=True)
     register_sources(spark)
     df = spark.read.format("cursor_pages").option("landing", path).option("endpoint", "/deals").load()
-    return _typed(df, "record")
+    return _typed(PG.scan_pages(df, "body"), "record")
 
 
 @register("detail_scan", """

@@ -32,7 +32,10 @@ from collections.abc import Iterator
 from pyspark.sql.datasource import (DataSource, DataSourceReader, InputPartition,
                                     SimpleDataSourceStreamReader)
 
-SCHEMA = "endpoint string, page_key string, ordinal int, record string"
+# One row per fetched page: the envelope is split into records by Spark
+# (``from_json`` + ``explode`` in the JVM, see ``sources.pages.scan_pages``),
+# so Python only walks the pagination.
+SCHEMA = "endpoint string, page_key string, body string"
 DEFAULT_LIMIT = 500  # Fixed value: the API's default page size.
 
 
@@ -63,8 +66,8 @@ def landing_fetcher(endpoint: str, params: dict) -> dict:
 
 
 def _rows(endpoint: str, key: str, page: dict) -> Iterator[tuple]:
-    for i, rec in enumerate(page.get("data") or []):
-        yield (endpoint, key, i, json.dumps(rec, separators=(",", ":"), sort_keys=False))
+    if page.get("data"):
+        yield (endpoint, key, json.dumps(page, separators=(",", ":")))
 
 
 def walk_offset(fetch, endpoint: str, opts: dict, start: int, end: int | None) -> Iterator[tuple]:

@@ -77,10 +77,10 @@ def test_offset_walk_semantics():
                                                                  "next_start": 10}}},
             10: {"data": [], "additional_data": {"pagination": {"more_items_in_collection": True}}}}
     rows = list(walk_offset(lambda ep, p: book[p["start"]], "/x", {}, 0, None))
-    assert [json.loads(r[3]) for r in rows] == [1, 2, 3]
+    assert [x for r in rows for x in json.loads(r[2])["data"]] == [1, 2, 3]
     chain = {None: {"data": [1], "additional_data": {"next_cursor": "b"}}, "b": {"data": [2], "additional_data": {}}}
     rows = list(walk_cursor(lambda ep, p: chain[p.get("cursor")], "/x", {}, None))
-    assert [json.loads(r[3]) for r in rows] == [1, 2]
+    assert [x for r in rows for x in json.loads(r[2])["data"]] == [1, 2]
 
 
 def test_stream_backfill_resumes_from_checkpoint(spark):
