@@ -346,3 +346,23 @@ def normalize_schema(df: DataFrame, pk: Sequence[str], core: Sequence[str],
     head = [c for c in list(dict.fromkeys(list(pk) + list(core)))]
     tail = sorted(c for c in cols if c not in head)
     return df.select(*[cols[c].alias(c) for c in head + tail])
+
+
+def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The narrowest type that holds every value of each VARIANT column.
+
+    One aggregate (``schema_of_variant_agg``) over the data; the result is a
+    handful of type names brought to the driver.
+    """
+    row = df.agg(*[F.schema_of_variant_agg(F.col(c)).alias(c) for c in columns]).first()
+    out = {}
+    for c in columns:
+        t = (row[c] or "STRING").lower()
+        out[c] = "string" if t.startswith(("object", "array", "void")) else t
+    return out
+
+
+def cast_inferred(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Apply :func:`infer_types` results (VARIANT -> typed column)."""
+    return df.select(*[F.try_variant_get(F.col(c), "$", types[c]).alias(c) if c in types else F.col(c)
+                       for c in df.columns])

@@ -70,6 +70,10 @@ FROM orders
 """)
 def q_entity_sync_deals(spark: SparkSession, base: str) -> DataFrame:
     """C8 for deals: v1-style custom fields as top-level hash keys."""
+    return _run(spark, raw_deals(spark, base), DEAL)
+
+
+def raw_deals(spark: SparkSession, base: str) -> DataFrame:
     o = read_table(spark, base, "orders")
     status = (F.when(F.col("o_orderstatus") == "O", "open").when(F.col("o_orderstatus") == "F", "won")
                .otherwise("lost"))
@@ -83,7 +87,7 @@ def q_entity_sync_deals(spark: SparkSession, base: str) -> DataFrame:
         F.struct((F.col("o_totalprice") / 2).alias("value"), F.lit("BRL").alias("currency")).alias(K_VALOR),
         F.substring("o_orderpriority", 1, 1).alias(K_PRIOR),
         F.col("o_orderpriority").alias(K_ORIGEM))
-    return _run(spark, raw, DEAL)
+    return raw
 
 
 # ----------------------------------------------------------------- persons
@@ -115,6 +119,10 @@ FROM customer
 """)
 def q_entity_sync_persons(spark: SparkSession, base: str) -> DataFrame:
     """C8 for persons: contact-list handlers (X16) and nested custom fields (v2)."""
+    return _run(spark, raw_persons(spark, base), PERSON)
+
+
+def raw_persons(spark: SparkSession, base: str) -> DataFrame:
     c = read_table(spark, base, "customer")
     k = F.col("c_custkey")
     minute = F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -127,7 +135,7 @@ def q_entity_sync_persons(spark: SparkSession, base: str) -> DataFrame:
         _iso(F.timestamp_add("MINUTE", k, minute)).alias("addTime"),
         _iso(F.timestamp_add("MINUTE", k, F.timestamp_add("DAY", F.lit(1), minute))).alias("updateTime"),
         F.struct(F.col("c_acctbal").alias("k4"), F.col("c_mktsegment").alias("k5")).alias("customFields"))
-    return _run(spark, raw, PERSON)
+    return raw
 
 
 # ------------------------------------------------------------------- users
@@ -268,6 +276,10 @@ FROM nation
 """)
 def q_entity_sync_organizations(spark: SparkSession, base: str) -> DataFrame:
     """C8 for organizations: object-or-scalar FK (V6) and address handler."""
+    return _run(spark, raw_organizations(spark, base), ORG)
+
+
+def raw_organizations(spark: SparkSession, base: str) -> DataFrame:
     n = read_table(spark, base, "nation")
     k = F.col("n_nationkey")
     owner = F.when(k % 2 == 0, F.to_json(F.struct((F.col("n_regionkey") + 1).alias("id"),
@@ -278,7 +290,7 @@ def q_entity_sync_organizations(spark: SparkSession, base: str) -> DataFrame:
     raw = n.select(k.cast("bigint").alias("id"), F.col("n_name").alias("name"),
                    F.parse_json(owner).alias("ownerId"),
                    F.parse_json(F.regexp_replace(addr, r"\]$", "")).alias("address"))
-    return _run(spark, raw, ORG)
+    return raw
 
 
 # ---------------------------------------------------------- activity types
