@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import MapType, StringType
 
 from dealwise.functions.once import evaluate_once
 
@@ -31,6 +31,14 @@ def _record(df: DataFrame, body: str) -> Column:
     return F.try_parse_json(c) if isinstance(df.schema[body].dataType, StringType) else c
 
 
+def _get(rec: Column, key: str, typ: str, is_map: bool) -> Column:
+    """A field of a record held as VARIANT or as ``map<string,variant>``."""
+    if is_map:
+        raw = F.try_element_at(rec, F.lit(key))
+        return raw if typ == "variant" else F.try_variant_get(raw, "$", typ)
+    return F.try_variant_get(rec, f"$.{key}", typ)
+
+
 def extra_fields(body: Column | str, known: Sequence[str]) -> Column:
     """The record's unknown top-level keys as ``map<string,variant>``."""
     c = F.col(body) if isinstance(body, str) else body
@@ -40,23 +48,35 @@ def extra_fields(body: Column | str, known: Sequence[str]) -> Column:
 
 def validate_stage(df: DataFrame, body: str, rules: Sequence[FieldRule],
                    keep: Sequence[str] = ()) -> DataFrame:
-    """One projection: typed fields + ``errors`` array (+ the raw body)."""
-    df = evaluate_once(df, __vrec=_record(df, body))
-    rec = F.col("__vrec")
-    typed, errs = [], []
+    """Typed fields + ``errors`` array (+ the raw body as ``__body``).
+
+    Field values and presence flags are produced once per row as generator
+    output, so the error checks and any later filter on ``errors`` read
+    plain columns instead of re-running the lookups and casts.
+    """
+    is_map = isinstance(df.schema[body].dataType, MapType)
+    if is_map:
+        rec = F.col(body)
+    else:
+        df = evaluate_once(df, __vrec=_record(df, body))
+        rec = F.col("__vrec")
+    fields: dict[str, Column] = {}
+    for r in rules:
+        key = r.key or r.name
+        raw = _get(rec, key, "variant", is_map)
+        fields[r.name] = _get(rec, key, r.type, is_map)
+        fields[f"__p_{r.name}"] = raw.isNotNull() & ~F.is_variant_null(raw)
+    fields["__bad"] = F.lit(False) if is_map else (rec.isNull() & F.col(body).isNotNull())
+    staged = evaluate_once(df, **fields)
+    errs = []
     for r in rules:
-        path = f"$.{r.key or r.name}"
-        raw = F.try_variant_get(rec, path, "variant")
-        val = F.try_variant_get(rec, path, r.type)
-        absent = raw.isNull() | F.is_variant_null(raw)
-        e = F.when(absent, F.lit(f"{r.name}:missing") if r.required else F.lit(None)) \
-             .when(val.isNull(), F.lit(f"{r.name}:{r.type}"))
-        typed.append(val.alias(r.name))
-        errs.append(e)
+        present, val = F.col(f"__p_{r.name}"), F.col(r.name)
+        errs.append(F.when(~present, F.lit(f"{r.name}:missing") if r.required else F.lit(None))
+                     .when(val.isNull(), F.lit(f"{r.name}:{r.type}")))
     errors = F.filter(F.array(*errs), lambda x: x.isNotNull())
-    bad_json = rec.isNull() & F.col(body).isNotNull()
-    errors = F.when(bad_json, F.array(F.lit("record:json"))).otherwise(errors)
-    return df.select(*keep, *typed, errors.alias("errors"), F.col(body).alias("__body"))
+    errors = F.when(F.col("__bad"), F.array(F.lit("record:json"))).otherwise(errors)
+    return staged.select(*keep, *[r.name for r in rules], errors.alias("errors"),
+                         F.col(body).alias("__body"))
 
 
 def validate_records(df: DataFrame, body: str, rules: Sequence[FieldRule],

@@ -32,10 +32,13 @@ CAMEL = "(?<!^)(?=[A-Z])"
 
 
 def snake_keys(record: Column) -> Column:
-    """V12 on data: top-level keys ``dealTitle`` -> ``deal_title`` (VARIANT in, VARIANT out)."""
+    """V12 on data: top-level keys ``dealTitle`` -> ``deal_title``.
+
+    VARIANT record in, ``map<string,variant>`` out (no new VARIANT is built;
+    fields are then read with map lookups).
+    """
     m = F.try_variant_get(record, "$", "map<string,variant>")
-    renamed = F.transform_keys(m, lambda k, _: F.lower(F.regexp_replace(k, CAMEL, "_")))
-    return F.to_variant_object(renamed)
+    return F.transform_keys(m, lambda k, _: F.lower(F.regexp_replace(k, CAMEL, "_")))
 
 
 @dataclass(frozen=True)
@@ -66,10 +69,10 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record"
     rejects = staged.filter(F.size("errors") > 0).select("page", "ordinal", "__body", "errors")
     valid = staged.filter(F.size("errors") == 0).drop("errors")
     known = {r.key or r.name for r in entity.fields}
-    rec = F.col("__body")
-    raw_map = F.try_variant_get(rec, "$", "map<string,variant>")
+    raw_map = F.col("__body")
     extras = F.map_filter(raw_map, lambda k, _: ~k.isin(*known, "custom_fields"))
-    nested = F.coalesce(F.try_variant_get(rec, "$.custom_fields", "map<string,variant>"),
+    nested = F.coalesce(F.try_variant_get(F.try_element_at(raw_map, F.lit("custom_fields")), "$",
+                                          "map<string,variant>"),
                         F.create_map().cast("map<string,variant>"))
     # custom fields may arrive nested (v2) or as top-level keys (v1); nested wins
     cf = F.map_concat(F.map_filter(extras, lambda k, _: ~F.array_contains(F.map_keys(nested), k)), nested)
