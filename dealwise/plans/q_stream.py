@@ -25,6 +25,10 @@ from dealwise.streaming.backfill import stream_backfill
 from dealwise.streaming.state import get_sync_state, save_sync_state
 
 
+# Fixed value (reference limit): rows per backfill run.
+ACTIVITY_BUDGET = 100_000
+
+
 def _drop(pages: DataFrame, path: str, files: int = 4) -> None:
     pages.select("value").repartition(files).write.mode("overwrite").text(path)
 
@@ -75,3 +79,25 @@ def q_micro_batch_upsert(spark: SparkSession, base: str) -> DataFrame:
     stream_backfill(spark, f"{root}/landing/*", "value string", handle, f"{root}/checkpoint",
                     files_per_batch=4, fmt="text")
     return read_synced(spark, f"{root}/tables", ACTIVITY)
+
+
+@register("paged_stream_backfill", ORDERS_SQL)
+def q_paged_stream_backfill(spark: SparkSession, base: str) -> DataFrame:
+    """The offset page source as a stream, 100,000-row budget per run,
+    drained by repeated AvailableNow runs on one checkpoint, upserted per batch."""
+    from dealwise.plans.q_sources import _landing
+    from dealwise.sources.paged import register_sources
+    from dealwise.streaming.backfill import drain_paged_stream
+    root = scratch_path(spark, f"stream/paged-{uuid.uuid4().hex}")
+    landing = _landing(spark, base, cursor=False)
+    register_sources(spark)
+    table = f"{root}/table"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = scan_pages(batch, "body").select(*record_fields(F.col("record"), ORDER_FIELDS))
+        upsert_table(batch.sparkSession, table, rows, ["o_orderkey"], buckets=8, order=[F.lit(0)])
+
+    drain_paged_stream(spark, "offset_pages",
+                       {"landing": landing, "endpoint": "/deals", "maxRowsPerBatch": str(ACTIVITY_BUDGET)},
+                       handle, f"{root}/checkpoint")
+    return read_bucketed(spark, table).drop(BUCKET)

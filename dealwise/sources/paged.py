@@ -39,7 +39,18 @@ SCHEMA = "endpoint string, page_key string, body string"
 DEFAULT_LIMIT = 500  # Fixed value: the API's default page size.
 
 
-def _load(spec: str):
+def _opt(options, name: str, default=None):
+    """Option lookup ignoring case (the data source API lowercases keys)."""
+    for k, v in options.items():
+        if k.lower() == name.lower():
+            return v
+    return default
+
+
+def _load(spec: str | None):
+    """The fetcher named ``module:function`` (default: :func:`landing_fetcher`)."""
+    if not spec:
+        return landing_fetcher
     mod, fn = spec.split(":")
     return getattr(importlib.import_module(mod), fn)
 
@@ -111,11 +122,11 @@ class OffsetPagesReader(DataSourceReader):
 
     def partitions(self):
         endpoint = self.options.get("endpoint", "")
-        total = self.options.get("total")
+        total = _opt(self.options, "total")
         if total is None:
             return [_Range(endpoint, 0, None)]
         limit = int(self.options.get("limit", DEFAULT_LIMIT))
-        n = max(1, int(self.options.get("numPartitions", 8)))
+        n = max(1, int(_opt(self.options, "numPartitions", 8)))
         pages = -(-int(total) // limit)
         per = -(-pages // n)
         out = []
@@ -125,7 +136,7 @@ class OffsetPagesReader(DataSourceReader):
         return out
 
     def read(self, partition: _Range):
-        fetch = _load(self.options.get("fetcher", "dealwise.sources.paged:landing_fetcher"))
+        fetch = _load(_opt(self.options, "fetcher"))
         yield from walk_offset(fetch, partition.endpoint, self.options, partition.start, partition.end)
 
 
@@ -134,16 +145,21 @@ class CursorPagesReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self):
-        eps = [e for e in self.options.get("endpoints", self.options.get("endpoint", "")).split(",")]
+        eps = [e for e in _opt(self.options, "endpoints", _opt(self.options, "endpoint", "")).split(",")]
         return [_Range(e, 0, None) for e in eps]
 
     def read(self, partition: _Range):
-        fetch = _load(self.options.get("fetcher", "dealwise.sources.paged:landing_fetcher"))
+        fetch = _load(_opt(self.options, "fetcher"))
         yield from walk_cursor(fetch, partition.endpoint, self.options, self.options.get("cursor"))
 
 
 class OffsetPagesStream(SimpleDataSourceStreamReader):
-    """One page per ``read``; offset ``{"start": n, "done": bool}``."""
+    """Offset pagination as a stream; offset ``{"start": n, "done": bool}``.
+
+    One ``read`` fetches whole pages until ``maxRowsPerBatch`` records are
+    reached (the run's row budget, T3) or the collection ends; the next
+    micro-batch (or the next run, from the checkpoint) resumes at ``start``.
+    """
 
     def __init__(self, options: dict):
         self.options = dict(options)
@@ -154,20 +170,26 @@ class OffsetPagesStream(SimpleDataSourceStreamReader):
     def read(self, start: dict):
         if start.get("done"):
             return iter([]), start
-        fetch = _load(self.options.get("fetcher", "dealwise.sources.paged:landing_fetcher"))
+        fetch = _load(_opt(self.options, "fetcher"))
         endpoint = self.options.get("endpoint", "")
-        s = int(start["start"])
-        page = fetch(endpoint, {**self.options, "start": s,
-                                "limit": int(self.options.get("limit", DEFAULT_LIMIT))})
-        data = page.get("data")
-        if not isinstance(data, list):
-            return iter([]), {"start": s, "done": True}
-        rows = list(_rows(endpoint, str(s), page))
-        pag = (page.get("additional_data") or {}).get("pagination") or {}
-        more = bool(pag.get("more_items_in_collection", False)) and bool(data)
-        nxt = pag.get("next_start")
-        nxt = int(nxt) if nxt is not None else s + len(data)
-        return iter(rows), {"start": nxt if more else s, "done": not more}
+        limit = int(self.options.get("limit", DEFAULT_LIMIT))
+        budget = int(_opt(self.options, "maxRowsPerBatch", limit))
+        s, rows, n, done = int(start["start"]), [], 0, False
+        while n < budget:
+            page = fetch(endpoint, {**self.options, "start": s, "limit": limit})
+            data = page.get("data")
+            if not isinstance(data, list):
+                done = True
+                break
+            rows.extend(_rows(endpoint, str(s), page))
+            n += len(data)
+            pag = (page.get("additional_data") or {}).get("pagination") or {}
+            if not pag.get("more_items_in_collection", False) or not data:
+                done = True
+                break
+            nxt = pag.get("next_start")
+            s = int(nxt) if nxt is not None else s + len(data)
+        return iter(rows), {"start": s, "done": done}
 
     def readBetweenOffsets(self, start: dict, end: dict):
         rows, _ = self.read(start)
@@ -202,8 +224,15 @@ class CursorPagesSource(DataSource):
 
 
 def register_sources(spark) -> None:
-    """Make ``offset_pages`` and ``cursor_pages`` available to ``spark.read.format``."""
+    """Make ``offset_pages`` and ``cursor_pages`` available to ``spark.read.format``.
+
+    The reader classes are pickled by value: the streaming source runs in a
+    planner process that does not see files added with ``addPyFile``.
+    """
+    import sys
+    from pyspark import cloudpickle
     from dealwise.session import ship_package
     ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(OffsetPagesSource)
     spark.dataSource.register(CursorPagesSource)

@@ -56,3 +56,31 @@ def stream_backfill(spark: SparkSession, landing: str, schema: StructType | str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(seen)
+
+
+def drain_paged_stream(spark: SparkSession, fmt: str, options: dict,
+                       handle_batch: Callable[[DataFrame, int], None], checkpoint: str,
+                       max_runs: int = 10_000) -> int:
+    """C5 for page sources: repeat ``AvailableNow`` runs until one brings no rows.
+
+    A simple stream reader performs one ``read`` per run, so each run moves
+    the cursor by one row budget; the checkpoint carries it to the next run
+    (and across restarts).  Returns the number of runs that brought rows.
+    """
+    runs = 0
+    for _ in range(max_runs):
+        got = []
+
+        def _each(df: DataFrame, batch_id: int) -> None:
+            if not df.isEmpty():
+                got.append(batch_id)
+                handle_batch(df, batch_id)
+
+        q = (spark.readStream.format(fmt).options(**options).load()
+             .writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        if not got:
+            return runs
+        runs += 1
+    return runs

@@ -95,3 +95,24 @@ def test_stream_backfill_resumes_from_checkpoint(spark):
     stream_backfill(spark, os.path.join(root, "land", "*"), "value string", handle,
                     os.path.join(root, "ckpt"), files_per_batch=1, fmt="text")
     assert n1 >= 2 and sorted(seen) == ["0", "1", "2", "3", "9"]
+
+
+def test_paged_stream_drains_in_budgeted_runs(spark):
+    from dealwise.sources.pages import build_page_landing, scan_pages, write_page_landing
+    from dealwise.sources.paged import register_sources
+    from dealwise.streaming.backfill import drain_paged_stream
+    root = tempfile.mkdtemp(prefix="dw-paged-")
+    recs = spark.range(0, 2300).select(F.col("id"), (F.col("id") * 2).alias("v"))
+    write_page_landing(build_page_landing(recs, "id", 500), os.path.join(root, "land"))
+    register_sources(spark)
+    seen = []
+
+    def handle(df, bid):
+        seen.extend(r.id for r in scan_pages(df, "body").select(
+            F.try_variant_get("record", "$.id", "bigint").alias("id")).collect())
+
+    runs = drain_paged_stream(spark, "offset_pages", {"landing": os.path.join(root, "land"),
+                                                      "maxRowsPerBatch": "1000"},
+                              handle, os.path.join(root, "ckpt"))
+    assert runs == 3  # whole pages: 1000 + 1000 + 300 rows
+    assert sorted(seen) == list(range(2300))
