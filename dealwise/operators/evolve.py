@@ -18,6 +18,8 @@ from pyspark.sql.types import (ArrayType, BooleanType, ByteType, DataType, DateT
                                MapType, NullType, ShortType, StringType, StructType,
                                TimestampType, VariantType)
 
+from dealwise.functions.text import safe_json
+
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 _RANK = {ByteType: 1, ShortType: 2, IntegerType: 3, LongType: 4}
 
@@ -161,7 +163,7 @@ def apply_column_cap(df: DataFrame, cap: int, protected: Sequence[str] = (),
                          F.create_map().cast("map<string,variant>"))
         packed = F.map_concat(F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(packed), k)),
                               packed)
-    js = F.when(F.size(packed) > 0, F.to_json(packed))
+    js = F.when(F.size(packed) > 0, safe_json(packed))
     return df.select(*[F.col(f"`{c}`") for c in keep], js.alias(overflow_col))
 
 
