@@ -146,9 +146,9 @@ def explode_contact_list(v: Column, slug: str, *, value_key: str = "value",
     arr = F.coalesce(P.vget(v, "$", "array<variant>"), F.array().cast("array<variant>"))
     values = F.filter(F.transform(arr, lambda d: P.vstr(d, f"$.{value_key}")),
                       lambda x: x.isNotNull() & (x != ""))
+    # "primary" uses plain truthiness, like the source records' own consumers
     prim = F.get(F.filter(arr, lambda d: P.vkind(d).startswith("OBJECT")
-                          & F.coalesce(P.flex_bool(F.try_variant_get(d, f"$.{primary_key}", "variant")),
-                                       F.lit(False))), 0)
+                          & P.truthy(F.try_variant_get(d, f"$.{primary_key}", "variant"))), 0)
     return {
         f"{slug}_list": values,
         f"{slug}_primary_{value_key}": P.vstr(prim, f"$.{value_key}"),

@@ -126,6 +126,22 @@ def flex_bool(v: Column) -> Column:
              .otherwise(F.lit(True)))
 
 
+def truthy(v: Column) -> Column:
+    """Python truthiness of a JSON value: null, false, 0, "" and empty
+    arrays/objects are falsy; everything else (including the string "false")
+    is truthy."""
+    kind = vkind(v)
+    num = vget(v, "$", "double")
+    s = vstr(v)
+    return (F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
+             .when(kind == "BOOLEAN", vget(v, "$", "boolean"))
+             .when(kind == "STRING", s != "")
+             .when(_is_number(kind), num != 0)
+             .when(kind.startswith("ARRAY"), s != "[]")
+             .when(kind.startswith("OBJECT"), s != "{}")
+             .otherwise(F.lit(True)))
+
+
 def field_or_default(record: Column, key: str, typ: str, default) -> Column:
     """Default only when the key is *absent*; an explicit JSON null stays NULL."""
     raw = F.try_variant_get(record, f"$.{key}", "variant")

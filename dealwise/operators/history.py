@@ -22,15 +22,8 @@ STAGE_KEY = "stage_id"
 
 
 def _truthy(v: Column) -> Column:
-    """Python truthiness of a JSON scalar: null/0/""/false are falsy."""
-    kind = P.vkind(v)
-    num = P.vget(v, "$", "double")
-    s = P.vstr(v)
-    return (F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
-             .when(kind == "BOOLEAN", P.vget(v, "$", "boolean"))
-             .when(kind == "STRING", s != "")
-             .when(num.isNotNull(), num != 0)
-             .otherwise(F.lit(True)))
+    """A falsy ``new_value`` (null, 0, "", false) is not a stage change."""
+    return P.truthy(v)
 
 
 # One typed view of a change-log item: a single variant traversal per item;
