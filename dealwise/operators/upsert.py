@@ -148,7 +148,7 @@ def create_table(spark: SparkSession, path: str, df: DataFrame, pk: Sequence[str
     if missing:
         raise ValueError(f"primary key column(s) {missing} missing")
     (df.withColumn(BUCKET, bucket_of(pk, buckets))
-       .repartition(BUCKET)
+       .hint("rebalance", BUCKET)
        .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
 
 
@@ -176,7 +176,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     merged = merge_frames(tgt.drop(BUCKET), src.drop(BUCKET), pk, insert_only=insert_only,
                           order=order)
     merged = merged.withColumn(BUCKET, bucket_of(pk, buckets))
-    (merged.repartition(BUCKET).write
+    # REBALANCE: clustered by bucket, but AQE splits an oversized bucket over
+    # several tasks/files and coalesces small ones (no one-task-per-bucket cap)
+    (merged.hint("rebalance", BUCKET).write
            .option("partitionOverwriteMode", "dynamic")
            .mode("overwrite").partitionBy(BUCKET).parquet(path))
     return {"created": False, "touched": touched, "added": added, "changed": changed}
