@@ -160,10 +160,11 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     Returns a small report (touched buckets, added/changed columns).
     """
     pk = list(pk)
-    if not table_exists(spark, path):
+    try:
+        target = read_bucketed(spark, path)  # one listing serves the check and the read
+    except AnalysisException:
         create_table(spark, path, one_per_key(source, pk, order), pk, buckets)
         return {"created": True, "buckets": buckets}
-    target = read_bucketed(spark, path)
     src = source.withColumn(BUCKET, bucket_of(pk, buckets))
     _, added, changed = evolved_schema(target.schema, src.schema, protected=pk + [BUCKET])
     if changed:
