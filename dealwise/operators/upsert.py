@@ -21,6 +21,7 @@ With a MERGE-capable table format configured, the same merged frame is what
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,7 @@ from pyspark.sql.utils import AnalysisException
 
 from dealwise.operators.dedupe import keep_last
 from dealwise.operators.evolve import align, evolved_schema
+from dealwise.session import scratch_path
 
 BUCKET = "_bucket"
 _S = "__src"
@@ -165,7 +167,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     except AnalysisException:
         create_table(spark, path, one_per_key(source, pk, order), pk, buckets)
         return {"created": True, "buckets": buckets}
-    src = source.withColumn(BUCKET, bucket_of(pk, buckets))
+    # The batch is computed once: de-duplicated, bucketed and staged in the
+    # shared checkpoint folder.  Bucket ids and the merge both read the staged
+    # copy (lineage cut; a lost executor re-reads files, not the whole source).
+    src = stage(spark, one_per_key(source, pk, order).withColumn(BUCKET, bucket_of(pk, buckets)))
     _, added, changed = evolved_schema(target.schema, src.schema, protected=pk + [BUCKET])
     if changed:
         # a type change must reach every bucket or the files disagree
@@ -175,7 +180,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
         touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
     tgt = target if touched is None else target.filter(F.col(BUCKET).isin(touched))
     merged = merge_frames(tgt.drop(BUCKET), src.drop(BUCKET), pk, insert_only=insert_only,
-                          order=order)
+                          dedupe=False)
     merged = merged.withColumn(BUCKET, bucket_of(pk, buckets))
     # REBALANCE: clustered by bucket, but AQE splits an oversized bucket over
     # several tasks/files and coalesces small ones (no one-task-per-bucket cap)
@@ -185,5 +190,12 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     return {"created": False, "touched": touched, "added": added, "changed": changed}
 
 
+def stage(spark: SparkSession, df: DataFrame, folder: str = "staging") -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back."""
+    path = scratch_path(spark, f"{folder}/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
