@@ -26,11 +26,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from dealwise.operators.dedupe import keep_last
 from dealwise.operators.evolve import align, evolved_schema
-from dealwise.session import scratch_path
+from dealwise.session import path_exists, scratch_path
 
 BUCKET = "_bucket"
 _S = "__src"
@@ -131,11 +130,7 @@ def update_existing(target: DataFrame, updates: dict[str, DataFrame], pk: str =
 
 # ----------------------------------------------------------------- tables
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
@@ -162,11 +157,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     Returns a small report (touched buckets, added/changed columns).
     """
     pk = list(pk)
-    try:
-        target = read_bucketed(spark, path)  # one listing serves the check and the read
-    except AnalysisException:
+    if not table_exists(spark, path):
         create_table(spark, path, one_per_key(source, pk, order), pk, buckets)
         return {"created": True, "buckets": buckets}
+    target = read_bucketed(spark, path)
     # The batch is computed once: de-duplicated, bucketed and staged in the
     # shared checkpoint folder.  Bucket ids and the merge both read the staged
     # copy (lineage cut; a lost executor re-reads files, not the whole source).

@@ -14,10 +14,12 @@ upsert touches (bounded by the bucket count).
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dealwise.functions import custom_fields as X
@@ -29,6 +31,8 @@ from dealwise.spec import FieldMeta, Handler
 from dealwise.streaming import state as S
 
 CAMEL = "(?<!^)(?=[A-Z])"
+RUN_LOG = ("flow string, started timestamp, seconds double, rows bigint, invalid_rows bigint, "
+           "failed boolean, empty_batches int")
 
 
 def snake_keys(record: Column) -> Column:
@@ -60,12 +64,19 @@ class Entity:
     endpoint: str = ""
 
 
-def transform(records: DataFrame, entity: Entity, record_col: str = "record"
-              ) -> tuple[DataFrame, DataFrame]:
-    """Records -> (typed rows ready to upsert, rejects)."""
+def transform(records: DataFrame, entity: Entity, record_col: str = "record",
+              observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records -> (typed rows ready to upsert, rejects).
+
+    With ``observation``, record and invalid-record counts are collected by
+    whichever job first runs the plan (no extra pass over the data).
+    """
     snake = evaluate_once(records.select("page", "ordinal", record_col),
                           __rec=snake_keys(F.col(record_col))).drop(record_col)
     staged = validate_stage(snake, "__rec", entity.fields, keep=("page", "ordinal"))
+    if observation is not None:
+        staged = staged.observe(observation, F.count(F.lit(1)).alias("records"),
+                                F.count_if(F.size("errors") > 0).alias("invalid"))
     rejects = staged.filter(F.size("errors") > 0).select("page", "ordinal", "__body", "errors")
     valid = staged.filter(F.size("errors") == 0).drop("errors")
     known = {r.key or r.name for r in entity.fields}
@@ -94,17 +105,33 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record"
 def sync_entity(spark: SparkSession, records: DataFrame, entity: Entity, root: str, *,
                 run_start: dt.datetime | None = None, since: dt.datetime | str | None = None
                 ) -> dict:
-    """Transform and upsert one entity; stamp the watermark at the run start."""
+    """Transform and upsert one entity; stamp the watermark at the run start.
+
+    Rejected records are appended to ``{root}/_rejects`` (only when there are
+    any, known from the observed counts) and one row per run goes to
+    ``{root}/_run_log`` (A3/A4 read it).
+    """
     run_start = run_start or dt.datetime.now(dt.timezone.utc)
-    rows, rejects = transform(records, entity)
+    t0 = time.monotonic()
+    obs = Observation(f"sync_{entity.name}_{uuid.uuid4().hex[:8]}")
+    rows, rejects = transform(records, entity, observation=obs)
     if since is not None and entity.order and entity.order in rows.columns:
         rows = S.incremental(rows, entity.order, since)
     # Latest ``order`` wins; exact ties fall to the row values (deterministic)
     order = [F.col(c) for c in (entity.order,) if c and c in rows.columns]
     latest = one_per_key(rows.drop("page", "ordinal"), entity.pk, order)
     report = upsert_table(spark, f"{root}/{entity.table}", latest, entity.pk, buckets=entity.buckets)
+    counts = obs.get
+    if counts.get("invalid"):
+        (rejects.select(F.lit(entity.name).alias("entity"), F.lit(run_start).alias("run_start"),
+                        "page", "ordinal", F.to_json("__body").alias("body"), "errors")
+                .write.mode("append").parquet(f"{root}/_rejects"))
+    seconds = time.monotonic() - t0
+    spark.createDataFrame(
+        [(entity.name, run_start, seconds, int(counts.get("records", 0)), int(counts.get("invalid", 0)),
+          False, 0)], RUN_LOG).write.mode("append").parquet(f"{root}/_run_log")
     S.set_watermark(spark, f"{root}/_state", entity.name, run_start)
-    report["rejects"] = rejects
+    report.update(counts=counts, rejects=rejects, seconds=seconds)
     return report
 
 

@@ -101,3 +101,15 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
     _SHIPPED.add(id(sc))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the cluster file system (any Hadoop scheme).
+
+    Asking the file system avoids provoking a failed query just to learn that
+    a table is not there yet.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))

@@ -116,3 +116,24 @@ def test_paged_stream_drains_in_budgeted_runs(spark):
                               handle, os.path.join(root, "ckpt"))
     assert runs == 3  # whole pages: 1000 + 1000 + 300 rows
     assert sorted(seen) == list(range(2300))
+
+
+def test_sync_entity_keeps_rejects_and_logs_the_run(spark):
+    from dealwise.operators.runlog import flow_counters
+    from dealwise.operators.validate import FieldRule
+    from dealwise.plans.sync import Entity, read_synced, sync_entity
+    from dealwise.sources.pages import scan_pages
+    root = tempfile.mkdtemp(prefix="dw-sync-")
+    page = json.dumps({"data": [{"id": 1, "dealTitle": "a"}, {"dealTitle": "no id"},
+                                {"id": "x", "dealTitle": "bad id"}, {"id": 2, "dealTitle": "b"}]})
+    pages = spark.createDataFrame([(0, page)], "page long, value string")
+    ent = Entity(name="t", table="t", pk=("id",), order=None,
+                 fields=(FieldRule("id", "bigint", True), FieldRule("deal_title", "string")))
+    rep = sync_entity(spark, scan_pages(pages, page_col="page"), ent, root)
+    assert rep["counts"] == {"records": 4, "invalid": 2}
+    assert sorted((r.id, r.deal_title) for r in read_synced(spark, root, ent).collect()) == [(1, "a"), (2, "b")]
+    rej = spark.read.parquet(os.path.join(root, "_rejects")).collect()
+    assert sorted(tuple(r.errors) for r in rej) == [("id:bigint",), ("id:missing",)]
+    log = flow_counters(spark.read.parquet(os.path.join(root, "_run_log")).withColumnRenamed("invalid_rows", "invalid_rows"))
+    row = log.first()
+    assert row.flow == "t" and row.rows_processed == 4 and row.invalid_rows == 2
