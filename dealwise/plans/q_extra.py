@@ -112,3 +112,31 @@ def q_sync_all_bi(spark: SparkSession, base: str) -> DataFrame:
         F.col("telefone_contatos_primary_value").alias("contact_phone"))
     orgs = read_synced(spark, root, QS.ORG).select("id", F.col("name").alias("company_name"))
     return build_bi_fact(deals, people, orgs)
+
+
+@register("sync_run_stats", """
+SELECT 'stages' AS flow, CAST(1 AS BIGINT) AS runs, CAST(0 AS BIGINT) AS failures,
+       CAST(count(*) AS BIGINT) AS rows_processed, CAST(0 AS BIGINT) AS empty_batches,
+       CAST(count(*) FILTER (WHERE n_nationkey % 7 = 0) AS BIGINT) AS invalid_rows,
+       CAST(count(*) FILTER (WHERE n_nationkey % 7 = 0) AS BIGINT) AS rejects_kept
+FROM nation
+""")
+def q_sync_run_stats(spark: SparkSession, base: str) -> DataFrame:
+    """A3 over a real run log (V1 rejects kept aside): a stage sync where every
+    7th record has a non-numeric id, then per-flow counters and kept rejects."""
+    from dealwise.operators.runlog import flow_counters
+    from dealwise.plans.sync import sync_entity
+    n = read_table(spark, base, "nation")
+    k = F.col("n_nationkey")
+    raw = n.select(k.cast("bigint").alias("order_key"),
+                   F.when(k % 7 == 0, F.lit("x")).otherwise(k.cast("string")).alias("id"),
+                   F.col("n_name").alias("name"), F.col("n_regionkey").alias("pipelineId"),
+                   (k % 5 + 1).alias("orderNr"), (k * 4).cast("string").alias("dealProbability"))
+    from dealwise.sources.pages import build_page_landing, scan_pages
+    pages = build_page_landing(raw, "order_key", 500)
+    root = scratch_path(spark, f"sync/stats-{uuid.uuid4().hex}")
+    sync_entity(spark, scan_pages(pages.select("page", "value"), page_col="page"), QS.STAGE, root)
+    counters = flow_counters(spark.read.parquet(f"{root}/_run_log"))
+    kept = spark.read.parquet(f"{root}/_rejects").groupBy("entity").agg(
+        F.count(F.lit(1)).alias("rejects_kept"))
+    return counters.join(kept, counters.flow == kept.entity, "left").drop("entity")
