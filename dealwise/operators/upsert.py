@@ -161,15 +161,17 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
         create_table(spark, path, one_per_key(source, pk, order), pk, buckets)
         return {"created": True, "buckets": buckets}
     target = read_bucketed(spark, path)
-    # The batch is computed once: de-duplicated, bucketed and staged in the
-    # shared checkpoint folder.  Bucket ids and the merge both read the staged
-    # copy (lineage cut; a lost executor re-reads files, not the whole source).
-    src = stage(spark, one_per_key(source, pk, order).withColumn(BUCKET, bucket_of(pk, buckets)))
-    _, added, changed = evolved_schema(target.schema, src.schema, protected=pk + [BUCKET])
-    if changed:
-        # a type change must reach every bucket or the files disagree
-        touched = None
+    batch = one_per_key(source, pk, order).withColumn(BUCKET, bucket_of(pk, buckets))
+    _, added, changed = evolved_schema(target.schema, batch.schema, protected=pk + [BUCKET])
+    if changed or buckets == 1:
+        # a type change must reach every bucket (or there is only one): no
+        # pruning, so the batch is read once and needs no staging
+        src, touched = batch, None
     else:
+        # The batch is computed once: de-duplicated, bucketed and staged in the
+        # shared checkpoint folder.  Bucket ids and the merge both read the
+        # staged copy (lineage cut; a lost executor re-reads files, not the source).
+        src = stage(spark, batch)
         # bounded by the bucket count: the only values brought to the driver
         touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
     tgt = target if touched is None else target.filter(F.col(BUCKET).isin(touched))
