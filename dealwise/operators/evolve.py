@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, ByteType, DataType, DateType,
+from pyspark.sql.types import (ArrayType, ByteType, DataType, DateType,
                                DecimalType, DoubleType, FloatType, IntegerType, LongType,
                                MapType, NullType, ShortType, StringType, StructType,
                                TimestampType, VariantType)

@@ -22,7 +22,7 @@ from dealwise.session import scratch_path
 from dealwise.sources.pages import build_page_landing, record_fields, scan_pages
 from dealwise.sources.tables import read_table
 from dealwise.streaming.backfill import stream_backfill
-from dealwise.streaming.state import get_sync_state, save_sync_state
+from dealwise.streaming.state import save_sync_state
 
 
 # Fixed value (reference limit): rows per backfill run.
