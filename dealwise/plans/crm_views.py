@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.sources.tables import read_table
+from dealwise.sources.tables import read_table, spread
 
 
 def order_rollup(spark: SparkSession, base: str) -> DataFrame:
@@ -128,7 +128,7 @@ def change_log_pages(spark: SparkSession, base: str) -> DataFrame:
     Pages group a deal's items by ``event_id div PAGE_SIZE``, so every array
     is bounded however many changes one deal has.
     """
-    e = read_table(spark, base, "events")
+    e = spread(read_table(spark, base, "events"))
     return (e.select(F.col("user_id").alias("deal_id"),
                      F.floor(F.col("event_id") / PAGE_SIZE).alias("page"),
                      F.col("event_id"), change_log_item(e).alias("item"))

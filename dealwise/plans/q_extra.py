@@ -17,7 +17,7 @@ from dealwise.plans import q_sync as QS
 from dealwise.plans.registry import register
 from dealwise.plans.sync import read_synced, run_all
 from dealwise.session import scratch_path
-from dealwise.sources.tables import read_table
+from dealwise.sources.tables import read_for_rows as read_table
 
 DECLARED = {"value": "decimal(18,4)", "add_date": "date", "priority": "int", "status": "varchar(10)"}
 

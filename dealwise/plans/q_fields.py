@@ -19,7 +19,8 @@ from dealwise.functions.text import slugify
 from dealwise.operators.joins import fits_broadcast
 from dealwise.operators.validate import FieldRule, extra_fields, validate_records
 from dealwise.plans.registry import register
-from dealwise.sources.tables import read_table
+from dealwise.sources.tables import read_for_rows as read_table
+from dealwise.sources.tables import read_table as scan_table
 from dealwise.spec import FieldMeta
 
 
@@ -109,7 +110,7 @@ def nation_options(spark: SparkSession, base: str) -> tuple[tuple[int, str], ...
     Metadata is configuration-sized; the bound is checked before it is
     brought to the driver.
     """
-    n = read_table(spark, base, "nation").select("n_nationkey", "n_name")
+    n = scan_table(spark, base, "nation").select("n_nationkey", "n_name")
     if not fits_broadcast(n, 10_000):
         raise ValueError("option metadata larger than 10,000 rows")
     return tuple((int(r[0]), r[1]) for r in n.collect())

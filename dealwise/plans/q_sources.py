@@ -19,7 +19,7 @@ from dealwise.session import scratch_path
 from dealwise.sources import pages as PG
 from dealwise.sources.csv_stage import read_staged_csv, write_staged_csv
 from dealwise.sources.paged import register_sources
-from dealwise.sources.tables import read_table
+from dealwise.sources.tables import read_table, spread
 
 ORDER_FIELDS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
                 "o_totalprice": "double", "o_orderdate": "timestamp"}
@@ -27,7 +27,7 @@ ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_order
 
 
 def _orders(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "orders").select(*ORDER_FIELDS)
+    return spread(read_table(spark, base, "orders").select(*ORDER_FIELDS))
 
 
 def _landing(spark: SparkSession, base: str, cursor: bool) -> str:

@@ -18,7 +18,7 @@ from dealwise.plans.registry import register
 from dealwise.plans.sync import Entity, read_synced, sync_entity
 from dealwise.session import scratch_path
 from dealwise.sources.pages import build_page_landing, scan_pages
-from dealwise.sources.tables import read_table
+from dealwise.sources.tables import read_for_rows as read_table
 from dealwise.spec import FieldMeta, Handler
 
 
