@@ -128,6 +128,29 @@ def update_existing(target: DataFrame, updates: dict[str, DataFrame], pk: str =
     return j.select(*cols)
 
 
+def update_from_frame(target: DataFrame, updates: DataFrame, pk: Sequence[str],
+                      columns: Sequence[str] | None = None) -> DataFrame:
+    """K15, wide form: one frame ``(pk, c1, c2, …)`` updates existing rows in one join.
+
+    A non-NULL update value replaces the target value; NULL means "no update
+    for this column" (pivoted updates such as stage arrivals are sparse).
+    Update rows whose key is not in the target are ignored.  The update frame
+    is de-duplicated on the key first.
+    """
+    pk = list(pk)
+    cols = list(columns) if columns is not None else [c for c in updates.columns if c not in pk]
+    upd = one_per_key(updates.select(*pk, *cols), pk, [F.lit(0)])
+    upd = upd.select(*pk, *[F.col(c).alias(f"__upd_{c}") for c in cols])
+    j = target.join(upd, pk, "left")
+    out = []
+    for c in target.columns:
+        if c in cols:
+            out.append(F.coalesce(F.col(f"__upd_{c}"), F.col(c)).cast(target.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col(c))
+    return j.select(*out)
+
+
 # ----------------------------------------------------------------- tables
 def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)

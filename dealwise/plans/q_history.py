@@ -162,3 +162,27 @@ def q_detail_fetch_history(spark: SparkSession, base: str) -> DataFrame:
     deals = read_table(spark, base, "events").select(F.col("user_id").alias("deal_id")).distinct()
     pages = fetch_details(deals, "deal_id", lambda: landing_detail_fetcher(root), partitions=16)
     return H.latest_per_stage(H.stage_changes(H.change_items(detail_items(pages))))
+
+
+ARRIVALS_APPLY_SQL = (f"WITH {CHANGES_SQL}, piv AS (SELECT deal_id, "
+                      + ", ".join(f"max(CASE WHEN stage_id = {s} THEN change_time END) AS movido_para_etapa_{s}"
+                                  for s in range(25))
+                      + " FROM h GROUP BY deal_id) SELECT o.o_orderkey AS id, "
+                      + "CASE WHEN o.o_orderkey % 13 = 0 THEN NULL ELSE o.o_orderkey % 25 END AS stage_id, "
+                      + ", ".join(f"coalesce(piv.movido_para_etapa_{s}, CASE WHEN o.o_orderkey % 25 = {s} "
+                                  f"THEN o.o_orderdate END) AS movido_para_etapa_{s}" for s in range(25))
+                      + " FROM orders o LEFT JOIN piv ON piv.deal_id = o.o_orderkey")
+
+
+@register("stage_arrivals_apply", ARRIVALS_APPLY_SQL)
+def q_stage_arrivals_apply(spark: SparkSession, base: str) -> DataFrame:
+    """B6 + K15: per-stage arrival times pivoted from the history and applied to the
+    deals table in one join (existing values kept where a deal never reached a stage)."""
+    from dealwise.operators.upsert import update_from_frame
+    stages = known_stage_ids(spark, base)
+    deals = v.stage_deals(spark, base)
+    # the table already knows the arrival at the deal's current stage (its add_time)
+    target = deals.select("id", "stage_id", *[
+        F.when(F.col("id") % 25 == s, F.col("add_time")).alias(f"movido_para_etapa_{s}") for s in stages])
+    arrivals = H.stage_arrivals(history(spark, base), stages).withColumnRenamed("deal_id", "id")
+    return update_from_frame(target, arrivals, ["id"])
