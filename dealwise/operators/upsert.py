@@ -129,17 +129,20 @@ def update_existing(target: DataFrame, updates: dict[str, DataFrame], pk: str =
 
 
 def update_from_frame(target: DataFrame, updates: DataFrame, pk: Sequence[str],
-                      columns: Sequence[str] | None = None) -> DataFrame:
+                      columns: Sequence[str] | None = None, unique: bool = False) -> DataFrame:
     """K15, wide form: one frame ``(pk, c1, c2, …)`` updates existing rows in one join.
 
     A non-NULL update value replaces the target value; NULL means "no update
     for this column" (pivoted updates such as stage arrivals are sparse).
     Update rows whose key is not in the target are ignored.  The update frame
-    is de-duplicated on the key first.
+    is de-duplicated on the key first, unless ``unique`` says it already is
+    (e.g. it is the output of a ``groupBy`` on the key).
     """
     pk = list(pk)
     cols = list(columns) if columns is not None else [c for c in updates.columns if c not in pk]
-    upd = one_per_key(updates.select(*pk, *cols), pk, [F.lit(0)])
+    upd = updates.select(*pk, *cols)
+    if not unique:
+        upd = one_per_key(upd, pk, [F.lit(0)])
     upd = upd.select(*pk, *[F.col(c).alias(f"__upd_{c}") for c in cols])
     j = target.join(upd, pk, "left")
     out = []

@@ -185,4 +185,4 @@ def q_stage_arrivals_apply(spark: SparkSession, base: str) -> DataFrame:
     target = deals.select("id", "stage_id", *[
         F.when(F.col("id") % 25 == s, F.col("add_time")).alias(f"movido_para_etapa_{s}") for s in stages])
     arrivals = H.stage_arrivals(history(spark, base), stages).withColumnRenamed("deal_id", "id")
-    return update_from_frame(target, arrivals, ["id"])
+    return update_from_frame(target, arrivals, ["id"], unique=True)  # pivot: one row per deal
