@@ -217,7 +217,3 @@ def stage(spark: SparkSession, df: DataFrame, folder: str = "staging") -> DataFr
     path = scratch_path(spark, f"{folder}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def table_path(root: str, name: str) -> str:
-    return os.path.join(root, name)

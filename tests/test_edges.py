@@ -55,3 +55,17 @@ def test_register_kind_extends_the_generator(spark):
     df = spark.createDataFrame([(1, '{"k": "hey"}')], "id long, custom_fields string")
     out = X.explode_custom_fields(df, [FieldMeta("k", "Grito", "shout")])
     assert out.first().grito_upper == "HEY"
+
+
+def test_dependency_decision_and_route_registration(spark):
+    import datetime as dt
+    from dealwise.sources.routes import ROUTES, register_route, routes_frame
+    from dealwise.streaming.state import has_recent_updates
+    t = spark.createDataFrame([(dt.datetime(2024, 1, 2),)], "update_time timestamp")
+    deps = {"t": (t, ["update_time", "add_time"])}
+    assert has_recent_updates(deps, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    assert not has_recent_updates(deps, dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
+    assert has_recent_updates(deps, None)  # never ran: everything counts as changed
+    register_route("/projects", "v2", 7)
+    assert ROUTES["/projects"].cost == 7
+    assert routes_frame(spark).filter("endpoint = '/projects'").count() == 1
