@@ -30,9 +30,12 @@ def _orders(spark: SparkSession, base: str) -> DataFrame:
     return spread(read_table(spark, base, "orders").select(*ORDER_FIELDS))
 
 
-def _landing(spark: SparkSession, base: str, cursor: bool) -> str:
+def _landing(spark: SparkSession, base: str, cursor: bool, keyed: bool = True) -> str:
+    """Orders as API pages: keyed by offset/cursor for the paged sources, or a
+    plain file landing for the scans."""
     path = scratch_path(spark, f"landing/orders-{'c' if cursor else 'o'}-{uuid.uuid4().hex}")
-    PG.write_page_landing(PG.build_page_landing(_orders(spark, base), "o_orderkey", 500, cursor), path)
+    pages = PG.build_page_landing(_orders(spark, base), "o_orderkey", 500, cursor)
+    (PG.write_keyed_landing if keyed else PG.write_page_landing)(pages, path)
     return path
 
 
@@ -44,7 +47,7 @@ def _typed(records: DataFrame, col: str) -> DataFrame:
 @register("page_scan", ORDERS_SQL)
 def q_page_scan(spark: SparkSession, base: str) -> DataFrame:
     """Page-envelope landing read as text, parsed once, exploded to records."""
-    path = _landing(spark, base, cursor=False)
+    path = _landing(spark, base, cursor=False, keyed=False)
     return _typed(PG.scan_pages(PG.read_pages(spark, path)), "record")
 
 

@@ -27,6 +27,7 @@ import glob
 import importlib
 import json
 import os
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import (DataSource, DataSourceReader, InputPartition,
@@ -55,11 +56,17 @@ def _load(spec: str | None):
     return getattr(importlib.import_module(mod), fn)
 
 
+_LANDING_CACHE: dict[tuple[str, int], dict[str, str]] = {}
+
+
 def landing_fetcher(endpoint: str, params: dict) -> dict:
-    """Serve saved pages: ``{landing}/key=<start|cursor>/*.txt``, one page per file.
+    """Test double for the API: pages saved by ``sources.pages.write_keyed_landing``.
 
-    ``params['landing']`` is the folder (passed through the source options).
+    ``params['landing']`` is the folder (passed through the source options);
+    the key is the offset (``start``) or the cursor; the first page of a
+    cursor chain is ``c0``.  A bucket file is read once per Python worker.
     An unknown key answers like the API past the end: an empty page.
+    Reads local files; a production fetcher calls the HTTP API.
     """
     if params.get("cursor"):
         key = params["cursor"]
@@ -67,13 +74,19 @@ def landing_fetcher(endpoint: str, params: dict) -> dict:
         key = str(params["start"])
     else:
         key = "c0"  # first page of a cursor chain
-    files = sorted(glob.glob(os.path.join(params["landing"], f"key={key}", "*.txt")))
-    for f in files:
-        with open(f, encoding="utf-8") as fh:
-            line = fh.readline()
-            if line.strip():
-                return json.loads(line)
-    return {"data": [], "additional_data": {}}
+    root = params["landing"]
+    b = zlib.crc32(key.encode("utf-8")) % int(params.get("landing_buckets", 64))
+    if (root, b) not in _LANDING_CACHE:
+        pages: dict[str, str] = {}
+        for f in glob.glob(os.path.join(root, f"bucket={b}", "*.txt")):
+            with open(f, encoding="utf-8") as fh:
+                for line in fh:
+                    k, _, body = line.rstrip("\n").partition("\t")
+                    if body:
+                        pages[k] = body
+        _LANDING_CACHE[(root, b)] = pages
+    body = _LANDING_CACHE[(root, b)].get(key)
+    return json.loads(body) if body else {"data": [], "additional_data": {}}
 
 
 def _rows(endpoint: str, key: str, page: dict) -> Iterator[tuple]:

@@ -79,5 +79,16 @@ def build_page_landing(records: DataFrame, order_col: str, page_size: int = 500,
 
 
 def write_page_landing(pages: DataFrame, path: str) -> None:
-    """One folder per page key (``key=<start|cursor>``), one text line per page."""
-    pages.select("key", "value").write.mode("overwrite").partitionBy("key").text(path)
+    """A file landing: one page envelope per text line (what the scans read)."""
+    pages.select("value").write.mode("overwrite").text(path)
+
+
+LANDING_BUCKETS = 64
+
+
+def write_keyed_landing(pages: DataFrame, path: str, buckets: int = LANDING_BUCKETS) -> None:
+    """Pages addressable by their key (offset or cursor) for the fetcher test double:
+    ``key<TAB>envelope`` lines in ``bucket=crc32(key) % buckets`` folders."""
+    bucket = F.pmod(F.crc32(F.col("key").cast("string")), F.lit(buckets))
+    (pages.select(bucket.alias("bucket"), F.concat_ws("\t", F.col("key").cast("string"), "value").alias("v"))
+          .write.mode("overwrite").partitionBy("bucket").text(path))

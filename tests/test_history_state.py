@@ -98,12 +98,12 @@ def test_stream_backfill_resumes_from_checkpoint(spark):
 
 
 def test_paged_stream_drains_in_budgeted_runs(spark):
-    from dealwise.sources.pages import build_page_landing, scan_pages, write_page_landing
+    from dealwise.sources.pages import build_page_landing, scan_pages, write_keyed_landing
     from dealwise.sources.paged import register_sources
     from dealwise.streaming.backfill import drain_paged_stream
     root = tempfile.mkdtemp(prefix="dw-paged-")
     recs = spark.range(0, 2300).select(F.col("id"), (F.col("id") * 2).alias("v"))
-    write_page_landing(build_page_landing(recs, "id", 500), os.path.join(root, "land"))
+    write_keyed_landing(build_page_landing(recs, "id", 500), os.path.join(root, "land"))
     register_sources(spark)
     seen = []
 
