@@ -177,17 +177,19 @@ def create_table(spark: SparkSession, path: str, df: DataFrame, pk: Sequence[str
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence[str], *,
                  buckets: int = 16, insert_only: bool = False,
-                 order: Sequence[Column | str] | None = None) -> dict:
+                 order: Sequence[Column | str] | None = None, dedupe: bool = True) -> dict:
     """K1: upsert ``source`` into the bucketed Parquet table at ``path``.
 
+    ``dedupe=False`` when the caller already holds one row per key.
     Returns a small report (touched buckets, added/changed columns).
     """
     pk = list(pk)
+    batch = one_per_key(source, pk, order) if dedupe else source
     if not table_exists(spark, path):
-        create_table(spark, path, one_per_key(source, pk, order), pk, buckets)
+        create_table(spark, path, batch, pk, buckets)
         return {"created": True, "buckets": buckets}
     target = read_bucketed(spark, path)
-    batch = one_per_key(source, pk, order).withColumn(BUCKET, bucket_of(pk, buckets))
+    batch = batch.withColumn(BUCKET, bucket_of(pk, buckets))
     _, added, changed = evolved_schema(target.schema, batch.schema, protected=pk + [BUCKET])
     if changed or buckets == 1:
         # a type change must reach every bucket (or there is only one): no

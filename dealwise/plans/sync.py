@@ -120,7 +120,8 @@ def sync_entity(spark: SparkSession, records: DataFrame, entity: Entity, root: s
     # Latest ``order`` wins; exact ties fall to the row values (deterministic)
     order = [F.col(c) for c in (entity.order,) if c and c in rows.columns]
     latest = one_per_key(rows.drop("page", "ordinal"), entity.pk, order)
-    report = upsert_table(spark, f"{root}/{entity.table}", latest, entity.pk, buckets=entity.buckets)
+    report = upsert_table(spark, f"{root}/{entity.table}", latest, entity.pk, buckets=entity.buckets,
+                          dedupe=False)
     counts = obs.get
     if counts.get("invalid"):
         (rejects.select(F.lit(entity.name).alias("entity"), F.lit(run_start).alias("run_start"),
