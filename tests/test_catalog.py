@@ -3,14 +3,11 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from dealwise.plans.catalog import ORACLE, QUERIES
 from tools.oracle_check import TABLES, rows_of
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
