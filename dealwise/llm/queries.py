@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.llm import chat, common, decontaminate, licenses, mix, quality, shard
+from dealwise.llm import chat, common, decontaminate, licenses, mix, quality, shard, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -217,3 +217,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents repeated to the target shares, shuffled."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix.poisson_mix(docs, WEIGHTS).select("doc_id", "source", "copy")
+
+
+# ---------------------------------------------------------------- 3: substring dedup
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + 34], ' ') AS w FROM s),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY w) AS n FROM g) WHERE n > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM r),
+a AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+k AS (SELECT a.doc_id, count(c.p) AS n_removed, string_agg(w, ' ' ORDER BY a.p) FILTER (WHERE c.p IS NULL) AS kept
+      FROM a LEFT JOIN c ON a.doc_id = c.doc_id AND a.p = c.p GROUP BY a.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op3_substring_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated passages."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = substrings.remove_repeats(docs)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
