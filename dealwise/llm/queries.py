@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.llm import chat, common, decontaminate, licenses, mix, quality, shard, substrings
+from dealwise.llm import chat, common, decontaminate, licenses, mix, neardups, quality, shard, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -242,3 +242,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = substrings.remove_repeats(docs)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+# ---------------------------------------------------------------- 7: near duplicates
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY 1, 2),
+e AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 5 * c >= 4 * (x.n + y.n - c)),
+r(u, v) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u)
+SELECT d.doc_id, least(d.doc_id, coalesce((SELECT min(v) FROM r WHERE r.u = d.doc_id), d.doc_id)) AS class_id,
+       (SELECT count(*) FROM e WHERE e.u = d.doc_id) AS n_links
+FROM d
+"""
+
+
+@query("op7_neardups", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and links of every document."""
+    return neardups.near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
