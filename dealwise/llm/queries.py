@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.llm import chat, common, decontaminate, licenses, mix, neardups, quality, shard, substrings
+from dealwise.llm import chat, common, decontaminate, licenses, mix, neardups, quality, shard, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -266,3 +266,16 @@ FROM d
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and links of every document."""
     return neardups.near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ---------------------------------------------------------------- 1: toxicity
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a third of the ids is held out of learning."""
+    held = F.coalesce(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1, F.lit(False))
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held)
+    scored = toxicity.toxicity(docs, labels, out="t")
+    return scored.select("doc_id", held.alias("held_out"), F.col("t.score").alias("score"),
+                         (F.col("t.score") >= 0.7).cast("int").alias("predicted"))
