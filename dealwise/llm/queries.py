@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.llm import chat, common, decontaminate, licenses, mix, neardups, quality, shard, substrings, toxicity
+from dealwise.llm import chat, common, decontaminate, html, licenses, mix, neardups, quality, shard, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -279,3 +279,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(docs, labels, out="t")
     return scored.select("doc_id", held.alias("held_out"), F.col("t.score").alias("score"),
                          (F.col("t.score") >= 0.7).cast("int").alias("predicted"))
+
+
+# ---------------------------------------------------------------- 5: main text of pages
+
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.main_text(pages, out="m").select("page_id", "url", F.col("m.text").alias("text"),
+                                                  F.length("m.text").cast("bigint").alias("n_chars"))
