@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealwise.llm.common import checked_broadcast, small_batches, stored, utf8
+from dealwise.llm.common import checked_broadcast, hash_sample, small_batches, stored, utf8
 
 SAMPLE = (2000, 4000)
 MIN_G2 = 24.0
@@ -245,11 +245,11 @@ def fit_lexicon(df: DataFrame, labels: DataFrame, model: CharModel, doc_id: str,
                 sample: tuple[int, int] = SAMPLE) -> Lexicon:
     """Lexicon from the rows of ``labels`` (id, toxic), which must be training rows."""
     known = labels.where("toxic is not null and id is not null")
-    share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
+    n = {bool(r["y"]): r["n"] for r in known.groupBy((F.col("toxic") == 1).alias("y")).agg(F.count("*").alias("n")).collect()}
+    share = n.get(True, 0) / max(sum(n.values()), 1)
     none = Lexicon({}, math.log((share + 1e-3) / (1 - share + 1e-3)))
-    mix = F.xxhash64("id")
-    chosen = (known.where("toxic = 1").orderBy(mix, "id").limit(sample[0])
-              .union(known.where("toxic <> 1").orderBy(mix, "id").limit(sample[1])))
+    chosen = (hash_sample(known.where("toxic = 1"), sample[0], ["id"], n.get(True, 0))
+              .union(hash_sample(known.where("toxic <> 1"), sample[1], ["id"], n.get(False, 0))))
     chosen = checked_broadcast(chosen.withColumnRenamed("id", "label_id"), sum(sample))
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, F.col("id") == F.col("label_id"))
     rows = stored(rows.select("text", "toxic"), "toxic-sample")
