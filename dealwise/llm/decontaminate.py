@@ -110,16 +110,17 @@ def _hits_udf(items: list[tuple[str, list[bytes]]], window: int):
         for texts, old_runs, old_items in batches:
             raws = utf8(texts)
             norms = [raw.translate(_TABLE) for raw in raws]
+            words = [norm.split() for norm in norms]
             runs = [list(zip(r[::2], r[1::2])) if r else [] for r in old_runs.to_pylist()]
             found = [set(x or ()) for x in old_items.to_pylist()]
             for block in blocks:  # one automaton in memory at a time
                 automaton = only or Automaton(block, window)
-                for k, norm in enumerate(norms):
-                    automaton.scan(norm.split(), runs[k], found[k])
+                for k, own in enumerate(words):
+                    automaton.scan(own, runs[k], found[k])
             rows = []
-            for raw, norm, r, ids in zip(raws, norms, runs, found):
+            for raw, norm, own, r, ids in zip(raws, norms, words, runs, found):
                 r = _merged(r)
-                rows.append({"n_words": len(norm.split()), "n_hit": sum(b - a for a, b in r),
+                rows.append({"n_words": len(own), "n_hit": sum(b - a for a, b in r),
                              "runs": [x for run in r for x in run], "items": sorted(ids),
                              "spans": _offsets(raw, norm, r) if r else []})
             yield pa.array(rows, kind)
