@@ -9,7 +9,8 @@ Group sizes are not collected.  The driver sees a summary: bytes by prefix of th
 md5, a prefix being split further only where a cut may fall.  Counting a prefix as
 one atom gives a capacity that suffices, counting it as divisible at will one that
 is needed; every prefix that a cut can meet under a capacity between the two is
-split by one more hex digit, until those prefixes hold single groups.  Then the
+split by one more hex digit, until those prefixes hold single groups (heavy ones
+are split first, so that no large group blurs the bounds).  Then the
 greedy pass over the summary is the greedy pass over the groups, and its binary
 search gives the optimum.  The summary has a bounded number of rows at any input
 size: 16**START prefixes and 16 for each one split.
@@ -30,6 +31,8 @@ from dealwise.llm.common import checked_broadcast, stored
 
 #: Hex digits of the first summary.
 START = 3
+#: A prefix may weigh this part of an even shard before cuts are looked for.
+HEAVY = 64
 #: Bytes that a row weighs besides its text.
 ROW_BYTES = 8
 #: Slots are counted in this many hash buckets of each shard.
@@ -88,27 +91,41 @@ def smallest(atoms: list[tuple[int, bool]], shards: int) -> int:
     return low
 
 
+def _greedy_ends(sizes: list[int], capacity: int) -> list[int]:
+    """Ends (in bytes) of greedy shards of whole atoms, each of at most ``capacity``."""
+    ends, used, done = [], 0, 0
+    for size in sizes:
+        if used + size > capacity:
+            ends.append(done)
+            used = 0
+        used += size
+        done += size
+    return [*ends, done]
+
+
 def _open_prefixes(atoms: list[Atom], shards: int) -> list[str]:
-    """Prefixes of several groups that a cut can meet under any capacity still possible."""
+    """Prefixes of several groups that have to be split.
+
+    First those that weigh too much: a very large group must stand alone.  Then those
+    that a cut can meet under any capacity still possible.  The greedy end of shard j
+    over groups is no earlier than that over whole prefixes at the least capacity, and
+    no later than that over divisible ones at the greatest.
+    """
+    total = sum(a.size for a in atoms)
+    heavy = [a.prefix for a in atoms if not a.single and a.size * shards * HEAVY > total]
+    if heavy:
+        return heavy
     fluid = [(a.size, not a.single) for a in atoms]
-    solid = [(a.size, False) for a in atoms]
-    low, high = smallest(fluid, shards), smallest(solid, shards)
-    # a cut lies between the greedy ends of whole prefixes at the least and of divisible ones at the
-    # greatest capacity; a shard holds less than its capacity by at most the prefix that ends it
-    wide = max((a.size for a in atoms if not a.single), default=0)
-    late = needs(fluid, high, shards) or []
-    early, done, start = [], 0, 0
-    for a in atoms:
-        if done + a.size - start > low - wide and done > start:
-            early.append(done)
-            start = done
-        done += a.size
-    windows = []
-    for j, end in enumerate(late):
-        windows.append((min(early[j], end) if j < len(early) else end, end))
-    out, done = [], 0
+    low, high = smallest(fluid, shards), smallest([(a.size, False) for a in atoms], shards)
+    early = _greedy_ends([a.size for a in atoms], low)
+    late = needs(fluid, high, shards) or [total]
+    windows = [(min(early[j], end) if j < len(early) else end, end) for j, end in enumerate(late)]
+    out, done, j = [], 0, 0
     for a in atoms:
-        if not a.single and any(x <= done + a.size and y >= done for x, y in windows):
+        while j < len(windows) and windows[j][1] < done:
+            j += 1
+        # windows rise at both ends, so the first that is not over decides
+        if not a.single and j < len(windows) and windows[j][0] <= done + a.size:
             out.append(a.prefix)
         done += a.size
     return out
@@ -156,12 +173,11 @@ def _summary(groups: DataFrame, prefix: Column) -> list[Atom]:
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
     """Capacity and cut keys for ``groups`` (key: hex digest, size: bytes)."""
     atoms = sorted(_summary(groups, F.substring("key", 1, START)), key=lambda a: a.prefix)
-    digits = START
     while todo := _open_prefixes(atoms, shards):
-        digits += 1
-        inside = groups.where(F.substring("key", 1, digits - 1).isin(todo))
-        split = set(todo)
-        atoms = sorted([a for a in atoms if a.prefix not in split] + _summary(inside, F.substring("key", 1, digits)),
+        digits = min(map(len, todo))  # prefixes of one length at a time
+        split = {p for p in todo if len(p) == digits}
+        inside = groups.where(F.substring("key", 1, digits).isin(*sorted(split)))
+        atoms = sorted([a for a in atoms if a.prefix not in split] + _summary(inside, F.substring("key", 1, digits + 1)),
                        key=lambda a: a.prefix)
     return cut_points(atoms, shards)
 
