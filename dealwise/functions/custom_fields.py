@@ -255,7 +255,16 @@ def custom_field_columns(meta: Iterable[FieldMeta], source: Callable[[str], Colu
         if kind == "enum":
             kwargs.update(options=m.options, multiple=(m.field_type == "set"))
         cols = fn(source(m.key), slug, **kwargs)
-        new = [c for c in cols if c not in existing_set and c not in out]
+        # another field with the same label keeps its own columns, named as X19 does
+        named = {}
+        for c, e in cols.items():
+            name, n = c, 0
+            while name in out:
+                n += 1
+                name = f"{c}__dup{n}"
+            named[name] = e
+        cols = named
+        new = [c for c in cols if c not in existing_set]
         if cap is not None and new and used + len(out) + len(new) > cap:
             capped.append(m.key)
             continue
@@ -327,7 +336,7 @@ def normalize_schema(df: DataFrame, pk: Sequence[str], core: Sequence[str],
                      types: dict | None = None,
                      time_of_day: Sequence[str] = ()) -> DataFrame:
     """Add missing PK/core columns as typed NULLs, parse ``*_time``/``*_date``
-    text columns as timestamps (time-of-day columns excluded, D6), order
+    text columns as timestamps (zero dates are NULL; time-of-day columns excluded, D6), order
     PK, core, then the rest alphabetically, first of duplicate names wins."""
     types = types or {}
     skip_parse = set(time_of_day)
@@ -338,7 +347,7 @@ def normalize_schema(df: DataFrame, pk: Sequence[str], core: Sequence[str],
         e = F.col(c)
         if (c.endswith(("_time", "_date")) and c not in skip_parse
                 and isinstance(df.schema[c].dataType, StringType)):
-            e = F.try_to_timestamp(e)
+            e = P.clean_timestamp(e)
         cols[c] = e
     for c in list(pk) + list(core):
         if c not in cols:

@@ -8,6 +8,8 @@ cast on raw data would fail the whole job).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ ZERO_DATETIME_PREFIXES = ("0000-00-00", "-0001-11-30T00:00:00")
 ZERO_DATE_EXACT = "0000-00-00"
 ZERO_DATE_PREFIX = "-0001"
 
+# Components of the source system's address objects.
 ADDRESS_FIELDS = ("value", "country", "admin_area_level_1", "admin_area_level_2",
                   "locality", "sublocality", "route", "street_number", "postal_code")
 
@@ -44,6 +47,13 @@ def _is_number(kind: Column) -> Column:
             | kind.startswith("DECIMAL"))
 
 
+def is_zero_date(s: Column) -> Column:
+    """Whether a text is one of the source system's ways to say "no date"."""
+    t = F.trim(s)
+    return reduce(lambda a, b: a | b, [t == "", t.startswith(ZERO_DATE_PREFIX),
+                                       *[t.startswith(p) for p in ZERO_DATETIME_PREFIXES]])
+
+
 def clean_timestamp(s: Column) -> Column:
     """V3: blank / ``0000-00-00…`` / ``-0001-11-30T00:00:00…`` -> NULL, else a UTC instant."""
     t = F.trim(s)

@@ -24,8 +24,21 @@ _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 _RANK = {ByteType: 1, ShortType: 2, IntegerType: 3, LongType: 4}
 
 
+#: Greatest precision of a Spark decimal.
+MAX_DIGITS = 38
+_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
+
+
+def _decimal(t: DataType) -> DecimalType:
+    return t if isinstance(t, DecimalType) else DecimalType(_DIGITS[type(t)], 0)
+
+
 def common_type(a: DataType, b: DataType) -> DataType:
-    """K9: the type both values fit in (numeric widening, else STRING)."""
+    """K9: the type both values fit in without loss (numeric widening, else STRING).
+
+    Exact numbers stay exact: a decimal with another decimal or an integer gives
+    the decimal that holds both, and text if none does.
+    """
     if a == b:
         return a
     if isinstance(a, NullType):
@@ -34,7 +47,13 @@ def common_type(a: DataType, b: DataType) -> DataType:
         return a
     if isinstance(a, _INTEGRAL) and isinstance(b, _INTEGRAL):
         return a if _RANK[type(a)] >= _RANK[type(b)] else b
-    numeric = _INTEGRAL + (FloatType, DoubleType, DecimalType)
+    exact = _INTEGRAL + (DecimalType,)
+    if isinstance(a, exact) and isinstance(b, exact):
+        a, b = _decimal(a), _decimal(b)
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        return DecimalType(digits, scale) if digits <= MAX_DIGITS else StringType()
+    numeric = exact + (FloatType, DoubleType)
     if isinstance(a, numeric) and isinstance(b, numeric):
         return DoubleType()
     if {type(a), type(b)} == {DateType, TimestampType}:
@@ -100,8 +119,8 @@ def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:
 def cast_declared(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast declared columns with ``try_cast``; others keep their type.
 
-    A value that does not fit becomes NULL; :func:`count_cast_rejects`
-    measures how many did.
+    A value that does not fit becomes NULL; :func:`cast_rejects` gives the
+    counters of how many did.
     """
     cols = []
     for f in df.schema.fields:

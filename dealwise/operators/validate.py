@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
 from dealwise.functions.once import evaluate_once
+from dealwise.functions.parse import clean_date, clean_timestamp, is_zero_date
+
+CLEANED = {"date": clean_date, "timestamp": clean_timestamp}
 
 
 @dataclass(frozen=True)
@@ -64,13 +67,21 @@ def validate_stage(df: DataFrame, body: str, rules: Sequence[FieldRule],
     for r in rules:
         key = r.key or r.name
         raw = _get(rec, key, "variant", is_map)
-        fields[r.name] = _get(rec, key, r.type, is_map)
+        if r.type in CLEANED:
+            # V3/V4: "no date" is NULL and no error
+            text = _get(rec, key, "string", is_map)
+            fields[r.name] = CLEANED[r.type](text)
+            fields[f"__z_{r.name}"] = F.coalesce(is_zero_date(text), F.lit(False))
+        else:
+            fields[r.name] = _get(rec, key, r.type, is_map)
         fields[f"__p_{r.name}"] = raw.isNotNull() & ~F.is_variant_null(raw)
     fields["__bad"] = F.lit(False) if is_map else (rec.isNull() & F.col(body).isNotNull())
     staged = evaluate_once(df, **fields)
     errs = []
     for r in rules:
         present, val = F.col(f"__p_{r.name}"), F.col(r.name)
+        if r.type in CLEANED:
+            present = present & ~F.col(f"__z_{r.name}")
         errs.append(F.when(~present, F.lit(f"{r.name}:missing") if r.required else F.lit(None))
                      .when(val.isNull(), F.lit(f"{r.name}:{r.type}")))
     errors = F.filter(F.array(*errs), lambda x: x.isNotNull())

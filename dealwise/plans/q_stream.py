@@ -17,7 +17,7 @@ from dealwise.operators.upsert import BUCKET, read_bucketed, upsert_table
 from dealwise.plans.q_sources import ORDER_FIELDS, ORDERS_SQL, _orders
 from dealwise.plans.q_sync import ACTIVITY, _iso
 from dealwise.plans.registry import ORACLE, register
-from dealwise.plans.sync import read_synced, sync_entity
+from dealwise.plans.sync import EXTRAS, read_synced, sync_entity
 from dealwise.session import scratch_path
 from dealwise.sources.pages import build_page_landing, record_fields, scan_pages
 from dealwise.sources.tables import read_table
@@ -78,7 +78,7 @@ def q_micro_batch_upsert(spark: SparkSession, base: str) -> DataFrame:
 
     stream_backfill(spark, f"{root}/landing/*", "value string", handle, f"{root}/checkpoint",
                     files_per_batch=4, fmt="text")
-    return read_synced(spark, f"{root}/tables", ACTIVITY)
+    return read_synced(spark, f"{root}/tables", ACTIVITY).drop(EXTRAS)
 
 
 @register("paged_stream_backfill", ORDERS_SQL)

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from dealwise.functions import parse as P
 from dealwise.operators.validate import FieldRule as R
 from dealwise.plans.registry import register
-from dealwise.plans.sync import Entity, read_synced, sync_entity
+from dealwise.plans.sync import EXTRAS, Entity, read_synced, sync_entity
 from dealwise.session import scratch_path
 from dealwise.sources.pages import build_page_landing, scan_pages
-from dealwise.sources.tables import read_for_rows as read_table
+from dealwise.sources.tables import read_table
 from dealwise.spec import FieldMeta, Handler
 
 
@@ -35,7 +35,7 @@ def _records(raw: DataFrame) -> DataFrame:
 def _run(spark: SparkSession, raw: DataFrame, entity: Entity) -> DataFrame:
     root = scratch_path(spark, f"sync/{entity.name}-{uuid.uuid4().hex}")
     sync_entity(spark, _records(raw), entity, root)
-    return read_synced(spark, root, entity)
+    return read_synced(spark, root, entity).drop(EXTRAS)
 
 
 # ------------------------------------------------------------------ deals
@@ -286,10 +286,10 @@ def raw_organizations(spark: SparkSession, base: str) -> DataFrame:
                                                   F.lit("owner").alias("name")))).otherwise(F.lit("7"))
     addr = F.when(k % 3 == 0, F.to_json(F.struct(F.concat(F.lit("Rua "), F.col("n_name")).alias("value"),
                                                  F.lit("BR").alias("country"))))\
-            .otherwise(F.to_json(F.array(F.concat(F.lit("Rua "), F.col("n_name")))).substr(F.lit(2), F.lit(10_000)))
+            .otherwise(F.to_json(F.concat(F.lit("Rua "), F.col("n_name")).cast("variant")))
     raw = n.select(k.cast("bigint").alias("id"), F.col("n_name").alias("name"),
                    F.parse_json(owner).alias("ownerId"),
-                   F.parse_json(F.regexp_replace(addr, r"\]$", "")).alias("address"))
+                   F.parse_json(addr).alias("address"))
     return raw
 
 

@@ -31,6 +31,8 @@ from dealwise.spec import FieldMeta, Handler
 from dealwise.streaming import state as S
 
 CAMEL = "(?<!^)(?=[A-Z])"
+#: Column for record keys that are neither fields nor custom fields (JSON, NULL if none).
+EXTRAS = "extra_attributes"
 RUN_LOG = ("flow string, started timestamp, seconds double, rows bigint, invalid_rows bigint, "
            "failed boolean, empty_batches int")
 
@@ -71,14 +73,16 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record",
     With ``observation``, record and invalid-record counts are collected by
     whichever job first runs the plan (no extra pass over the data).
     """
+    # only rejects read __text, so Catalyst drops it on the way to the table
     snake = evaluate_once(records.select("page", "ordinal", record_col),
-                          __rec=snake_keys(F.col(record_col))).drop(record_col)
-    staged = validate_stage(snake, "__rec", entity.fields, keep=("page", "ordinal"))
+                          __rec=snake_keys(F.col(record_col))).withColumn(
+        "__text", F.to_json(record_col)).drop(record_col)
+    staged = validate_stage(snake, "__rec", entity.fields, keep=("page", "ordinal", "__text"))
     if observation is not None:
         staged = staged.observe(observation, F.count(F.lit(1)).alias("records"),
                                 F.count_if(F.size("errors") > 0).alias("invalid"))
-    rejects = staged.filter(F.size("errors") > 0).select("page", "ordinal", "__body", "errors")
-    valid = staged.filter(F.size("errors") == 0).drop("errors")
+    rejects = staged.filter(F.size("errors") > 0).select("page", "ordinal", F.col("__text").alias("body"), "errors")
+    valid = staged.filter(F.size("errors") == 0).drop("errors", "__text")
     known = {r.key or r.name for r in entity.fields}
     raw_map = F.col("__body")
     extras = F.map_filter(raw_map, lambda k, _: ~k.isin(*known, "custom_fields"))
@@ -90,6 +94,11 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record",
     typed = [entity.parsers[r.name](F.col(r.name)).alias(r.name) if r.name in entity.parsers
              else F.col(r.name) for r in entity.fields]
     rows = evaluate_once(valid.select(*typed, "page", "ordinal", "__body"), custom_fields=cf).drop("__body")
+    # Keys that no field and no metadata knows are kept as JSON
+    fields = [m.key for m in entity.custom_fields]
+    unknown = F.map_filter("custom_fields", lambda k, v: ~k.isin(*fields) & v.isNotNull() & ~F.is_variant_null(v)) \
+        if fields else F.map_filter("custom_fields", lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
+    rows = rows.withColumn(EXTRAS, F.when(F.size(unknown) > 0, F.to_json(unknown)))
     if entity.handlers:
         rows = X.apply_handlers(rows, dict(entity.handlers), pk=entity.pk)
     rows = X.explode_custom_fields(rows, entity.custom_fields, pk=entity.pk, core=entity.core,
@@ -98,39 +107,59 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record",
                               time_of_day=X.time_of_day_columns(entity.custom_fields)
                               + list(entity.time_of_day))
     rows = apply_column_cap(rows, entity.column_cap, protected=tuple(entity.pk) + tuple(entity.core)
-                            + ("page", "ordinal"))
+                            + ("page", "ordinal", EXTRAS))
     return rows, rejects
 
 
 def sync_entity(spark: SparkSession, records: DataFrame, entity: Entity, root: str, *,
-                run_start: dt.datetime | None = None, since: dt.datetime | str | None = None
-                ) -> dict:
+                run_start: dt.datetime | None = None, since: dt.datetime | str | None = None,
+                run_id: str | None = None) -> dict:
     """Transform and upsert one entity; stamp the watermark at the run start.
 
-    Rejected records are appended to ``{root}/_rejects`` (only when there are
-    any, known from the observed counts) and one row per run goes to
-    ``{root}/_run_log`` (A3/A4 read it).
+    Rejected records go to ``{root}/_rejects`` (only when there are any, known
+    from the observed counts) and one row per run to ``{root}/_run_log`` (A3/A4
+    read it), each in a folder of the entity and ``run_id`` (the run start unless
+    given): a run or micro-batch that is replayed under its id replaces what it
+    wrote.  A run that fails leaves a row with ``failed`` and raises.
     """
     run_start = run_start or dt.datetime.now(dt.timezone.utc)
+    run_id = run_id or run_start.strftime("%Y%m%dT%H%M%S%f")
+    t0 = time.monotonic()
+    try:
+        return _sync(spark, records, entity, root, run_start, since, run_id)
+    except Exception:
+        _log_run(spark, root, entity, run_start, run_id, time.monotonic() - t0, {}, failed=True)
+        raise
+
+
+def _log_run(spark: SparkSession, root: str, entity: Entity, run_start: dt.datetime, run_id: str,
+             seconds: float, counts: Mapping[str, int], failed: bool = False) -> None:
+    records = int(counts.get("records", 0))
+    spark.createDataFrame(
+        [(entity.name, run_start, seconds, records, int(counts.get("invalid", 0)), failed,
+          int(not failed and not records))], RUN_LOG).write.mode("overwrite").parquet(
+        f"{root}/_run_log/run_entity={entity.name}/run_id={run_id}")
+
+
+def _sync(spark: SparkSession, records: DataFrame, entity: Entity, root: str, run_start: dt.datetime,
+          since: dt.datetime | str | None, run_id: str) -> dict:
     t0 = time.monotonic()
     obs = Observation(f"sync_{entity.name}_{uuid.uuid4().hex[:8]}")
     rows, rejects = transform(records, entity, observation=obs)
     if since is not None and entity.order and entity.order in rows.columns:
         rows = S.incremental(rows, entity.order, since)
-    # Latest ``order`` wins; exact ties fall to the row values (deterministic)
-    order = [F.col(c) for c in (entity.order,) if c and c in rows.columns]
-    latest = one_per_key(rows.drop("page", "ordinal"), entity.pk, order)
+    # Latest ``order`` wins, of equal ones the record that came in last
+    order = [F.col(c) for c in (entity.order, "page", "ordinal") if c and c in rows.columns]
+    latest = one_per_key(rows, entity.pk, order).drop("page", "ordinal")
     report = upsert_table(spark, f"{root}/{entity.table}", latest, entity.pk, buckets=entity.buckets,
-                          dedupe=False)
+                          dedupe=False, batch_id=run_id)
     counts = obs.get
     if counts.get("invalid"):
         (rejects.select(F.lit(entity.name).alias("entity"), F.lit(run_start).alias("run_start"),
-                        "page", "ordinal", F.to_json("__body").alias("body"), "errors")
-                .write.mode("append").parquet(f"{root}/_rejects"))
+                        "page", "ordinal", "body", "errors")
+                .write.mode("overwrite").parquet(f"{root}/_rejects/run_entity={entity.name}/run_id={run_id}"))
     seconds = time.monotonic() - t0
-    spark.createDataFrame(
-        [(entity.name, run_start, seconds, int(counts.get("records", 0)), int(counts.get("invalid", 0)),
-          False, 0)], RUN_LOG).write.mode("append").parquet(f"{root}/_run_log")
+    _log_run(spark, root, entity, run_start, run_id, seconds, counts)
     S.set_watermark(spark, f"{root}/_state", entity.name, run_start)
     report.update(counts=counts, rejects=rejects, seconds=seconds)
     return report

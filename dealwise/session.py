@@ -113,3 +113,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small text file (table metadata) on the cluster file system."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text written by :func:`write_small`, or None."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package wrote (staged batches)."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -16,21 +16,48 @@ from pyspark.sql import functions as F
 ENVELOPE = "data array<variant>, additional_data variant"
 
 
-def scan_pages(pages: DataFrame, body: str = "value", page_col: str | None = None) -> DataFrame:
+def page_error(body: Column) -> Column:
+    """Why a page cannot be read, or NULL: text that is no JSON object, an error
+    payload (``success: false``), or ``data`` that is not a list.  A page whose
+    ``data`` is missing or null is empty, which is no error."""
+    page = F.try_parse_json(body)
+    kind = F.schema_of_variant(page)
+    data = F.try_variant_get(page, "$.data", "variant")
+    return (F.when(page.isNull() | ~kind.startswith("OBJECT"), "page:json")
+             .when(~F.coalesce(F.try_variant_get(page, "$.success", "boolean"), F.lit(True)), "page:error")
+             .when(data.isNotNull() & ~F.is_variant_null(data) & ~F.schema_of_variant(data).startswith("ARRAY"),
+                   "page:data"))
+
+
+def page_rejects(pages: DataFrame, body: str = "value") -> DataFrame:
+    """The pages that cannot be read, whole, with ``reason``."""
+    return pages.withColumn("reason", page_error(F.col(body))).where("reason is not null")
+
+
+def scan_pages(pages: DataFrame, body: str = "value", page_col: str | None = None,
+               on_bad: str = "fail") -> DataFrame:
     """``(page, ordinal, record VARIANT)`` from page bodies.
 
-    ``page_col`` names a column holding the page position; without one the
-    scan uses ``(input file, offset in file)`` order from the landing.
+    ``page_col`` names a column holding the page position; without one it is the
+    page's own offset, or for cursor pages its place in the landing's files.  An
+    unreadable page fails the run; ``on_bad="skip"`` leaves such pages to
+    :func:`page_rejects`.
     """
-    env = F.from_json(F.col(body), ENVELOPE)
-    # without a page column, the page's own position (offset start or cursor)
+    text = F.col(body)
+    env = F.from_json(text, ENVELOPE)
     meta = env["additional_data"]
     page = F.col(page_col) if page_col else F.coalesce(
-        F.try_variant_get(meta, "$.pagination.start", "bigint"),
-        F.crc32(F.coalesce(F.try_variant_get(meta, "$.next_cursor", "string"), F.lit(""))))
-    parsed = pages.select(page.alias("page"), env["data"].alias("data"))
-    ok = parsed.filter(F.col("data").isNotNull() & (F.size("data") > 0))
-    return ok.select("page", F.posexplode("data").alias("ordinal", "record"))
+        F.try_variant_get(meta, "$.pagination.start", "bigint"), F.monotonically_increasing_id())
+    parsed = pages.select(page.alias("page"), env["data"].alias("data"), text.alias("body"))
+    # the dear check runs only on pages that gave no records
+    empty = F.coalesce(F.size("data") <= 0, F.lit(True))
+    reason = F.when(empty, page_error(F.col("body")))
+    if on_bad == "fail":
+        message = F.concat(F.lit("unreadable page: "), reason, F.lit(" "), F.substring("body", 1, 200))
+        data = F.when(reason.isNull(), F.col("data")).otherwise(F.raise_error(message).cast("array<variant>"))
+    else:
+        data = F.when(~empty, F.col("data"))
+    return parsed.select("page", F.posexplode(data).alias("ordinal", "record"))
 
 
 def read_pages(spark: SparkSession, landing: str) -> DataFrame:

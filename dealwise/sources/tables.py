@@ -32,40 +32,3 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
                            lowerBound=lower, upperBound=upper,
                            numPartitions=num_partitions,
                            properties=properties or {})
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for heavy per-row work on an input with few splits.
-
-    A Parquet file with one or two large row groups yields one or two scan
-    tasks, so JSON decoding or regexes over it would run on one core.  When
-    the scan has fewer splits than the cluster has cores, rows are spread
-    round-robin first.  Large inputs already have more splits than cores and
-    are returned untouched (no shuffle is added at scale).
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or _input_bytes(spark, df) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(cores)
-
-
-# Inputs smaller than this are not worth a shuffle.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    """Total size of the (few) files behind a scan, from file-system metadata."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def read_for_rows(spark: SparkSession, base_dir: str, name: str,
-                  columns: list[str] | None = None) -> DataFrame:
-    """:func:`read_table` followed by :func:`spread` (for per-row heavy plans)."""
-    return spread(read_table(spark, base_dir, name, columns))

@@ -59,8 +59,7 @@ def stream_backfill(spark: SparkSession, landing: str, schema: StructType | str,
 
 
 def drain_paged_stream(spark: SparkSession, fmt: str, options: dict,
-                       handle_batch: Callable[[DataFrame, int], None], checkpoint: str,
-                       max_runs: int = 10_000) -> int:
+                       handle_batch: Callable[[DataFrame, int], None], checkpoint: str) -> int:
     """C5 for page sources: repeat ``AvailableNow`` runs until one brings no rows.
 
     A simple stream reader performs one ``read`` per run, so each run moves
@@ -68,7 +67,7 @@ def drain_paged_stream(spark: SparkSession, fmt: str, options: dict,
     (and across restarts).  Returns the number of runs that brought rows.
     """
     runs = 0
-    for _ in range(max_runs):
+    while True:
         got = []
 
         def _each(df: DataFrame, batch_id: int) -> None:
@@ -83,4 +82,3 @@ def drain_paged_stream(spark: SparkSession, fmt: str, options: dict,
         if not got:
             return runs
         runs += 1
-    return runs

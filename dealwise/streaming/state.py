@@ -97,13 +97,13 @@ def since_expr(last_ok: Column) -> Column:
 def incremental(df: DataFrame, column: str, since: dt.datetime | str | None) -> DataFrame:
     """Rows updated at or after ``since`` (full table when ``since`` is None).
 
-    The bound is a literal, so the comparison reaches the Parquet reader as a
+    A row without an update time may have changed, so it is kept.  The bound is a literal, so the comparison reaches the Parquet reader as a
     pushed filter (row groups outside the window are skipped).
     """
     if since is None:
         return df
     lit = F.lit(since).cast("timestamp") if isinstance(since, str) else F.lit(_utc(since))
-    return df.filter(F.col(column) >= lit)
+    return df.filter((F.col(column) >= lit) | F.col(column).isNull())
 
 
 def freshness_predicate(columns: Sequence[str], present: Sequence[str], since: Column) -> Column | None:
