@@ -1,10 +1,10 @@
 """Row de-duplication (W1 keep-last, W2 keep-first, W3 one row per key).
 
 All variants are written as a grouped ``min``/``max`` over a struct whose
-leading fields are the ordering columns.  That is an ordinary hash aggregate:
-it combines map-side, so a key holding a third of all rows is reduced to one
-row per input partition before the shuffle, instead of being sorted in one
-task as a ``row_number()`` window would do.  Struct comparison is
+leading fields are the ordering columns.  Rows with text columns make Spark plan a
+sort aggregate: each input partition is sorted by key and combined before the
+shuffle, so a key holding a third of all rows is one row per input partition
+there, instead of being sorted in one task as a ``row_number()`` window would do.  Struct comparison is
 lexicographic, so the remaining columns act as a deterministic tiebreak.
 """
 

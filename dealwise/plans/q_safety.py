@@ -3,16 +3,20 @@ batches, unusable keys, mixed decimals, unreadable pages, zero dates, unknown ke
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealwise.operators import evolve as E
 from dealwise.operators import upsert as U
+from dealwise.operators.bi import activity_rollup, build_bi_fact
 from dealwise.operators.validate import FieldRule as R
+from dealwise.plans import q_sync as QS
 from dealwise.plans.registry import register
-from dealwise.plans.sync import EXTRAS, Entity, read_synced, sync_entity
+from dealwise.plans.sync import EXTRAS, Entity, read_synced, run_all, sync_entity
 from dealwise.session import scratch_path
 from dealwise.sources.pages import build_page_landing, page_rejects, scan_pages
 from dealwise.sources.tables import read_table
@@ -177,3 +181,71 @@ FROM orders
 def q_entity_sync_extras(spark: SparkSession, base: str) -> DataFrame:
     """Keys that nothing describes are kept."""
     return _synced_tasks(spark, base).select("id", EXTRAS)
+
+
+CUTOFF = dt.datetime(1995, 6, 17, tzinfo=dt.timezone.utc)
+
+
+@register("sync_incremental_second_run", """
+SELECT o_orderkey AS id, 'Order #' || CAST(o_orderkey AS VARCHAR) AS title, o_totalprice AS value,
+       o_orderdate + INTERVAL 1 DAY AS update_time
+FROM orders
+""")
+def q_sync_incremental_second_run(spark: SparkSession, base: str) -> DataFrame:
+    """A full run up to a moment, then a run that reads the landing only from
+    its watermark on, give the whole table."""
+    root = _path(spark, "incremental")
+    raw = QS.raw_deals(spark, base)
+    old = raw.where(F.col("updateTime").cast("timestamp") < F.lit(CUTOFF))
+
+    def landing(since: dt.datetime | None) -> DataFrame:
+        new = raw if since is None else raw.where(F.col("updateTime").cast("timestamp") >= F.lit(since))
+        return QS._records(new)
+
+    run_all(spark, {"deals": QS._records(old)}, {"deals": QS.DEAL}, root, run_start=CUTOFF)
+    run_all(spark, {"deals": landing}, {"deals": QS.DEAL}, root)
+    return read_synced(spark, root, QS.DEAL).select("id", "title", "value", "update_time")
+
+
+CLOSED_DEAL = replace(QS.DEAL, fields=(*QS.DEAL.fields, R("close_time", "string")),
+                      core=(*QS.DEAL.core, "close_time"))
+
+
+@register("sync_bi_persisted", """
+WITH a AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS deal_id, CAST(l_shipdate AS DATE) AS due,
+                  l_shipdate + CAST(l_partkey % 1000 AS INTEGER) * INTERVAL 1 SECOND AS u FROM lineitem),
+l AS (SELECT deal_id, max(due) AS due, count(DISTINCT id) AS n FROM a GROUP BY deal_id)
+SELECT o.o_orderkey AS deal_id, CAST(CAST(o.o_totalprice AS DECIMAL(18,4)) AS VARCHAR) AS value,
+       o.o_orderdate + (o.o_custkey % 90) * INTERVAL 1 DAY AS close_time, c.c_name AS contact_name,
+       n.n_name AS company_name, CAST(coalesce(l.n, 0) AS INTEGER) AS activity_count,
+       CAST(o.o_custkey % 90 AS INTEGER) AS deal_duration_days
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT JOIN nation n ON n.n_nationkey = o.o_orderkey % 30 LEFT JOIN l ON l.deal_id = o.o_orderkey
+""")
+def q_sync_bi_persisted(spark: SparkSession, base: str) -> DataFrame:
+    """Organizations, persons, deals and activities synced, then the fact with
+    durations and DECIMAL(18,4) values upserted by deal, twice, and read back."""
+    root = _path(spark, "bi")
+    deals = QS.raw_deals(spark, base)
+    closed = F.timestamp_add("DAY", F.col("personId") % 90, F.col("addTime").cast("timestamp"))
+    raws = {"organizations": QS.raw_organizations(spark, base), "persons": QS.raw_persons(spark, base),
+            "deals": deals.withColumn("closeTime", F.date_format(closed, "yyyy-MM-dd HH:mm:ss")),
+            "activities": QS.raw_activities(spark, base)}
+    entities = {"organizations": QS.ORG, "persons": QS.PERSON, "deals": CLOSED_DEAL, "activities": QS.ACTIVITY}
+    table = f"{root}/bi_deals"
+
+    def fact(spark: SparkSession, root: str) -> dict:
+        people = read_synced(spark, root, QS.PERSON).select(
+            "id", F.col("name").alias("contact_name"), F.col("email_contatos_primary_value").alias("contact_email"),
+            F.col("telefone_contatos_primary_value").alias("contact_phone"))
+        orgs = read_synced(spark, root, QS.ORG).select("id", F.col("name").alias("company_name"))
+        rollup = activity_rollup(read_synced(spark, root, QS.ACTIVITY))
+        rows = build_bi_fact(read_synced(spark, root, CLOSED_DEAL), people, orgs, rollup)
+        rows = rows.withColumn("value", F.col("value").cast("decimal(18,4)"))
+        return U.upsert_table(spark, table, rows, ["deal_id"], buckets=8, dedupe=False)
+
+    run_all(spark, {k: QS._records(v) for k, v in raws.items()}, entities, root, derived={"bi": fact})
+    fact(spark, root)
+    return U.read_bucketed(spark, table).select(
+        "deal_id", F.col("value").cast("string").alias("value"), "close_time", "contact_name", "company_name",
+        "activity_count", "deal_duration_days")

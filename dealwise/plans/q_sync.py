@@ -199,8 +199,12 @@ SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY id ORDER BY update_time
 """)
 def q_entity_sync_activities(spark: SparkSession, base: str) -> DataFrame:
     """C8 for activities: repeated ids in one batch (W3), time-of-day kept as text."""
+    return _run(spark, raw_activities(spark, base), ACTIVITY)
+
+
+def raw_activities(spark: SparkSession, base: str) -> DataFrame:
     li = read_table(spark, base, "lineitem")
-    raw = li.select(
+    return li.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("dealId"),
         F.concat(F.lit("Line "), F.col("l_linenumber").cast("string")).alias("subject"),
@@ -208,7 +212,6 @@ def q_entity_sync_activities(spark: SparkSession, base: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("dueDate"), F.lit("10:30").alias("dueTime"),
         _iso(F.timestamp_add("SECOND", (F.col("l_partkey") % 1000).cast("int"), F.col("l_shipdate")))
          .alias("updateTime"))
-    return _run(spark, raw, ACTIVITY)
 
 
 # --------------------------------------------------------------- pipelines
