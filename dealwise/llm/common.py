@@ -38,8 +38,8 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared scratch folder: (frame read back, its folder).
 
     Cuts lineage in a way that survives lost executors: the files are in the
     folder named by ``spark.checkpoint.dir``.
@@ -47,7 +47,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stored_at` for a frame that a lazy result reads: its files stay until the
+    checkpoint folder is cleared."""
+    return stored_at(df, name)[0]
 
 
 def hash_sample(df: DataFrame, rows: int, keys: list[str], total: int | None = None) -> DataFrame:

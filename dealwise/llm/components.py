@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealwise.llm.common import stored
+from dealwise.llm.common import stored_at
+from dealwise.session import delete_path
 
 
 def _minima(edges: DataFrame) -> DataFrame:
@@ -28,11 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hangs neighbours with greater ids to the least neighbour and then
     smaller ones, until nothing changes: a logarithmic number of rounds in
-    practice.  Rounds are written to the shared folder; only a count and a
-    checksum reach the driver.
+    practice.  Each round is written to the shared folder and the one before is
+    removed; only a count and a checksum reach the driver.
     """
-    now = stored(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-                 "edges")
+    now, place = stored_at(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                           .distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -42,7 +43,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = _minima(large)
         small = (low.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
                  .where("u != v").distinct())
-        now = stored(small, "edges")
+        old = place
+        now, place = stored_at(small, "edges")
+        delete_path(edges.sparkSession, old)
         last, mark = mark, _mark(now)
         if last == mark:
             break

@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dealwise.llm.common import small_batches, stored, utf8
+from dealwise.llm.common import small_batches, stored, stored_at, utf8
 from dealwise.llm.components import components
+from dealwise.session import delete_path
 
 SHINGLE = 5
 THRESHOLD = (4, 5)  # as a fraction, so that the check is exact
@@ -195,12 +196,13 @@ def forest_links(texts: DataFrame, recall: float = RECALL) -> DataFrame:
     share = THRESHOLD[0] / THRESHOLD[1]
     depth = DEPTH
     while True:
-        links = stored(_prefix_links(texts, depth), "forest")
+        links, place = stored_at(_prefix_links(texts, depth), "forest")
         found = 1 - F.pow(1 - F.pow(F.col("s"), depth), F.lit(TREES))
         n, whole = (links.groupBy(F.least("u", "v"), F.greatest("u", "v")).agg(F.max("s").alias("s"))
                     .where(F.col("s") >= share).agg(F.count("*"), F.sum(1 / found)).first())
         if depth == 1 or (n or 0) >= recall * (whole or 0):
             return links
+        delete_path(texts.sparkSession, place)
         depth -= 1
 
 
