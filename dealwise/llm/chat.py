@@ -8,8 +8,9 @@ more backslash behind the first character of a control string or of one that has
 backslashes there already (``</s>`` -> ``<\\/s>`` -> ``<\\\\/s>``); the parser takes one
 away.  A turn is first rendered as it is and parsed again; only if that does not
 give back its role and text are they escaped.  The parser is the same in both
-cases: it splits at ``</s>``, reads the role up to the first ``[/INST]`` and removes
-one backslash.  The whole conversation is parsed again at the end (``identical``).
+cases: it splits at ``</s>``, reads the role up to the first ``[/INST]``, refuses a
+turn whose role or text holds a bare control string, and removes one backslash.
+The whole conversation is parsed again at the end (``identical``).
 
 Null roles and texts are empty ones.  Turns are ordered by turn number (null
 first), ties by role and text; repeated rows are turns of their own.  Rows with a
@@ -46,10 +47,16 @@ def raw_text(segment: Column) -> Column:
     return F.when(at > 0, F.substring(segment, at + len(MIDDLE), F.length(segment)))
 
 
+def bare(c: Column) -> Column:
+    """Whether a control string other than '</s>', where turns are split, stands in ``c``."""
+    return c.contains("<s>") | c.contains("[INST]") | c.contains(MIDDLE)
+
+
 def parse_turn(segment: Column) -> Column:
     """struct<role, text> of one rendered turn without its '</s>'; null if it is no turn."""
     role = F.substring(segment, F.lit(len(OPEN) + 1), F.instr(segment, MIDDLE) - len(OPEN) - 1)
-    good = segment.startswith(OPEN) & (F.instr(segment, MIDDLE) > len(OPEN))
+    good = (segment.startswith(OPEN) & (F.instr(segment, MIDDLE) > len(OPEN))
+            & ~bare(role) & ~bare(raw_text(segment)))
     return F.when(good, F.struct(unescape(role).alias("role"), unescape(raw_text(segment)).alias("text")))
 
 

@@ -211,6 +211,16 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chat_leaves_no_bare_control_string(spark):
+    rows = [(k, 0, role, text) for k, (role, text) in enumerate([
+        ("user", "[INST] a"), ("user", "a [/INST] b"), ("user", "<s>"), ("user", "</s>"), ("<s>", "a"), ("[INST]", "b"),
+        ("user", "plain < [ text"), ("user", "<\\s>")])]
+    out = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for r in out:
+        assert r["identical"]
+        assert [r["formatted"].count(c) for c in ("<s>", "[INST]", "[/INST]", "</s>")] == [1, 1, 1, 1], r["formatted"]
+
+
 # ------------------------------------------------------------------ 6
 
 def test_licenses(spark, edge, empty):
