@@ -14,8 +14,9 @@ from labelled rows.
   other) labelled rows, chosen by hash of the id; all rows are scored.
 * Score: the regression's probability for the distinct words of a text.
 
-Null and empty texts score like a text without toxic words.  Labels of rows whose id
-repeats all count; labels that are null do not.  Without toxic labels the lexicon is
+Null and empty texts score like a text without toxic words.  Of rows that repeat an id
+the one with the least text is learned from, with each label that the id has; labels
+that are null do not count.  Without toxic labels the lexicon is
 empty and every score is the share of toxic labels.
 """
 
@@ -252,6 +253,8 @@ def fit_lexicon(df: DataFrame, labels: DataFrame, model: CharModel, doc_id: str,
               .union(hash_sample(known.where("toxic <> 1"), sample[1], ["id"], n.get(False, 0))))
     chosen = checked_broadcast(chosen.withColumnRenamed("id", "label_id"), sum(sample))
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, F.col("id") == F.col("label_id"))
+    # one text a label: rows that repeat an id must not swell the sample
+    rows = rows.groupBy("id", "toxic").agg(F.min("text").alias("text"))
     rows = stored(rows.select("text", "toxic"), "toxic-sample")
 
     def words(body: str | None) -> set[str]:
