@@ -4,7 +4,7 @@ A window is ``window`` consecutive words of one text; it recurs if its words als
 start anywhere else, in the same text too.  Every word that a recurring window
 covers is removed.  Windows are judged on the input.
 
-Texts are dealt by a hash of their id into blocks of about ``BLOCK_BYTES``; the
+Texts are dealt by a hash of id and text into blocks of about ``BLOCK_BYTES``; the
 blocks are shuffled once and read three times.
 
 1. Every window has a *phrase*: of the ``phrase``-word sequences in it the one with
@@ -189,7 +189,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     joined by one space) and ``removed`` (ranges ``[start, end)`` of word numbers)."""
     size = df.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0)).cast("bigint")).first()[0]
     blocks = size // BLOCK_BYTES + 1
-    docs = df.select(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(blocks)).alias("block"), F.col(doc_id).alias("id"),
+    docs = df.select(F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(blocks)).alias("block"), F.col(doc_id).alias("id"),
                      F.col(text).alias("text"))
     # one exchange by block, shared by the three passes
     docs = docs.repartition("block")
