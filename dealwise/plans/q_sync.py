@@ -160,6 +160,10 @@ FROM supplier
 """)
 def q_entity_sync_users(spark: SparkSession, base: str) -> DataFrame:
     """C8 for users: offset/lang/flag parsers (V9-V11) inside the sync."""
+    return _run(spark, raw_users(spark, base), USER)
+
+
+def raw_users(spark: SparkSession, base: str) -> DataFrame:
     s = read_table(spark, base, "supplier")
     k = F.col("s_suppkey")
     t0 = F.lit("2023-06-01 00:00:00").cast("timestamp")
@@ -172,7 +176,7 @@ def q_entity_sync_users(spark: SparkSession, base: str) -> DataFrame:
         F.when(k % 4 == 0, F.lit("0")).otherwise(F.lit("1")).alias("activeFlag"),
         F.date_format(F.timestamp_add("HOUR", k, t0), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created"),
         F.date_format(F.timestamp_add("HOUR", k, t1), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("modified"))
-    return _run(spark, raw, USER)
+    return raw
 
 
 # -------------------------------------------------------------- activities

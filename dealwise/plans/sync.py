@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from dealwise.functions import custom_fields as X
 from dealwise.functions.once import evaluate_once
+from dealwise.lookups import LOOKUPS
+from dealwise.operators.enrich import enrich
 from dealwise.operators.evolve import apply_column_cap
-from dealwise.operators.upsert import BUCKET, one_per_key, read_bucketed, upsert_table
+from dealwise.operators.upsert import BUCKET, one_per_key, read_bucketed, table_exists, upsert_table
 from dealwise.operators.validate import FieldRule, validate_stage
 from dealwise.spec import FieldMeta, Handler
 from dealwise.streaming import state as S
@@ -169,6 +171,28 @@ def read_synced(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
     return read_bucketed(spark, f"{root}/{entity.table}").drop(BUCKET)
 
 
+def fill_lookups(spark: SparkSession, root: str, entity: Entity, run_id: str | None = None) -> dict:
+    """Fill the label columns of a synced table from the tables synced before it.
+
+    Lookups whose key column or source table does not exist (yet) are left out.  Only
+    rows whose labels change are upserted, so a run without changes writes no bucket.
+    """
+    rows = read_synced(spark, root, entity)
+    specs = [s for s in LOOKUPS.get(entity.table, ())
+             if s.dest_key in rows.columns and table_exists(spark, f"{root}/{s.source_table}")]
+    if not specs:
+        return {"labels": [], "touched": []}
+    tables = {t: read_bucketed(spark, f"{root}/{t}").drop(BUCKET) for t in {s.source_table for s in specs}}
+    labels = [s.dest_col for s in specs]
+    before = F.struct(*[(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in labels])
+    held = rows.select(*entity.pk, *{s.dest_key for s in specs} - set(entity.pk),
+                       *[c for c in labels if c in rows.columns], before.alias("__before"))
+    now = enrich(held, specs, tables)
+    changed = now.where(~F.col("__before").eqNullSafe(F.struct(*labels))).select(*entity.pk, *labels)
+    report = upsert_table(spark, f"{root}/{entity.table}", changed, entity.pk, dedupe=False, batch_id=run_id)
+    return {"labels": labels, **report}
+
+
 # Dependency order of the entity flows, then the derived tables.
 RUN_ORDER = ("users", "pipelines", "stages", "organizations", "persons", "deals",
              "activities", "activity_types", "bi", "stage_history")
@@ -182,7 +206,7 @@ Source = DataFrame | Callable[[dt.datetime | None], DataFrame]
 def run_all(spark: SparkSession, sources: Mapping[str, Source], entities: Mapping[str, Entity],
             root: str, derived: Mapping[str, Callable] | None = None,
             depends: Mapping[str, Mapping[str, Sequence[str]]] | None = None,
-            run_start: dt.datetime | None = None) -> dict:
+            run_start: dt.datetime | None = None, lookups: bool = False) -> dict:
     """Every entity in dependency order inside one application.
 
     The watermark of each entity decides its mode.  An entity that never ran, or
@@ -190,7 +214,8 @@ def run_all(spark: SparkSession, sources: Mapping[str, Source], entities: Mappin
     watermark less the skew (C2).  An entity named in ``depends`` (entity -> the
     time columns of each synced entity it depends on) follows C3: it is skipped
     when none of those changed since its last run (J11).  ``derived`` steps run
-    at their place in the order with ``(spark, root)``.
+    at their place in the order with ``(spark, root)``.  With ``lookups`` each synced
+    table gets its labels (:func:`fill_lookups`) right after its sync.
     """
     run_start = run_start or dt.datetime.now(dt.timezone.utc)
     out = {}
@@ -209,6 +234,8 @@ def run_all(spark: SparkSession, sources: Mapping[str, Source], entities: Mappin
             given = sources[name]
             records = given(since) if callable(given) else given
             out[name] = {"mode": mode, **sync_entity(spark, records, entity, root, run_start=run_start, since=since)}
+            if lookups:
+                out[name]["lookups"] = fill_lookups(spark, root, entity)
         elif derived and name in derived:
             out[name] = derived[name](spark, root)
     return out

@@ -1,4 +1,4 @@
-"""Driver-side specifications: entities, tables, lookups, custom-field metadata.
+"""Driver-side specifications: lookups, handlers, custom-field metadata.
 
 These are plain dataclasses.  They hold configuration only (tens to
 thousands of entries) and are turned into column expressions on the driver;
@@ -37,20 +37,6 @@ class FieldMeta:
         return FieldMeta(key, name if isinstance(name, str) else None, ftype, tuple(opts))
 
 
-@dataclass(frozen=True)
-class TableSpec:
-    """A target table: primary key, declared types, bucket count, column cap."""
-    name: str
-    pk: tuple[str, ...]
-    types: dict = field(default_factory=dict)
-    core: tuple[str, ...] = ()
-    buckets: int = 16
-    column_cap: int = 1500
-    overflow_column: str = "custom_fields_overflow"
-    time_of_day: tuple[str, ...] = ()
-    allow_column_dropping: bool = True
-
-
 @dataclass(frozen=True)
 class LookupSpec:
     """Fill ``dest_col`` of the target from ``source_table`` by key."""
@@ -68,17 +54,3 @@ class Handler:
     kind: str
     slug_name: str | None = None
     params: dict = field(default_factory=dict)
-
-
-@dataclass(frozen=True)
-class EntitySpec:
-    """One synchronised entity: raw field types, table, handlers, lookups."""
-    name: str
-    table: TableSpec
-    fields: dict  # core field -> Spark SQL type for tolerant extraction
-    required: tuple[str, ...] = ("id",)
-    handlers: dict = field(default_factory=dict)
-    lookups: tuple[LookupSpec, ...] = ()
-    updated_column: str = "update_time"
-    version: int = 2
-    cost: int = 1
