@@ -44,7 +44,8 @@ def enrich(df: DataFrame, lookups: Sequence[LookupSpec], tables: Mapping[str, Da
     compares keys as text (for tables whose ids are stored as TEXT).
     """
     out = df
-    small: dict[str, bool] = {}  # each dimension is sized once, however many lookups read it
+    # each (dimension, label) is sized once, however many lookups read it
+    small: dict[tuple[str, str, str], bool] = {}
     for i, spec in enumerate(lookups):
         if spec.dest_key not in out.columns:
             log.warning("lookup %s skipped: column %s absent", spec.dest_col, spec.dest_key)
@@ -57,9 +58,10 @@ def enrich(df: DataFrame, lookups: Sequence[LookupSpec], tables: Mapping[str, Da
         side = keep_first(dim.select(key_expr(spec.source_key, string_keys).alias(k),
                                      F.col(value).alias(v)), [k], [F.col(v)])
         side = side.withColumn(m, F.lit(True))
-        if spec.source_table not in small:
-            small[spec.source_table] = fits_broadcast(dim, broadcast_rows)
-        if small[spec.source_table]:
+        read = (spec.source_table, spec.source_key, value)
+        if read not in small:
+            small[read] = fits_broadcast(dim.select(*dict.fromkeys((spec.source_key, value))), broadcast_rows)
+        if small[read]:
             side = F.broadcast(side)
         out = out.join(side, key_expr(spec.dest_key, string_keys) == F.col(k), "left")
         prev = F.col(spec.dest_col) if spec.dest_col in df.columns else F.lit(None)

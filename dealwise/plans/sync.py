@@ -185,7 +185,7 @@ def fill_lookups(spark: SparkSession, root: str, entity: Entity, run_id: str | N
     tables = {t: read_bucketed(spark, f"{root}/{t}").drop(BUCKET) for t in {s.source_table for s in specs}}
     labels = [s.dest_col for s in specs]
     before = F.struct(*[(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in labels])
-    held = rows.select(*entity.pk, *{s.dest_key for s in specs} - set(entity.pk),
+    held = rows.select(*entity.pk, *dict.fromkeys(s.dest_key for s in specs if s.dest_key not in entity.pk),
                        *[c for c in labels if c in rows.columns], before.alias("__before"))
     now = enrich(held, specs, tables)
     changed = now.where(~F.col("__before").eqNullSafe(F.struct(*labels))).select(*entity.pk, *labels)

@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from dealwise.functions import custom_fields as X
+from dealwise.lookups import LOOKUPS
 from dealwise.operators import history as H
 from dealwise.operators.enrich import enrich
 from dealwise.operators.evolve import apply_column_cap
+from dealwise.operators.joins import fits_broadcast
+from dealwise.sources.field_metadata import field_metadata, field_metas
 from dealwise.spec import FieldMeta, LookupSpec
 
 
@@ -69,3 +72,24 @@ def test_dependency_decision_and_route_registration(spark):
     register_route("/projects", "v2", 7)
     assert ROUTES["/projects"].cost == 7
     assert routes_frame(spark).filter("endpoint = '/projects'").count() == 1
+
+
+def test_broadcast_bound_counts_rows_and_bytes(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"),
+                                 F.lit(None).cast("string").alias("n"))
+    assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)
+    assert not fits_broadcast(df, 100, max_bytes=50_000) and fits_broadcast(df.limit(0), 0)
+
+
+def test_lookup_catalogue_is_whole():
+    assert {t: len(specs) for t, specs in LOOKUPS.items()} == {
+        "negocios": 5, "leads": 3, "organizacoes": 1, "pessoas": 2, "etapas_funil": 1, "atividades": 6}
+
+
+def test_field_metas_keep_the_last_of_a_key(spark):
+    rows = spark.createDataFrame([(0, 0, '{"key":"k","field_type":"enum","options":[{"id":1,"label":"a"}]}'),
+                                  (0, 1, '{"key":"k","field_type":"enum","name":"N","options":null}'),
+                                  (0, 2, '{"name":"no key"}'), (0, 3, "17")], "page int, ordinal int, j string")
+    found = field_metadata(rows.select("page", "ordinal", F.try_parse_json("j").alias("record")))
+    assert field_metas(found) == (FieldMeta("k", "N", "enum"),)
+    assert field_metas(found.limit(0)) == ()
