@@ -5,14 +5,13 @@ return the columns of documents.  ``run`` writes each stage's result to the shar
 folder and reads it back, so a lost executor costs one stage's tasks at most.
 
 Null, empty or repeated rows and further columns: see the operators.  Rows without
-a doc_id pass the near-duplicate stage, as no link can name them; of rows that
-repeat a doc_id one stays.
+a doc_id are judged by their texts like any other; of rows that repeat a doc_id one
+text is judged, and only a row with that text can stay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dealwise.llm import common, decontaminate, mix, neardups, quality, shard
@@ -30,14 +29,26 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the least id."""
-    ident, rank = common.fresh(docs, "kept_id"), common.fresh(docs, "kept_rank")
-    first = (neardups.near_duplicates(docs.select("doc_id", "text")).where("doc_id = class_id")
-             .select(F.col("doc_id").alias(ident)))
-    kept = docs.join(first, F.col("doc_id") == F.col(ident), "left_semi")
-    one = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).drop(rank)
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near duplicates: the one with the least id, or one
+    without an id if none has one.
+
+    A row without an id goes by its text's 64-bit hash.  If it has no words either, it
+    links to nothing and stays.
+    """
+    key, mark, best = (common.fresh(docs, c) for c in ("near_key", "near_mark", "near_best"))
+    has = F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
+    loose = F.col("doc_id").isNull() & ~has
+    rows = (docs.where(~loose).withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")))
+            .withColumn(mark, F.struct((~has).alias("none"), F.xxhash64("text").alias("hash"))))
+    # the text that is compared is the one that is kept
+    first = rows.groupBy(F.col(key).alias("k")).agg(F.min(mark).alias(best), F.min("doc_id").alias("own"))
+    first = common.stored(first, "near-rows")
+    rows = rows.join(first.select("k", best), (F.col(key) == F.col("k")) & (F.col(mark) == F.col(best)), "left_semi")
+    classes = neardups.near_duplicates(rows.select(key, "text"), doc_id=key).select(F.col(key).alias("node"), "class_id")
+    rank = F.struct(F.col("own").isNull().alias("lost"), "own", "node")
+    kept = classes.join(first, F.col("node") == F.col("k")).groupBy("class_id").agg(F.min(rank)["node"].alias("node"))
+    kept = rows.join(kept.select("node"), F.col(key) == F.col("node"), "left_semi").dropDuplicates([key])
+    return kept.drop(key, mark).unionByName(docs.where(loose))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ Two texts link if the Jaccard similarity of their sets is ``THRESHOLD`` or more.
 Words are runs of characters other than ASCII white space.  Empty and null texts
 have no shingles and link to nothing, not even to one another.  Rows without an id
 are left out.  Rows that repeat an id are one text; if their texts differ, the one
-with the least set fingerprint stands.
+with the least set fingerprint stands, and a text without words only if there is no
+other.
 """
 
 from __future__ import annotations
@@ -264,7 +265,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     small_batches(df.sparkSession)
     docs = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     signed = docs.mapInArrow(_signed, "id long, fp1 long, fp2 long, sig binary")
-    members = stored(signed.groupBy("id").agg(F.min(F.struct("fp1", "fp2", "sig")).alias("x")).select("id", "x.*"), "members")
+    members = stored(signed.groupBy("id").agg(F.min(F.struct(F.col("fp1").isNull().alias("none"), "fp1", "fp2", "sig")).alias("x"))
+                     .select("id", "x.fp1", "x.fp2", "x.sig"), "members")
     texts = stored(members.where("fp1 is not null").groupBy("fp1", "fp2")
                    .agg(F.min(F.struct("id", "sig")).alias("x"), F.count("*").alias("copies"))
                    .select("fp1", "fp2", "copies", "x.id", "x.sig"), "texts")

@@ -67,3 +67,14 @@ def test_edges(spark):
             if name == "near duplicates" and table is docs:
                 assert sorted((r["doc_id"] or 0) for r in now.collect()) == [0, 1]
         assert now.where(F.col("placed.shard").isNull()).count() == 0
+
+
+def test_near_duplicates_without_and_with_repeated_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near, other = " ".join([*base[:-1], "changed"]), " ".join(f"u{i}" for i in range(30))
+    alone, base = " ".join(f"z{i}" for i in range(30)), " ".join(base)
+    lost = [(None, base), (None, near), (None, alone), (None, alone), (None, " "), (None, None)]
+    docs = spark.createDataFrame([(5, base), (6, near), (7, ""), (7, other), (8, other + " end"), *lost], "doc_id long, text string")
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in P.near_duplicate_stage(spark, docs, SF).collect()))
+    # copies without an id go, the text that is kept is the one compared, empty texts link to nothing
+    assert got == [(0, ""), (0, " "), (0, alone), (5, base), (7, other)]
