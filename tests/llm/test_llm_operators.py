@@ -170,6 +170,27 @@ def test_neardups_brute(spark, monkeypatch):
     assert got == jaccard_classes(texts)
 
 
+def test_neardups_meets_pairs_at_the_threshold(spark):
+    """Many pairs close to the threshold beside many closer ones: none may be lost to the average."""
+    rng = random.Random(12)
+    rows = []
+    for pair in range(4000):
+        words = [f"p{pair}w{i}" for i in range(104)]
+        own = list(words)
+        if pair < 1000:  # 100 shingles of each, 89 in both: 89 / 111 = 0.80
+            own[-11:] = [f"p{pair}x{i}" for i in range(11)]
+        else:
+            own[-5:] = [f"p{pair}x{i}" for i in range(5)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(own))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["n_links"] for r in neardups.near_duplicates(docs).collect()}
+    lost = sum(got[2 * pair] == 0 for pair in range(1000))
+    assert lost <= 4 and all(got[2 * pair] == 1 for pair in range(1000, 4000)), lost
+    worst = 1 - (1 - 0.8 ** neardups.prefix_depth()) ** neardups.TREES
+    assert worst >= neardups.RECALL and neardups.prefix_depth(0.98) == neardups.DEPTH and neardups.prefix_depth(1.0) == 1
+
+
 def test_neardups_edges(edge, empty):
     rows = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardups.near_duplicates(edge).collect()}
     assert rows == {i: (i, 0) for i in (1, 2, 3, 4, 5, 6, 7)}
