@@ -3,7 +3,8 @@
 Obfuscated spans (leetspeak, letters set apart, letters repeated) become lattices:
 each seen character offers the letters it may stand for, or nothing, at a channel
 cost.  Viterbi finds the best path under a character trigram model, whose counts
-come from all texts.  The restored words are then scored with a lexicon learned
+come from all texts.  Tokens of any length are decoded, also those of digits and symbols
+only, and so are three and more single characters in a row.  The restored words are then scored with a lexicon learned
 from labelled rows.
 
 * Trigrams: 28 symbols (a-z, other letters, boundary), counted over every text and
@@ -26,6 +27,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -58,10 +60,12 @@ _CLASS = bytes(b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else _OTHER
 
 _TAIL = re.compile(r"(?:([^\w\s])\1\1+|[.,;:!?\"')\]}>])+$")
 _HEAD = re.compile(r"^(?:([^\w\s])\1\1+|[.,;:\"'(\[{<])+")
-_APART = re.compile(r" (\S(?: \S){3,})(?!\S)")
+_APART = re.compile(r" (\S(?: \S){2,})(?!\S)")
+_LONG_RUN = re.compile(r"([^\W\d_])\1{3,}")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
 _DOTTED = re.compile(r"\w(?:[.\-_*/]\w){2,}")
 _LEETISH = re.compile("[" + re.escape("".join(LEET)) + "]")
+_SYMBOLS_ONLY = re.compile("[" + re.escape("".join(LEET) + SEPARATORS) + "]+")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -79,13 +83,27 @@ class CharModel:
         p2 = (bi + 2 * p1) / (bi.sum(axis=1, keepdims=True) + 2)
         p3 = (tri + 2 * p2[None]) / (tri.sum(axis=2, keepdims=True) + 2)
         self.cost = (-np.log(p3)).ravel().tolist()
+        self.known: dict[str, str] = {}
 
     def restore(self, seen: str) -> str:
         """The best reading of ``seen``: letters, and a space where a word ends."""
+        if len(seen) > 64:
+            return self._decoded(seen)
+        if seen not in self.known:
+            if len(self.known) > 100_000:  # a cache: bounded
+                self.known = {}
+            self.known[seen] = self._decoded(seen)
+        return self.known[seen]
+
+    def _decoded(self, seen: str) -> str:
         # (last two symbols) -> (cost, text); a boundary is not repeated
         states = {(0, 0): (0.0, "")}
-        run = 0
+        run, done = 0, []
         for i, c in enumerate(seen):
+            if i % 64 == 63:  # what all paths share is settled: time and memory stay linear
+                shared = commonprefix([text for _, text in states.values()])
+                done.append(shared)
+                states = {key: (cost, text[len(shared):]) for key, (cost, text) in states.items()}
             run = run + 1 if i and c == seen[i - 1] else 1
             long_run = run > 1 and (run > 2 or seen[i + 1:i + 2] == c)
             options: list[tuple[str, float]] = []
@@ -110,7 +128,8 @@ class CharModel:
                     if key not in new or total < new[key][0]:
                         new[key] = (total, grown)
             states = new
-        return min((cost + self.cost[(a * SYMBOLS + b) * SYMBOLS], text) for (a, b), (cost, text) in states.items())[1]
+        best = min((cost + self.cost[(a * SYMBOLS + b) * SYMBOLS], text) for (a, b), (cost, text) in states.items())[1]
+        return "".join([*done, best])
 
 
 def char_counts(df: DataFrame, text: str = "text") -> np.ndarray:
@@ -140,8 +159,12 @@ def char_counts(df: DataFrame, text: str = "text") -> np.ndarray:
 def obfuscated(token: str) -> str | None:
     """The part of a lower-case token that needs decoding, or None."""
     core = _TAIL.sub("", _HEAD.sub("", token))
-    if not core or len(core) > 64:  # no word is longer; hashes, links and the like
+    if not _LETTER.search(token):  # digits and symbols only; a run at the end may be letters too
+        core = token.lstrip(".,;:\"'([{<").rstrip(".,;:!?\"')]}>")
+        return core if _SYMBOLS_ONLY.fullmatch(core) and len(set(core) & LEET.keys()) > 1 else None
+    if not core:
         return None
+    core = _LONG_RUN.sub(r"\1\1\1", core)  # else a long run outweighs the rest of its word
     if core.isalpha():
         return core if _REPEAT.search(core) else None
     if _LETTER.search(core) and (_LEETISH.search(core) or _REPEAT.search(core) or _DOTTED.fullmatch(core)):

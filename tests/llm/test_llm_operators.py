@@ -358,6 +358,25 @@ def test_toxicity_restores_and_learns(spark):
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_toxicity_decodes_long_symbol_only_and_short_spaced_words(spark):
+    rng = random.Random(10)
+    prose = [" ".join(rng.choice(["rato", "milen", "dorsa", "neka", "tora"]) for _ in range(30)) for _ in range(400)]
+    rows = [(i, t + (" " + ("ass", "wretch")[i % 2] if i % 4 < 2 else "")) for i, t in enumerate(prose)]
+    odd = ["a s s", "@$$", "455", "(@$$!)", "wr" + "e" * 70 + "tch", ".".join("wretch" * 12)]
+    plain = ["2024-01-05", "!!!", "x" * 80, "10.5"]
+    docs = spark.createDataFrame(rows + [(1000 + k, prose[0] + " " + t) for k, t in enumerate(odd + plain)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(400)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["toxicity"]["score"] for r in toxicity.toxicity(docs, labels).where("doc_id >= 1000").collect()}
+    assert [t for k, t in enumerate(odd + plain) if (got[1000 + k] >= 0.7) != (t in odd)] == []
+
+
+def test_toxicity_long_tokens_read_like_their_whole_lattice():
+    model = toxicity.CharModel(np.random.default_rng(3).integers(0, 50, toxicity.SYMBOLS ** 3))
+    for n in (5, 64, 65, 300):
+        assert model.restore("ab" * n) == "ab" * n
+        assert len(model.restore("a.1" * n)) >= 2 * n
+
+
 def test_toxicity_held_out(spark):
     from dealwise.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"
