@@ -8,12 +8,19 @@ t / (2 - t) <= |A| / |B| <= (2 - t) / t, so a template is a candidate only for
 units in its size bounds, and a unit outside all bounds is dropped before its
 bigrams are made.
 
+Passages are runs of words that cross lines or are part of one: every run of up to
+``SPAN`` times a template's words that starts and ends with one of its bigrams is
+compared, so trimming loses none.  See :func:`license_passages`.
+
 Null, empty and one-word units have no bigrams and match nothing.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +72,8 @@ TEMPLATES = {
         "License along with this program. If not, see <https://www.gnu.org/licenses/>."),
 }
 THRESHOLD = 0.8
+#: A passage has at most so many times the bigrams of its template's text.
+SPAN = 2
 
 #: A word after lower-casing; the same pattern reads in Java, Python and RE2.
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
@@ -103,10 +112,86 @@ def license_matches(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = F.array_distinct(F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1),
                                         lambda a, b: F.concat(a, F.lit(" "), b)))
     rows = rows.select("id", "pos", pairs.alias("grams")).withColumn("n", F.size("grams"))
-    fits = F.filter(table, lambda t: (F.col("n") * (2 - threshold) >= F.size(t["grams"]) * threshold)
-                    & (F.col("n") * threshold <= F.size(t["grams"]) * (2 - threshold)))
+    # the slack is for rounding at the bounds; the Dice below decides
+    fits = F.filter(table, lambda t: (F.col("n") * (2 - threshold) >= F.size(t["grams"]) * threshold - 1e-6)
+                    & (F.col("n") * threshold <= F.size(t["grams"]) * (2 - threshold) + 1e-6))
     found = rows.select("id", "pos", "n", "grams", F.explode(fits).alias("t"))
     dice = 2.0 * F.size(F.array_intersect("grams", "t.grams")) / (F.col("n") + F.size("t.grams"))
     return (found.select(F.col("id").alias(doc_id), (F.col("pos") - 1).cast("int").alias("line"),
                          F.col("t.license").alias("license"), dice.alias("dice"))
             .where(F.col("dice") >= threshold))
+
+
+def anchors(grams: list[str], need: int) -> set[str]:
+    """Words of which any text with ``need`` of the bigrams holds one; long words first."""
+    left, out = set(grams), set()
+    while len(left) >= need:
+        n = Counter(w for g in left for w in set(g.split(" ")))
+        best = max(n, key=lambda w: (len(w) > 5 or "." in w, n[w], w))
+        out.add(best)
+        left = {g for g in left if best not in g.split(" ")}
+    return out
+
+
+def _bigrams(w: Column) -> Column:
+    return F.when(F.size(w) > 1, F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1),
+                                            lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>"))
+
+
+def license_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                     templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per (document, template, passage) with Dice >= ``threshold``, where no unit does.
+
+    Columns as in :func:`license_matches`; ``line`` is where the passage begins.  Of
+    passages of a template that overlap the one with the greatest Dice stays (then the
+    first, then the shorter).  A passage that touches a line that matches the template
+    itself is left out, as is one inside a line that matches any template, and so are all
+    of a text that matches as a whole.
+    """
+    templates = templates or TEMPLATES
+    kinds, words = [], set()
+    for name, grams in template_bigrams(templates).items():
+        need = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+        span = SPAN * (len(re.findall(WORD, templates[name].lower())) - 1)
+        words |= anchors(grams, need)
+        kinds.append(F.struct(F.lit(name).alias("license"), F.lit(grams).alias("grams"), F.lit(need).alias("need"),
+                              F.lit(span).alias("span")))
+
+    def dice(grams: Column, template: Column | None = None) -> Column:
+        own, other = F.array_distinct(grams), F.col("t.grams") if template is None else template
+        return 2.0 * F.size(F.array_intersect(own, other)) / (F.size(own) + F.size(other))
+
+    # through an array, so that the text is lowered once and not for each word
+    some = F.exists(F.array(F.lower(F.col(text))), lambda x: reduce(lambda a, b: a | b, [x.contains(w) for w in sorted(words)]))
+    rows = df.where(some).select(F.col(doc_id).alias("id"), F.split(text, "\n", -1).alias("parts"), _bigrams(_words(F.col(text))).alias("g"))
+    near = F.filter(F.array(*kinds), lambda t: F.size(F.array_intersect(F.col("g"), t["grams"])) >= t["need"])
+    rows = rows.select("id", "parts", "g", F.explode(near).alias("t"))
+    # positions (from 1) of bigrams of the template
+    hits = F.filter(F.transform("g", lambda x, i: F.when(F.array_contains("t.grams", x), i + 1)), lambda i: i.isNotNull())
+    rows = rows.select("*", hits.alias("h")).select("*", F.size("h").alias("m")).where(F.col("m") >= F.col("t.need"))
+    # every run from one hit to another that can hold enough of them
+    at = lambda k: F.get("h", k - 1)
+    starts = F.filter(F.sequence(F.lit(1), F.col("m") - F.col("t.need") + 1),
+                      lambda p: at(p + F.col("t.need") - 1) - at(p) < F.col("t.span"))
+    runs = F.flatten(F.transform(starts, lambda p: F.transform(
+        F.filter(F.sequence(p + F.col("t.need") - 1, F.least("m", p + F.col("t.span"))), lambda q: at(q) - at(p) < F.col("t.span")),
+        lambda q: F.struct(dice(F.slice("g", at(p), at(q) - at(p) + 1)).alias("dice"), (-at(p)).alias("a"), (-at(q)).alias("b")))))
+    rows = rows.select("*", F.sort_array(F.filter(runs, lambda r: r["dice"] >= threshold), asc=False).alias("runs"))
+    best = F.aggregate("runs", F.array().cast("array<struct<dice:double,a:int,b:int>>"), lambda kept, r: F.when(
+        F.exists(kept, lambda k: (r["a"] >= k["b"] - 1) & (k["a"] >= r["b"] - 1)), kept).otherwise(F.concat(kept, F.array(r))))
+    counts = F.transform("parts", lambda x: F.size(_words(x)))
+    rows = rows.select("id", "parts", "g", "t", counts.alias("counts"), F.explode(best).alias("r"))
+
+    def line(k: Column) -> Column:
+        """The line of the k-th word."""
+        zero = F.struct(F.lit(0).alias("words"), F.lit(0).alias("line"))
+        return F.aggregate("counts", zero, lambda z, n: F.struct(
+            (z["words"] + n).alias("words"), (z["line"] + F.when(z["words"] + n < k, 1).otherwise(0)).alias("line")))["line"]
+
+    rows = rows.select("*", line(-F.col("r.a")).alias("line"), line(1 - F.col("r.b")).alias("until"))
+    touched = F.slice("parts", F.col("line") + 1, F.col("until") - F.col("line") + 1)
+    units = F.exists(touched, lambda x: dice(_bigrams(_words(x))) >= threshold) | (dice(F.col("g")) >= threshold)
+    named = (F.col("line") == F.col("until")) & F.exists(F.array(*kinds), lambda t: dice(
+        _bigrams(_words(F.get("parts", F.col("line")))), t["grams"]) >= threshold)
+    return rows.where(~units & ~named).select(F.col("id").alias(doc_id), F.col("line").cast("int").alias("line"),
+                                     F.col("t.license").alias("license"), F.col("r.dice").alias("dice"))

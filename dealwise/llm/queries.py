@@ -127,8 +127,10 @@ SELECT doc_id, CAST(line AS INTEGER) AS line, license, dice FROM m WHERE dice >=
 
 @query("op6_licenses", _op6_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence matches of every line and text of the documents."""
-    return licenses.license_matches(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Licence matches of every line and text of the documents (those are the SQL's rows),
+    and of passages that no line or text shows."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.license_matches(docs).unionByName(licenses.license_passages(docs))
 
 
 # ---------------------------------------------------------------- 8: shards

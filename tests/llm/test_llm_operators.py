@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -268,6 +269,39 @@ def test_license_bounds_lose_nothing(spark):
     assert got == want and want
 
 
+def test_license_at_the_size_bound(spark):
+    df = spark.createDataFrame([(1, "All rights reserved here")], "doc_id long, text string")
+    assert [tuple(r) for r in licenses.license_matches(df).collect()] == [(1, 0, "ARR", 0.8)]
+
+
+def test_license_passages(spark, edge, empty):
+    rng = random.Random(13)
+    wrap = lambda name: "\n".join(textwrap.wrap(licenses.TEMPLATES[name], 78))
+    prose = lambda n: words_text(rng, n, 300)
+    docs = {k: f"{prose(80)}\n{prose(9)}\n{wrap(name)}\n{prose(90)}" for k, name in enumerate(
+        ["MIT", "ISC", "GPL-3.0-notice", "Apache-2.0-notice"])}
+    docs[4] = prose(40) + ". Licensed under the MIT License. More " + prose(40)
+    docs[5] = prose(20) + "\nReleased under the MIT License.\n" + prose(20)  # a unit: not again
+    docs[6] = prose(30) + " licensed software " + prose(30)
+    docs[7] = prose(30) + " " + " ".join(w for w in wrap("ISC").split() if rng.random() > 0.08) + " " + prose(30)
+    df = spark.createDataFrame([*docs.items(), (8, None), (None, docs[4])], "doc_id long, text string")
+    got = {}
+    for r in licenses.license_passages(df).collect():
+        got.setdefault((r["doc_id"], r["license"]), []).append((r["line"], round(r["dice"], 6)))
+    for k, name in enumerate(["MIT", "ISC", "GPL-3.0-notice", "Apache-2.0-notice"]):
+        assert got[k, name] == [(2, 1.0)]
+    assert got[4, "MIT-notice"] == got[None, "MIT-notice"] == [(0, 1.0)]
+    assert not {d for d, _ in got} & {5, 6, 8}
+    # the best of all runs, by brute force
+    grams = set(licenses.template_bigrams(licenses.TEMPLATES)["ISC"])
+    ws = re.findall(licenses.WORD, docs[7].lower())
+    own = [f"{a} {b}" for a, b in zip(ws, ws[1:])]
+    best = max(2 * len(grams & set(own[i:j])) / (len(grams) + len(set(own[i:j])))
+               for i in range(len(own)) for j in range(i + 1, min(len(own), i + 200) + 1))
+    assert got.get((7, "ISC")) == [(0, round(best, 6))] and best < 1
+    assert licenses.license_passages(edge).count() == 0 and licenses.license_passages(empty).count() == 0
+
+
 # ------------------------------------------------------------------ 8
 
 def least_capacity(sizes, shards):
