@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.llm import chat, common, decontaminate, html, licenses, mix, neardups, quality, shard, substrings, toxicity
+from dealwise.llm import (centroids, chat, common, decontaminate, html, licenses, mix, neardups, quality, repair, shard,
+                          simhash, substrings, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -291,3 +292,127 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.main_text(pages, out="m").select("page_id", "url", F.col("m.text").alias("text"),
                                                   F.length("m.text").cast("bigint").alias("n_chars"))
+
+
+# ---------------------------------------------------------------- 11: conversation repair
+
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _op11_sql() -> str:
+    """The cheapest edits from the last turn backwards: a suffix's (cost, audit) for each
+    state, so that putting an edit in front keeps the order of audits."""
+    def put(s: str, cost: str, letter: str, line: str) -> str:
+        return (f"{{'k': printf('%06d', CAST({s}.k[1:6] AS INTEGER) + {cost}) || '{letter}' || {s}.k[7:], "
+                f"'t': {line} || {s}.t}}")
+
+    def said(role: str, text: str = "''") -> str:
+        return f"chr(10) || {role} || ':' || {text}"
+
+    def row(q: int) -> str:
+        nxt = 3 if q == 2 else 2
+        role = "'assistant'" if q == 2 else "'user'"
+        more = "CASE WHEN cut THEN 5 ELSE 0 END"
+        ways = [put(f"w.s{q}", "2", "D", "''"),
+                f"CASE WHEN NOT gone THEN {put(f'w.s{nxt}', f'1 + {more}', 'R', said(role, 'text'))} END"]
+        keeps = {0: [("s", 1), ("u", 2)], 1: [("u", 2)], 2: [("a", 3)], 3: [("u", 2)]}[q]
+        ways += [f"CASE WHEN NOT gone AND ini = '{i}' THEN {put(f'w.s{to}', more, 'K', said('role', 'text'))} END"
+                 for i, to in keeps]
+        return f"least({', '.join(ways)}) AS o{q}"
+
+    user, helper = said("'user'"), said("'assistant'")
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+         CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+c AS (SELECT k.*, xor(4294967295, list_reduce(list_transform(string_split(id, ''), lambda x: CAST(unicode(x) AS BIGINT)),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT)) % 20 AS code FROM k, tab),
+d AS (SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE code WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE code <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             right(rtrim(text, {_WS}), 1) AS tail FROM d),
+f AS (SELECT *, substr(role, 1, 1) AS ini, tail = '' AS blank,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+r AS (SELECT *, blank OR again AS gone, tail NOT IN ('.', '!', '?') AS cut FROM f),
+m AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+             count(*) FILTER (NOT gone AND cut) AS truncated,
+             count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+             count(*) AS n FROM r GROUP BY conv_id),
+w(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, n + 1, {{'k': '000000', 't': ''}}, {{'k': '000010II', 't': {user} || {helper}}},
+         {{'k': '000005I', 't': {helper}}}, {{'k': '000000', 't': ''}} FROM m
+  UNION ALL
+  SELECT conv_id, i, least(o0, {put('p2', '5', 'I', user)}), least(o1, {put('p2', '5', 'I', user)}), p2,
+         least(o3, {put('o2', '5', 'I', user)})
+  FROM (SELECT *, least(o2, {put('o3', '5', 'I', helper)}) AS p2
+        FROM (SELECT w.conv_id, r.i, {row(0)}, {row(1)}, {row(2)}, {row(3)}
+              FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i - 1)))
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(s0.k[1:6], '0') AS BIGINT) AS cost, coalesce(s0.k[7:], '') AS audit,
+       sha256(coalesce(substr(s0.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM a.conv_id AND w.i = 1
+"""
+
+
+@query("op11_repair", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    given = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report = repair.repair_report(repair.damaged(given)).withColumnRenamed("conv_id", "c")
+    every = given.groupBy("conv_id").agg(F.lit(0).alias("none")).drop("none")
+    rows = every.join(report, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = [F.coalesce(n, F.lit(0).cast("bigint")).alias(n)
+              for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+# ---------------------------------------------------------------- 12: centroids
+
+def _op12_sql() -> str:
+    n, dim, scale, rounds = centroids.K, centroids.DIM, centroids.SCALE, centroids.ROUNDS
+    parts = [rf"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, q FROM e),
+c0 AS MATERIALIZED (SELECT * FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), q) - 1
+                                          AS c, q FROM v) WHERE c < {n})"""]
+    for k in range(rounds + 1):
+        parts.append(rf"""
+a{k} AS MATERIALIZED (SELECT r, min(CAST(list_sum(list_transform(range(1, {dim + 1}), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i])))
+         AS BIGINT) * {n} + c.c) AS m FROM v, c{k} c GROUP BY r)""")
+        if k < rounds:
+            parts.append(rf"""
+u{k} AS (SELECT m % {n} AS c, i, sum(q[i]) AS s, count(*) AS n FROM v JOIN a{k} USING (r), range(1, {dim + 1}) AS x(i) GROUP BY 1, 2),
+c{k + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(n.q, c.q) AS q FROM c{k} c
+  LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS q FROM u{k} GROUP BY c) n USING (c))""")
+    return ",".join(parts) + rf"""
+SELECT vec_id, CAST(m % {n} AS INTEGER) AS cluster, m // {n} AS distance,
+       CAST(sum(m // {n}) OVER (PARTITION BY m % {n}) AS BIGINT) AS cluster_inertia, CAST(sum(m // {n}) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN c{rounds} c ON c.c = m % {n}
+"""
+
+
+@query("op12_centroids", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector."""
+    vectors = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    names = ("cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+    return centroids.cluster_vectors(vectors, out="p").select("vec_id", *[F.col(f"p.{n}").alias(n) for n in names])
+
+
+# ---------------------------------------------------------------- 13: SimHash
+
+@query("op13_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.simhash_components(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
