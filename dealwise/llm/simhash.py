@@ -113,5 +113,7 @@ def simhash_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     linked = named.select("node", "root").join(least, "root").select("node", "least")
     place = nodes.join(linked, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("print"), F.coalesce("least", "own").alias("component_id"))
+    # written, so that the join deals the rows by itself and can split a fingerprint of very many rows
+    place = stored(place, "fingerprint-classes")
     return prints.join(place, F.col("fp") == F.col("print")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
