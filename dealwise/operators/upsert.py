@@ -1,4 +1,4 @@
-"""Keyed upsert into Parquet tables.
+"""Keyed upsert as frames (K1-K5, K14, K15, J8, J9, W3); tables are in ``segments``.
 
 Parquet has no MERGE/UPDATE, so an upsert is a plan:
 
@@ -7,44 +7,27 @@ Parquet has no MERGE/UPDATE, so an upsert is a plan:
    value wins whenever the key matched the source (also when it is NULL:
    a NULL in the source overwrites), columns absent from the source keep
    the target value.  K4: insert-only keeps every existing row untouched.
-3. K7: the table is partitioned by ``_bucket = pmod(xxhash64(pk), n)``.
-   Only buckets the source touches are read and rewritten (partition
-   pruning on read, dynamic partition overwrite on write), so a small
-   incremental batch against a huge table rewrites a few buckets, not the
-   table.  Spark's commit protocol stages the new bucket files and swaps
-   them in at job commit, so a lost executor only retries tasks.  Schema, key
-   and bucket count are kept in a file of the table's folder.
 
-With a MERGE-capable table format configured, the same merged frame is what
-``MERGE INTO`` would produce; the Parquet path needs no extra jars.
+:mod:`dealwise.operators.segments` keeps such tables: batches are written as
+delta segments and merged by the same rule when the table is read.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from dealwise.operators.dedupe import keep_last
 from dealwise.operators.evolve import align, evolved_schema
-from dealwise.session import delete_path, path_exists, read_small, scratch_path, write_small
+from dealwise.operators.segments import (compact_table, create_table, read_manifest, read_table_at,  # noqa: F401
+                                         rebucket_table, table_exists, upsert_table, vacuum_table)
 
-BUCKET = "_bucket"
 _S = "__src"
 _T = "__tgt"
 
 
-def bucket_of(pk: Sequence[str], n: int) -> Column:
-    """K7: stable bucket id of a key (xxhash64 is engine-stable across runs)."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in pk]), F.lit(n)).cast("int")
-
-
 def one_per_key(source: DataFrame, pk: Sequence[str],
                 order: Sequence[Column | str] | None = None) -> DataFrame:
     """The latest row per key (``order`` desc, then the rest of the row)."""
@@ -156,165 +139,3 @@ def update_from_frame(target: DataFrame, updates: DataFrame, pk: Sequence[str],
         else:
             out.append(F.col(c))
     return j.select(*out)
-
-
-# ----------------------------------------------------------------- tables
-META = "_table.json"
-
-
-@dataclass(frozen=True)
-class TableMeta:
-    """What a bucketed table is: kept in a file of the table's folder, so that no caller's
-    argument can disagree with the layout and reads need no footer merge."""
-
-    schema: StructType  # without the bucket column
-    pk: tuple[str, ...]
-    buckets: int
-
-    def key_types(self) -> dict[str, DataType]:
-        return {k: self.schema[k].dataType for k in self.pk}
-
-
-def read_meta(spark: SparkSession, path: str) -> TableMeta | None:
-    text = read_small(spark, f"{path}/{META}")
-    if text is None:
-        return None
-    d = json.loads(text)
-    return TableMeta(StructType.fromJson(d["schema"]), tuple(d["pk"]), d["buckets"])
-
-
-def _write_meta(spark: SparkSession, path: str, meta: TableMeta) -> None:
-    write_small(spark, f"{path}/{META}", json.dumps(
-        {"schema": json.loads(meta.schema.json()), "pk": list(meta.pk), "buckets": meta.buckets}))
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
-
-
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """Read a bucketed table with the schema kept beside it.
-
-    Files written before a column existed give NULL for it; a table without
-    rows reads as an empty frame.  A table from before the metadata file is
-    read with ``mergeSchema``.
-    """
-    meta = read_meta(spark, path)
-    if meta is None:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    schema = StructType([*meta.schema.fields, StructField(BUCKET, IntegerType())])
-    return spark.read.schema(schema).parquet(path)
-
-
-def _write_buckets(df: DataFrame, path: str, mode: str) -> None:
-    # REBALANCE: clustered by bucket, but AQE splits an oversized bucket over
-    # several tasks/files and coalesces small ones (no one-task-per-bucket cap)
-    (df.hint("rebalance", BUCKET).write.option("partitionOverwriteMode", mode)
-       .mode("overwrite").partitionBy(BUCKET).parquet(path))
-
-
-def create_table(spark: SparkSession, path: str, df: DataFrame, pk: Sequence[str],
-                 buckets: int) -> None:
-    """K6/K7: create (or replace) a table from ``df``; the PK must be present."""
-    missing = [k for k in pk if k not in df.columns]
-    if missing:
-        raise ValueError(f"primary key column(s) {missing} missing")
-    _write_buckets(df.withColumn(BUCKET, bucket_of(pk, buckets)), path, "static")
-    _write_meta(spark, path, TableMeta(df.schema, tuple(pk), buckets))
-
-
-def rebucket_table(spark: SparkSession, path: str, buckets: int) -> None:
-    """K7: lay the table out anew in ``buckets`` buckets (a maintenance job).
-
-    The rows are staged first, so the table is never read while it is replaced.
-    """
-    meta = read_meta(spark, path)
-    if meta is None:
-        raise ValueError(f"{path} has no {META}; create the table first")
-    staged, folder = stage(spark, read_bucketed(spark, path).drop(BUCKET))
-    create_table(spark, path, staged, meta.pk, buckets)
-    delete_path(spark, folder)
-
-
-def typed_keys(source: DataFrame, types: dict[str, DataType]) -> tuple[DataFrame, DataFrame]:
-    """(rows with usable keys, rejects): keys cast to the table's types.
-
-    A key that is NULL, or does not fit the table's type, names no row.  Such
-    rows are returned as ``(reason, body)`` instead of being merged.
-    """
-    cast = source.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(f"__k_{c}") for c in types], F.struct(
-        *[F.col(f"`{c}`") for c in source.columns]).alias("__row"))
-    bad = reduce(lambda a, b: a | b, [F.col(f"__k_{c}").isNull() for c in types])
-    good = cast.where(~bad).select(*[F.col(f"__k_{c}").alias(c) if c in types else F.col("__row").getField(c).alias(c)
-                                     for c in source.columns])
-    rejects = cast.where(bad).select(
-        F.concat_ws(",", *[F.when(F.col(f"__k_{c}").isNull(), F.when(F.col("__row").getField(c).isNull(), f"{c}:null")
-                                  .otherwise(f"{c}:type")) for c in types]).alias("reason"),
-        F.to_json("__row").alias("body"))
-    return good, rejects
-
-
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence[str], *,
-                 buckets: int = 16, insert_only: bool = False,
-                 order: Sequence[Column | str] | None = None, dedupe: bool = True,
-                 batch_id: str | None = None) -> dict:
-    """K1: upsert ``source`` into the bucketed Parquet table at ``path``.
-
-    ``buckets`` counts only when the table is created; afterwards the table's
-    own layout holds (see :func:`rebucket_table`).  Keys are cast to the table's
-    key types before they are hashed, so a batch finds the buckets its keys are
-    in.  Rows without a usable key go to ``{path}__rejects``, one folder per
-    ``batch_id``: the same batch again replaces its rejects.  ``dedupe=False``
-    when the caller already holds one row per key.  Returns a small report
-    (touched buckets, added/changed columns, rejected keys).
-    """
-    pk = list(pk)
-    missing = [k for k in pk if k not in source.columns]
-    if missing:
-        raise ValueError(f"source lacks primary key column(s) {missing}")
-    exists = table_exists(spark, path)
-    meta = read_meta(spark, path) if exists else None
-    target = read_bucketed(spark, path) if exists else None
-    if meta is not None:
-        if list(meta.pk) != pk:
-            raise ValueError(f"{path} has the key {list(meta.pk)}, not {pk}")
-        buckets = meta.buckets
-    types = {k: (target.schema if exists else source.schema)[k].dataType for k in pk}
-    # The batch is computed once: staged in the shared checkpoint folder.  Key
-    # checks, bucket ids and the merge all read the staged copy (lineage cut; a
-    # lost executor re-reads files, not the source).
-    staged, folder = stage(spark, source)
-    good, bad = typed_keys(staged, types)
-    rejected = bad.count()
-    if rejected:
-        bad.write.mode("overwrite").parquet(f"{path}__rejects/batch={batch_id or uuid.uuid4().hex}")
-    batch = one_per_key(good, pk, order) if dedupe else good
-    if not exists:
-        create_table(spark, path, batch, pk, buckets)
-        delete_path(spark, folder)
-        return {"created": True, "buckets": buckets, "rejected_keys": rejected}
-    schema, added, changed = evolved_schema(target.drop(BUCKET).schema, batch.schema, protected=pk)
-    touched = None
-    if not changed:  # else a type change must reach every bucket
-        # bounded by the bucket count: the only values brought to the driver
-        touched = [r[0] for r in good.select(bucket_of(pk, buckets)).distinct().collect()]
-    tgt = target if touched is None else target.filter(F.col(BUCKET).isin(touched))
-    merged = merge_frames(tgt.drop(BUCKET), batch, pk, insert_only=insert_only, dedupe=False)
-    bucket = bucket_of(pk, buckets)
-    if touched is not None:
-        # a bucket that was not read must never be replaced
-        bucket = F.when(bucket.isin(touched), bucket).otherwise(
-            F.raise_error(F.lit(f"upsert of {path}: a row left the buckets that were read")).cast("int"))
-    if touched is None or touched:
-        _write_buckets(merged.withColumn(BUCKET, bucket), path, "dynamic")
-    if added or changed or meta is None:
-        _write_meta(spark, path, TableMeta(StructType([StructField(c, t) for c, t in schema.items()]), tuple(pk), buckets))
-    delete_path(spark, folder)
-    return {"created": False, "touched": touched, "added": added, "changed": changed, "rejected_keys": rejected}
-
-
-def stage(spark: SparkSession, df: DataFrame, folder: str = "staging") -> tuple[DataFrame, str]:
-    """Write ``df`` once under the shared checkpoint folder: (frame read back, its folder)."""
-    path = scratch_path(spark, f"{folder}/{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path

@@ -53,7 +53,7 @@ def q_upsert_key_types(spark: SparkSession, base: str) -> DataFrame:
     path = _path(spark, "keys")
     U.create_table(spark, path, _orders(spark, base), ["id"], buckets=8)
     U.upsert_table(spark, path, _int_batch(spark, base), ["id"])
-    return U.read_bucketed(spark, path).drop(U.BUCKET)
+    return U.read_table_at(spark, path)
 
 
 @register("upsert_rebucket", MERGED_SQL)
@@ -63,7 +63,7 @@ def q_upsert_rebucket(spark: SparkSession, base: str) -> DataFrame:
     U.create_table(spark, path, _orders(spark, base), ["id"], buckets=4)
     U.rebucket_table(spark, path, 12)
     U.upsert_table(spark, path, _int_batch(spark, base), ["id"], buckets=64)
-    return U.read_bucketed(spark, path).drop(U.BUCKET)
+    return U.read_table_at(spark, path)
 
 
 @register("upsert_empty_first", """
@@ -75,7 +75,7 @@ def q_upsert_empty_first(spark: SparkSession, base: str) -> DataFrame:
     orders = _orders(spark, base)
     U.upsert_table(spark, path, orders.where("id is null"), ["id"], buckets=8)
     U.upsert_table(spark, path, orders, ["id"])
-    return U.read_bucketed(spark, path).drop(U.BUCKET)
+    return U.read_table_at(spark, path)
 
 
 @register("upsert_null_key_rejects", """
@@ -92,7 +92,7 @@ def q_upsert_null_key_rejects(spark: SparkSession, base: str) -> DataFrame:
     U.upsert_table(spark, path, orders.limit(0), ["id"], buckets=4)
     for _ in range(2):
         U.upsert_table(spark, path, orders.withColumn("id", key), ["id"], batch_id="b1")
-    kept = U.read_bucketed(spark, path).select(F.lit("kept").alias("reason"))
+    kept = U.read_table_at(spark, path).select(F.lit("kept").alias("reason"))
     return (kept.unionByName(spark.read.parquet(f"{path}__rejects").select("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
 
@@ -246,6 +246,6 @@ def q_sync_bi_persisted(spark: SparkSession, base: str) -> DataFrame:
 
     run_all(spark, {k: QS._records(v) for k, v in raws.items()}, entities, root, derived={"bi": fact})
     fact(spark, root)
-    return U.read_bucketed(spark, table).select(
+    return U.read_table_at(spark, table).select(
         "deal_id", F.col("value").cast("string").alias("value"), "close_time", "contact_name", "company_name",
         "activity_count", "deal_duration_days")

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.operators.upsert import BUCKET, read_bucketed, upsert_table
+from dealwise.operators.upsert import read_table_at, upsert_table
 from dealwise.plans.q_sources import ORDER_FIELDS, ORDERS_SQL, _orders
 from dealwise.plans.q_sync import ACTIVITY, _iso
 from dealwise.plans.registry import ORACLE, register
@@ -54,7 +54,7 @@ def q_backfill_resume(spark: SparkSession, base: str) -> DataFrame:
     stream_backfill(spark, f"{root}/landing/*", "value string", handle, ckpt,
                     files_per_batch=4, fmt="text")
     save_sync_state(spark, f"{root}/_state", "orders", None, True)
-    return read_bucketed(spark, table).drop(BUCKET)
+    return read_table_at(spark, table)
 
 
 @register("micro_batch_upsert", ORACLE["entity_sync_activities"])
@@ -100,4 +100,4 @@ def q_paged_stream_backfill(spark: SparkSession, base: str) -> DataFrame:
     drain_paged_stream(spark, "offset_pages",
                        {"landing": landing, "endpoint": "/deals", "maxRowsPerBatch": str(ACTIVITY_BUDGET)},
                        handle, f"{root}/checkpoint")
-    return read_bucketed(spark, table).drop(BUCKET)
+    return read_table_at(spark, table)

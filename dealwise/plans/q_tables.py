@@ -66,7 +66,7 @@ def q_upsert_table(spark: SparkSession, base: str) -> DataFrame:
     path = scratch_path(spark, f"tables/deals-{uuid.uuid4().hex}")
     U.create_table(spark, path, _deal_target(spark, base), ["id"], buckets=16)
     U.upsert_table(spark, path, _line_batch(spark, base), ["id"], buckets=16)
-    return U.read_bucketed(spark, path).drop(U.BUCKET)
+    return U.read_table_at(spark, path)
 
 
 def _customer_batch(spark: SparkSession, base: str) -> DataFrame:
@@ -114,7 +114,7 @@ def q_bucketed_table(spark: SparkSession, base: str) -> DataFrame:
         F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("add_time"))
     path = scratch_path(spark, f"tables/bucketed-{uuid.uuid4().hex}")
     U.create_table(spark, path, o, ["id"], buckets=8)
-    return U.read_bucketed(spark, path).drop(U.BUCKET)
+    return U.read_table_at(spark, path)
 
 
 def _people(spark: SparkSession, base: str) -> DataFrame:

@@ -27,7 +27,7 @@ from dealwise.functions.once import evaluate_once
 from dealwise.lookups import LOOKUPS
 from dealwise.operators.enrich import enrich
 from dealwise.operators.evolve import apply_column_cap
-from dealwise.operators.upsert import BUCKET, one_per_key, read_bucketed, table_exists, upsert_table
+from dealwise.operators.upsert import read_table_at, table_exists, upsert_table
 from dealwise.operators.validate import FieldRule, validate_stage
 from dealwise.spec import FieldMeta, Handler
 from dealwise.streaming import state as S
@@ -35,6 +35,8 @@ from dealwise.streaming import state as S
 CAMEL = "(?<!^)(?=[A-Z])"
 #: Column for record keys that are neither fields nor custom fields (JSON, NULL if none).
 EXTRAS = "extra_attributes"
+#: Column for what is wrong with a record (JSON of page, ordinal, body and errors, NULL if nothing).
+INVALID = "__invalid"
 RUN_LOG = ("flow string, started timestamp, seconds double, rows bigint, invalid_rows bigint, "
            "failed boolean, empty_batches int")
 
@@ -69,22 +71,21 @@ class Entity:
 
 
 def transform(records: DataFrame, entity: Entity, record_col: str = "record",
-              observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
-    """Records -> (typed rows ready to upsert, rejects).
+              observation: Observation | None = None) -> DataFrame:
+    """Records -> typed rows ready to upsert; a record that fails validation stays a row
+    with its content and errors as JSON in the column INVALID, for the same job to set aside.
 
     With ``observation``, record and invalid-record counts are collected by
     whichever job first runs the plan (no extra pass over the data).
     """
-    # only rejects read __text, so Catalyst drops it on the way to the table
-    snake = evaluate_once(records.select("page", "ordinal", record_col),
-                          __rec=snake_keys(F.col(record_col))).withColumn(
-        "__text", F.to_json(record_col)).drop(record_col)
-    staged = validate_stage(snake, "__rec", entity.fields, keep=("page", "ordinal", "__text"))
+    snake = evaluate_once(records.select("page", "ordinal", record_col), __rec=snake_keys(F.col(record_col)))
+    staged = validate_stage(snake, "__rec", entity.fields, keep=("page", "ordinal", record_col))
     if observation is not None:
         staged = staged.observe(observation, F.count(F.lit(1)).alias("records"),
                                 F.count_if(F.size("errors") > 0).alias("invalid"))
-    rejects = staged.filter(F.size("errors") > 0).select("page", "ordinal", F.col("__text").alias("body"), "errors")
-    valid = staged.filter(F.size("errors") == 0).drop("errors", "__text")
+    # the record becomes text again only where it is set aside
+    failed = F.when(F.size("errors") > 0, F.to_json(F.struct("page", "ordinal", F.to_json(record_col).alias("body"), "errors")))
+    valid = staged.withColumn(INVALID, failed).drop("errors", record_col)
     known = {r.key or r.name for r in entity.fields}
     raw_map = F.col("__body")
     extras = F.map_filter(raw_map, lambda k, _: ~k.isin(*known, "custom_fields"))
@@ -95,7 +96,7 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record",
     cf = F.map_concat(F.map_filter(extras, lambda k, _: ~F.array_contains(F.map_keys(nested), k)), nested)
     typed = [entity.parsers[r.name](F.col(r.name)).alias(r.name) if r.name in entity.parsers
              else F.col(r.name) for r in entity.fields]
-    rows = evaluate_once(valid.select(*typed, "page", "ordinal", "__body"), custom_fields=cf).drop("__body")
+    rows = evaluate_once(valid.select(*typed, "page", "ordinal", INVALID, "__body"), custom_fields=cf).drop("__body")
     # Keys that no field and no metadata knows are kept as JSON
     fields = [m.key for m in entity.custom_fields]
     unknown = F.map_filter("custom_fields", lambda k, v: ~k.isin(*fields) & v.isNotNull() & ~F.is_variant_null(v)) \
@@ -109,8 +110,8 @@ def transform(records: DataFrame, entity: Entity, record_col: str = "record",
                               time_of_day=X.time_of_day_columns(entity.custom_fields)
                               + list(entity.time_of_day))
     rows = apply_column_cap(rows, entity.column_cap, protected=tuple(entity.pk) + tuple(entity.core)
-                            + ("page", "ordinal", EXTRAS))
-    return rows, rejects
+                            + ("page", "ordinal", INVALID, EXTRAS))
+    return rows
 
 
 def sync_entity(spark: SparkSession, records: DataFrame, entity: Entity, root: str, *,
@@ -147,28 +148,32 @@ def _sync(spark: SparkSession, records: DataFrame, entity: Entity, root: str, ru
           since: dt.datetime | str | None, run_id: str) -> dict:
     t0 = time.monotonic()
     obs = Observation(f"sync_{entity.name}_{uuid.uuid4().hex[:8]}")
-    rows, rejects = transform(records, entity, observation=obs)
+    rows = transform(records, entity, observation=obs)
     if since is not None and entity.order and entity.order in rows.columns:
-        rows = S.incremental(rows, entity.order, since)
+        rows = S.incremental(rows, entity.order, since, keep=F.col(INVALID).isNotNull())
     # Latest ``order`` wins, of equal ones the record that came in last
     order = [F.col(c) for c in (entity.order, "page", "ordinal") if c and c in rows.columns]
-    latest = one_per_key(rows, entity.pk, order).drop("page", "ordinal")
-    report = upsert_table(spark, f"{root}/{entity.table}", latest, entity.pk, buckets=entity.buckets,
-                          dedupe=False, batch_id=run_id)
-    counts = obs.get
-    if counts.get("invalid"):
-        (rejects.select(F.lit(entity.name).alias("entity"), F.lit(run_start).alias("run_start"),
-                        "page", "ordinal", "body", "errors")
-                .write.mode("overwrite").parquet(f"{root}/_rejects/run_entity={entity.name}/run_id={run_id}"))
+    place = f"{root}/_rejects/run_entity={entity.name}/run_id={run_id}"
+
+    def reject(found: DataFrame) -> None:
+        r = F.from_json("body", "page long, ordinal long, body string, errors array<string>")
+        (found.select(F.lit(entity.name).alias("entity"), F.lit(run_start).alias("run_start"), r.alias("r"))
+         .select("entity", "run_start", "r.*").write.mode("overwrite").parquet(place))
+
+    report = upsert_table(spark, f"{root}/{entity.table}", rows, entity.pk, buckets=entity.buckets, order=order,
+                          drop=("page", "ordinal"), aside=INVALID, set_aside=reject, batch_id=run_id,
+                          flow=f"sync:{entity.name}", note=lambda: {"counts": dict(obs.get)})
+    counts = report["counts"]
+    rejects = spark.read.parquet(place) if counts.get("invalid") else None
     seconds = time.monotonic() - t0
     _log_run(spark, root, entity, run_start, run_id, seconds, counts)
     S.set_watermark(spark, f"{root}/_state", entity.name, run_start)
-    report.update(counts=counts, rejects=rejects, seconds=seconds)
+    report.update(rejects=rejects, seconds=seconds)
     return report
 
 
 def read_synced(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
-    return read_bucketed(spark, f"{root}/{entity.table}").drop(BUCKET)
+    return read_table_at(spark, f"{root}/{entity.table}")
 
 
 def fill_lookups(spark: SparkSession, root: str, entity: Entity, run_id: str | None = None) -> dict:
@@ -182,7 +187,7 @@ def fill_lookups(spark: SparkSession, root: str, entity: Entity, run_id: str | N
              if s.dest_key in rows.columns and table_exists(spark, f"{root}/{s.source_table}")]
     if not specs:
         return {"labels": [], "touched": []}
-    tables = {t: read_bucketed(spark, f"{root}/{t}").drop(BUCKET) for t in {s.source_table for s in specs}}
+    tables = {t: read_table_at(spark, f"{root}/{t}") for t in {s.source_table for s in specs}}
     labels = [s.dest_col for s in specs]
     before = F.struct(*[(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in labels])
     held = rows.select(*entity.pk, *dict.fromkeys(s.dest_key for s in specs if s.dest_key not in entity.pk),

@@ -144,3 +144,37 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that this package wrote (staged batches)."""
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; empty if there is no such folder."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file unless ``target`` exists; whether it was renamed.
+
+    The rename of Hadoop's FileContext refuses an existing name, as the commit of
+    Spark's own streaming logs needs it.
+    """
+    from py4j.protocol import Py4JJavaError
+    sc = spark.sparkContext
+    fs, src = _fs(spark, source)
+    src, dst = fs.makeQualified(src), fs.makeQualified(_fs(spark, target)[1])
+    kind = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
+    no_options = sc._gateway.new_array(kind, 0)
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), sc._jsc.hadoopConfiguration())
+    try:
+        context.rename(src, dst, no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True

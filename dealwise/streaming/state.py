@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.operators.upsert import read_bucketed, table_exists, upsert_table
+from dealwise.operators.upsert import read_table_at, table_exists, upsert_table
 
 # Watermark overlap and sync modes.
 SAFETY_SKEW = dt.timedelta(seconds=5)
@@ -37,7 +37,7 @@ def get_watermark(spark: SparkSession, root: str, flow_id: str) -> dt.datetime |
     path = f"{root}/flow_meta"
     if not table_exists(spark, path):
         return None
-    row = (read_bucketed(spark, path).filter(F.col("flow_id") == flow_id)
+    row = (read_table_at(spark, path).filter(F.col("flow_id") == flow_id)
            .select("last_success_ts").first())
     return None if row is None or row[0] is None else _utc(row[0])
 
@@ -53,7 +53,7 @@ def get_sync_state(spark: SparkSession, root: str, entity: str) -> tuple[int | N
     path = f"{root}/sync_state"
     if not table_exists(spark, path):
         return None, False
-    row = read_bucketed(spark, path).filter(F.col("entity") == entity).first()
+    row = read_table_at(spark, path).filter(F.col("entity") == entity).first()
     return (None, False) if row is None else (row["last_cursor"], bool(row["backfill_done"]))
 
 
@@ -94,16 +94,17 @@ def since_expr(last_ok: Column) -> Column:
     return last_ok - F.expr(f"INTERVAL {int(SAFETY_SKEW.total_seconds())} SECONDS")
 
 
-def incremental(df: DataFrame, column: str, since: dt.datetime | str | None) -> DataFrame:
+def incremental(df: DataFrame, column: str, since: dt.datetime | str | None, keep: Column | None = None) -> DataFrame:
     """Rows updated at or after ``since`` (full table when ``since`` is None).
 
-    A row without an update time may have changed, so it is kept.  The bound is a literal, so the comparison reaches the Parquet reader as a
+    A row without an update time may have changed, so it is kept, as are those of ``keep``.  The bound is a literal, so the comparison reaches the Parquet reader as a
     pushed filter (row groups outside the window are skipped).
     """
     if since is None:
         return df
     lit = F.lit(since).cast("timestamp") if isinstance(since, str) else F.lit(_utc(since))
-    return df.filter((F.col(column) >= lit) | F.col(column).isNull())
+    late = (F.col(column) >= lit) | F.col(column).isNull()
+    return df.filter(late if keep is None else late | keep)
 
 
 def freshness_predicate(columns: Sequence[str], present: Sequence[str], since: Column) -> Column | None:

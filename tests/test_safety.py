@@ -26,8 +26,8 @@ def test_int_batch_on_bigint_table_keeps_every_row(spark):
     path = new_path()
     U.create_table(spark, path, spark.range(100).select("id", F.lit("old").alias("v")), ["id"], 4)
     U.upsert_table(spark, path, spark.createDataFrame([(7, "new")], "id int, v string"), ["id"], buckets=16)
-    got = {r["id"]: r["v"] for r in U.read_bucketed(spark, path).collect()}
-    assert len(got) == 100 and got[7] == "new" and U.read_meta(spark, path).buckets == 4
+    got = {r["id"]: r["v"] for r in U.read_table_at(spark, path).collect()}
+    assert len(got) == 100 and got[7] == "new" and U.read_manifest(spark, path).buckets == 4
 
 
 def test_small_batch_replaces_only_its_buckets(spark):
@@ -36,7 +36,7 @@ def test_small_batch_replaces_only_its_buckets(spark):
     before = {f for f in spark.read.parquet(path).inputFiles()}
     U.upsert_table(spark, path, spark.createDataFrame([(7, "new"), (8, "new")], "id long, v string"), ["id"])
     after = {f for f in spark.read.parquet(path).inputFiles()}
-    assert len(before - after) <= 2 and U.read_bucketed(spark, path).count() == 1000
+    assert len(before - after) <= 2 and U.read_table_at(spark, path).count() == 1000
 
 
 def test_wrong_key_columns_are_refused(spark):

@@ -50,11 +50,11 @@ def test_bucketed_table_upsert_touches_only_needed_buckets(spark):
     src = spark.createDataFrame([(3, "x"), (200, "y")], "id long, v string")
     rep = U.upsert_table(spark, path, src, ["id"], buckets=8, order=[F.lit(0)])
     assert len(rep["touched"]) <= 2
-    got = dict(rows(U.read_bucketed(spark, path), "id", "v"))
+    got = dict(rows(U.read_table_at(spark, path), "id", "v"))
     assert len(got) == 101 and got[3] == "x" and got[200] == "y" and got[4] == "v4"
     # the same batch again changes nothing (idempotent foreachBatch)
     U.upsert_table(spark, path, src, ["id"], buckets=8, order=[F.lit(0)])
-    assert dict(rows(U.read_bucketed(spark, path), "id", "v")) == got
+    assert dict(rows(U.read_table_at(spark, path), "id", "v")) == got
 
 
 def test_schema_evolution_add_and_type_change(spark):
