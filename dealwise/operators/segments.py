@@ -191,9 +191,13 @@ def _frame(spark: SparkSession, path: str, manifest: Manifest, seg: Segment) ->
     return align(df, {f.name: types[f.name] for f in seg.schema.fields if f.name in types})
 
 
-def _folded(frames: Sequence[DataFrame], pk: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+def _folded(frames: Sequence[DataFrame], pk: Sequence[str], buckets: int | None = None) -> tuple[DataFrame, dict[str, str]]:
     """Deltas (oldest first) as one row per key, and where each column is: columns that the
-    same deltas have are one struct, NULL for a key that none of those deltas holds."""
+    same deltas have are one struct, NULL for a key that none of those deltas holds.
+
+    With ``buckets`` the rows are dealt as a base with so many buckets is, so that the join
+    with it moves nothing more.
+    """
     groups: dict[tuple[int, ...], list[str]] = {}
     for c in dict.fromkeys(c for f in frames for c in f.columns if c not in pk):
         groups.setdefault(tuple(i for i, f in enumerate(frames) if c in f.columns), []).append(c)
@@ -206,6 +210,8 @@ def _folded(frames: Sequence[DataFrame], pk: Sequence[str]) -> tuple[DataFrame,
         return frames[0].select(*pk, *[packed(cols).alias(f"__g{g}") for g, cols in enumerate(groups.values())]), places
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                    [f.withColumn(_SEQ, F.lit(i)) for i, f in enumerate(frames)])
+    if buckets:
+        union = union.repartition(buckets, *pk)
     aggs = [F.max_by(packed(cols), F.when(F.col(_SEQ).isin(*at), F.col(_SEQ))).alias(f"__g{g}")
             for g, (at, cols) in enumerate(groups.items())]
     return (union.groupBy(*pk).agg(*aggs) if aggs else union.select(*pk).distinct()), places
@@ -221,7 +227,7 @@ def _merged(spark: SparkSession, path: str, manifest: Manifest, segments: Sequen
         fold, places = _folded(frames, pk)
         return fold.select(*[F.col(c) if c in pk else
                              (F.col(places[c])[c] if c in places else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
-    fold, places = _folded(frames[1:], pk)
+    fold, places = _folded(frames[1:], pk, manifest.buckets)
     b, d = align(frames[0], types).alias("b"), fold.alias("d")
     rows = b.join(d, [F.col(f"b.`{k}`") == F.col(f"d.`{k}`") for k in pk], "full_outer")
     out = []
@@ -319,7 +325,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
                  insert_only: bool = False, order: Sequence[Column | str] | None = None, dedupe: bool = True,
                  batch_id: str | None = None, flow: str | None = None, note: Callable[[], dict] | None = None,
                  drop: Sequence[str] = (), aside: str | None = None,
-                 set_aside: Callable[[DataFrame], None] | None = None) -> dict:
+                 set_aside: Callable[[DataFrame], None] | None = None, compact: bool = True) -> dict:
     """K1: upsert ``source`` into the table at ``path``; the first batch creates it.
 
     ``buckets`` counts only then; afterwards the table's own layout holds (see
@@ -329,7 +335,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     per key.  ``flow`` with ``batch_id`` enters the batch in the ledger, with what
     ``note()`` says once the job has run.  Columns in ``drop`` serve ``order`` only.  Rows
     with text in the column ``aside`` are not merged either: ``set_aside`` gets them as
-    ``(body)``, from the same job's files and before the commit.  Returns a small report.
+    ``(body)``, from the same job's files and before the commit.  ``compact=False`` leaves
+    merging to :func:`compact_table`.  Returns a small report.
     """
     pk = list(pk)
     missing = [k for k in pk if k not in source.columns]
@@ -364,7 +371,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
             if publish(spark, path, now):
                 if not seg.base and seg not in now.segments:
                     delete_path(spark, _folder(path, seg.name))
-                compact_table(spark, path)
+                if compact:
+                    compact_table(spark, path)
                 return report
             manifest = read_manifest(spark, path)
             done = applied(manifest, flow, batch_id)

@@ -74,7 +74,7 @@ def q_micro_batch_upsert(spark: SparkSession, base: str) -> DataFrame:
     _drop(build_page_landing(raw, "id", 500), f"{root}/landing/drop1", files=8)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        sync_entity(batch.sparkSession, scan_pages(batch, "value"), ACTIVITY, f"{root}/tables")
+        sync_entity(batch.sparkSession, scan_pages(batch, "value"), ACTIVITY, f"{root}/tables", run_id=f"batch-{batch_id}")
 
     stream_backfill(spark, f"{root}/landing/*", "value string", handle, f"{root}/checkpoint",
                     files_per_batch=4, fmt="text")
