@@ -151,16 +151,16 @@ def q_row_budget(spark: SparkSession, base: str) -> DataFrame:
 @register("detail_fetch_history", f"WITH {CHANGES_SQL} SELECT * FROM h")
 def q_detail_fetch_history(spark: SparkSession, base: str) -> DataFrame:
     """S8 live path: every deal's change log fetched page by page through a
-    fetcher in parallel tasks (mapInPandas), then B4 + W1 in Spark."""
+    fetcher in parallel tasks (mapInArrow), then B4 + W1 in Spark."""
     import uuid
     from dealwise.session import scratch_path, ship_package
-    from dealwise.sources.details import (detail_items, fetch_details, landing_detail_fetcher,
-                                          write_detail_landing)
+    from dealwise.sources.details import detail_items, fetch_details
+    from dealwise.sources.saved_pages import details, write_details
     ship_package(spark)
     root = scratch_path(spark, f"details/{uuid.uuid4().hex}")
-    write_detail_landing(v.change_log_pages(spark, base), root)   # stands in for the API
-    deals = read_table(spark, base, "events").select(F.col("user_id").alias("deal_id")).distinct()
-    pages = fetch_details(deals, "deal_id", lambda: landing_detail_fetcher(root), partitions=16)
+    write_details(v.change_log_pages(spark, base), root)   # stands in for the API
+    deals = read_table(spark, base, "events").groupBy(F.col("user_id").alias("deal_id")).agg(F.count("*").alias("n_items"))
+    pages = fetch_details(deals, "deal_id", lambda: details(root), partitions=16, items_col="n_items")
     return H.latest_per_stage(H.stage_changes(H.change_items(detail_items(pages))))
 
 

@@ -7,6 +7,7 @@ must equal the base table.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from dealwise.plans.registry import register
 from dealwise.session import scratch_path
 from dealwise.sources import pages as PG
 from dealwise.sources.csv_stage import read_staged_csv, write_staged_csv
-from dealwise.sources.paged import register_sources
+from dealwise.sources.paged import read_route
+from dealwise.sources.routes import register_route
 from dealwise.sources.tables import read_table
 
 ORDER_FIELDS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
@@ -53,22 +55,21 @@ def q_page_scan(spark: SparkSession, base: str) -> DataFrame:
 
 @register("offset_pages", ORDERS_SQL)
 def q_offset_pages(spark: SparkSession, base: str) -> DataFrame:
-    """Offset pagination through the Python data source, ranges in parallel."""
+    """Offset pagination through the Python data source, page ranges in parallel."""
     path = _landing(spark, base, cursor=False)
-    register_sources(spark)
-    total = read_table(spark, base, "orders").count()
-    df = (spark.read.format("offset_pages").option("landing", path).option("endpoint", "/deals")
-          .option("total", str(total)).option("numPartitions", "8").load())
-    return _typed(PG.scan_pages(df, "body"), "record")
+    register_route("/orderPages", "v1", 20)
+    return _typed(PG.scan_pages(read_route(spark, "/orderPages", landing=path, numPartitions="8"), "body"), "record")
 
 
 @register("cursor_pages", ORDERS_SQL)
 def q_cursor_pages(spark: SparkSession, base: str) -> DataFrame:
-    """S3: cursor pagination (sequential chain) through the Python data source."""
+    """Cursor pagination, the collection cut into eight chains by key range."""
     path = _landing(spark, base, cursor=True)
-    register_sources(spark)
-    df = spark.read.format("cursor_pages").option("landing", path).option("endpoint", "/deals").load()
-    return _typed(PG.scan_pages(df, "body"), "record")
+    last = read_table(spark, base, "orders").agg(F.max("o_orderkey")).first()[0] or 0
+    pages = last // PG.DEFAULT_LIMIT + 1
+    step = -(-pages // 8)
+    chains = [{"from_page": a, "to_page": min(a + step, pages)} for a in range(0, pages, step)]
+    return _typed(PG.scan_pages(read_route(spark, "/deals", landing=path, chains=json.dumps(chains)), "body"), "record")
 
 
 @register("detail_scan", """

@@ -83,8 +83,8 @@ def q_micro_batch_upsert(spark: SparkSession, base: str) -> DataFrame:
 
 @register("paged_stream_backfill", ORDERS_SQL)
 def q_paged_stream_backfill(spark: SparkSession, base: str) -> DataFrame:
-    """The offset page source as a stream, 100,000-row budget per run,
-    drained by repeated AvailableNow runs on one checkpoint, upserted per batch."""
+    """The offset page source as a stream: page ranges fetched by tasks, a
+    100,000-row budget per run, drained by AvailableNow runs on one checkpoint, upserted per batch."""
     from dealwise.plans.q_sources import _landing
     from dealwise.sources.paged import register_sources
     from dealwise.streaming.backfill import drain_paged_stream
@@ -99,5 +99,5 @@ def q_paged_stream_backfill(spark: SparkSession, base: str) -> DataFrame:
 
     drain_paged_stream(spark, "offset_pages",
                        {"landing": landing, "endpoint": "/deals", "maxRowsPerBatch": str(ACTIVITY_BUDGET)},
-                       handle, f"{root}/checkpoint")
+                       handle, f"{root}/checkpoint", state=(f"{root}/_state", "orders"))
     return read_table_at(spark, table)

@@ -1,114 +1,77 @@
-"""Per-key detail fetch (S8 live path): one paginated call chain per key.
+"""Per-key detail fetch (S8 live path): paginated calls per key, spread over tasks.
 
 The reference fetched each pending deal's change log from a thread pool.
 Here the keys are a DataFrame, hash-partitioned over ``partitions`` tasks;
 each task walks the pagination of its keys with a user fetcher inside
-``mapInPandas`` (Arrow batches in, page rows out).  Python only does the I/O
-and the pagination walk; the page bodies are parsed by Spark afterwards
-(``from_json`` to ``ARRAY<VARIANT>``), so per-item work stays in the JVM.
-Parallelism is the number of partitions, and a lost executor re-fetches only
-its partition's keys.
+``mapInArrow``.  Every page leaves the task as one Arrow batch, so a task holds one
+page, and a key whose number of items is known is walked in ranges of pages, each a row
+of its own: a key with very many items is spread like many keys.  Python only does the
+I/O and the pagination walk; the page bodies are parsed by Spark afterwards
+(``from_json`` to ``ARRAY<VARIANT>``), so per-item work stays in the JVM.  A lost executor
+re-fetches only its tasks' ranges.
+
+An error payload, or ``data`` that is no list, fails the task wherever it comes (D8).
 """
 
 from __future__ import annotations
 
-import glob
 import json
-import os
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAGES_SCHEMA = "deal_id long, page long, body string"
-
-
-LANDING_BUCKETS = 64
+from dealwise.sources.paged import PAGES_PER_TASK, page_data
+from dealwise.sources.pages import DEFAULT_LIMIT
 
+PAGES_SCHEMA = "deal_id long, page long, body string"
+ARROW = pa.schema([("deal_id", pa.int64()), ("page", pa.int64()), ("body", pa.string())])
 
-def landing_detail_fetcher(root: str, page_size: int = 500,
-                           buckets: int = LANDING_BUCKETS) -> Callable[[int, int], dict]:
-    """Test double for the detail API over pages saved by :func:`write_detail_landing`.
 
-    Offsets map to the key's n-th saved page (``start // page_size``), and the
-    answer carries ``more_items_in_collection``/``next_start`` like the API.
-    A landing bucket is read once per task and kept for its other keys.
-    Reads local files; a production fetcher calls the HTTP API instead.
-    """
-    cache: dict[int, dict[int, list]] = {}
-
-    def load(b: int) -> dict[int, list]:
-        by_key: dict[int, list] = {}
-        for f in glob.glob(os.path.join(root, f"bucket={b}", "*.txt")):
-            with open(f, encoding="utf-8") as fh:
-                for line in fh:
-                    if line.strip():
-                        rec = json.loads(line)
-                        by_key.setdefault(rec["deal_id"], []).append((rec["page"], rec["data"]))
-        for v in by_key.values():
-            v.sort(key=lambda x: x[0])
-        return by_key
-
-    def fetch(key: int, start: int) -> dict:
-        b = key % buckets
-        if b not in cache:
-            cache[b] = load(b)
-        pages = cache[b].get(key, [])
-        i = start // page_size
-        if i >= len(pages):
-            return {"data": [], "additional_data": {}}
-        return {"data": pages[i][1], "additional_data": {"pagination": {
-            "start": start, "limit": page_size, "more_items_in_collection": i + 1 < len(pages),
-            "next_start": start + page_size}}}
-    return fetch
-
-
-def _walk(fetch: Callable[[int, int], dict], key: int) -> Iterator[tuple[int, int, str]]:
-    start, n = 0, 0
-    while True:
+def walk_details(fetch: Callable[[int, int], dict], key: int, start: int = 0, end: int | None = None,
+                 page_size: int = DEFAULT_LIMIT) -> Iterator[tuple[int, int, str]]:
+    """(key, page number, body) from offset ``start`` to ``end`` (None: to the last page)."""
+    while end is None or start < end:
         page = fetch(key, start)
-        data = page.get("data")
-        if not isinstance(data, list):
+        data = page_data(page, f"key={key} start={start}")
+        if not data:
             return
-        if data:
-            yield key, n, json.dumps({"data": data}, separators=(",", ":"))
+        yield key, start // page_size, json.dumps({"data": data}, separators=(",", ":"))
         pag = (page.get("additional_data") or {}).get("pagination") or {}
-        if not pag.get("more_items_in_collection") or not data:
+        if not pag.get("more_items_in_collection"):
             return
         nxt = pag.get("next_start")
-        start, n = (int(nxt) if nxt is not None else start + len(data)), n + 1
+        start = int(nxt) if nxt is not None else start + len(data)
 
 
 def fetch_details(keys: DataFrame, key_col: str, fetcher_factory: Callable[[], Callable[[int, int], dict]],
-                  partitions: int = 16) -> DataFrame:
+                  partitions: int = 16, items_col: str | None = None, page_size: int = DEFAULT_LIMIT,
+                  pages_per_range: int = PAGES_PER_TASK) -> DataFrame:
     """``(deal_id, page, body)`` for every key, fetched in parallel.
 
     ``fetcher_factory`` builds the fetcher once per task (e.g. an HTTP
-    session); it must be picklable.
+    session); it must be picklable.  ``items_col`` names a column with the key's number
+    of items, as the API's counters give it; it only decides how the key is cut, the last
+    range goes on to the last page.
     """
-    import pandas as pd
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    size = page_size * pages_per_range
+    most = F.coalesce(F.col(items_col), F.lit(0)) if items_col else F.lit(0)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(most.cast("bigint") - 1, F.lit(0).cast("bigint")),
+                        F.lit(size).cast("bigint"))
+    ranges = keys.select(F.col(key_col).cast("bigint").alias("key"), F.posexplode(starts).alias("n", "start"), F.size(starts).alias("of"))
+    ranges = ranges.select("key", "start", F.when(F.col("n") + 1 < F.col("of"), F.col("start") + size).alias("end"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fetch = fetcher_factory()
-        for b in batches:
-            rows = [r for k in b[key_col].tolist() for r in _walk(fetch, int(k))]
-            yield pd.DataFrame(rows, columns=["deal_id", "page", "body"]).astype(
-                {"deal_id": "int64", "page": "int64", "body": "object"})
+        for batch in batches:
+            for key, start, end in zip(*(batch.column(c).to_pylist() for c in ("key", "start", "end"))):
+                for row in walk_details(fetch, key, start, end, page_size):
+                    yield pa.RecordBatch.from_pylist([dict(zip(ARROW.names, row))], schema=ARROW)
 
-    spread = keys.select(F.col(key_col)).repartition(partitions, key_col)
-    return spread.mapInPandas(run, PAGES_SCHEMA)
+    return ranges.repartition(partitions, "key", "start").mapInArrow(run, PAGES_SCHEMA)
 
 
 def detail_items(pages: DataFrame) -> DataFrame:
     """Page bodies -> ``(deal_id, page, items ARRAY<VARIANT>)`` for the history operators."""
     return pages.select("deal_id", "page", F.from_json("body", "data array<variant>")["data"].alias("items"))
-
-
-def write_detail_landing(pages: DataFrame, root: str, buckets: int = LANDING_BUCKETS) -> None:
-    """Save ``(deal_id, page, items)`` for :func:`landing_detail_fetcher` (a Spark write:
-    one JSON line per page, deals hashed into ``buckets`` folders)."""
-    line = F.concat(F.lit('{"deal_id":'), F.col("deal_id").cast("string"),
-                    F.lit(',"page":'), F.col("page").cast("string"),
-                    F.lit(',"data":['), F.array_join("items", ","), F.lit("]}"))
-    (pages.select(F.pmod("deal_id", F.lit(buckets)).alias("bucket"), line.alias("value"))
-          .write.mode("overwrite").partitionBy("bucket").text(root))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+DEFAULT_LIMIT = 500  # Fixed value: the API's default page size.
 ENVELOPE = "data array<variant>, additional_data variant"
 
 
@@ -110,12 +111,7 @@ def write_page_landing(pages: DataFrame, path: str) -> None:
     pages.select("value").write.mode("overwrite").text(path)
 
 
-LANDING_BUCKETS = 64
-
-
-def write_keyed_landing(pages: DataFrame, path: str, buckets: int = LANDING_BUCKETS) -> None:
-    """Pages addressable by their key (offset or cursor) for the fetcher test double:
-    ``key<TAB>envelope`` lines in ``bucket=crc32(key) % buckets`` folders."""
-    bucket = F.pmod(F.crc32(F.col("key").cast("string")), F.lit(buckets))
-    (pages.select(bucket.alias("bucket"), F.concat_ws("\t", F.col("key").cast("string"), "value").alias("v"))
-          .write.mode("overwrite").partitionBy("bucket").text(path))
+def write_keyed_landing(pages: DataFrame, path: str) -> None:
+    """Pages addressable by their key (offset or cursor) for ``saved_pages.fetch``: one
+    file per page in ``key=<key>`` folders."""
+    pages.select(F.col("key").cast("string").alias("key"), "value").write.mode("overwrite").partitionBy("key").text(path)

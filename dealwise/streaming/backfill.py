@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from dealwise.operators import history as H
 from dealwise.operators.pending import newest_first, pending_keys
+from dealwise.streaming.state import get_sync_state, save_sync_state
 
 
 def history_run(deals: DataFrame, pages: DataFrame, done: DataFrame, budget: int,
@@ -59,26 +60,33 @@ def stream_backfill(spark: SparkSession, landing: str, schema: StructType | str,
 
 
 def drain_paged_stream(spark: SparkSession, fmt: str, options: dict,
-                       handle_batch: Callable[[DataFrame, int], None], checkpoint: str) -> int:
-    """C5 for page sources: repeat ``AvailableNow`` runs until one brings no rows.
-
-    A simple stream reader performs one ``read`` per run, so each run moves
-    the cursor by one row budget; the checkpoint carries it to the next run
-    (and across restarts).  Returns the number of runs that brought rows.
+                       handle_batch: Callable[[DataFrame, int], None], checkpoint: str,
+                       state: tuple[str, str] | None = None) -> int:
+    """C4 C5 for page sources: runs of at most ``maxRowsPerBatch`` records until one finds no more.
+
+    The cursor is kept in the sync-state table (``state``: its root and the entity's name;
+    beside the checkpoint by default), so a flow that was stopped goes on where it was, and
+    a finished one takes up what has come since.  The state is saved after the batch: if
+    that is lost, the next run names the same end again, which the checkpoint knows.
+    Returns the number of runs that brought rows.
     """
+    from dealwise.sources.paged import OffsetPagesStream
+    root, entity = state or (f"{checkpoint}_state", "pages")
+    budget = int(options.get("maxRowsPerBatch", 0)) or None
+    cursor = get_sync_state(spark, root, entity)[0] or int(options.get("start", 0))
     runs = 0
     while True:
-        got = []
+        end = OffsetPagesStream({**options, "start": cursor}).available(budget)
+        if end == cursor:
+            save_sync_state(spark, root, entity, cursor, True)
+            return runs
 
         def _each(df: DataFrame, batch_id: int) -> None:
-            if not df.isEmpty():
-                got.append(batch_id)
-                handle_batch(df, batch_id)
+            handle_batch(df, batch_id)
 
-        q = (spark.readStream.format(fmt).options(**options).load()
+        q = (spark.readStream.format(fmt).options(**{**options, "until": str(end)}).load()
              .writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        if not got:
-            return runs
-        runs += 1
+        save_sync_state(spark, root, entity, end, False)
+        cursor, runs = end, runs + 1
