@@ -30,24 +30,46 @@ def newest_first(df: DataFrame, budget: int, order: Sequence[Column], tiebreak:
     return df.orderBy(*sort).limit(budget)
 
 
+#: Consecutive numbers that one task sums up.
+BLOCK = 4096
+
+
+def sums_before(pages: DataFrame, page_col: str, rows_col: str, block: int = BLOCK) -> DataFrame:
+    """``pages`` with ``rows_before``: the sum of ``rows_col`` over all lower page numbers.
+
+    A scan in levels: pages form blocks of ``block`` consecutive numbers, blocks form blocks
+    of blocks, until one holds all.  Each level is summed within its blocks and moved by the
+    sum before the block, so no task sorts more than ``block`` rows whatever their number.
+    ``pages`` is read once per level: pass a stored frame.
+    """
+    low, high = pages.agg(F.min(page_col), F.max(page_col)).first()
+    levels = 1
+    while low is not None and (high - low) // block ** levels:
+        levels += 1
+    number = (F.col(page_col) - F.lit(low)).cast("bigint")  # from 0 on
+
+    def at(k: int) -> Column:
+        return F.floor(number / F.lit(block ** k)).cast("bigint")
+
+    before = None  # of the blocks one level up
+    for k in reversed(range(levels)):
+        rows = pages.groupBy(at(k).alias("__no")).agg(F.sum(rows_col).alias("__n"))
+        up = F.floor(F.col("__no") / block).cast("bigint")
+        w = Window.partitionBy("__up").orderBy("__no").rowsBetween(Window.unboundedPreceding, -1)
+        here = rows.withColumn("__up", up).withColumn("__in", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+        if before is not None:
+            here = here.join(before.select(F.col("__no").alias("__up"), F.col("__before").alias("__off")), "__up")
+            here = here.withColumn("__in", F.col("__in") + F.col("__off"))
+        before = here.select("__no", F.col("__in").alias("__before"))
+    return pages.join(before, number == F.col("__no")).drop("__no").withColumn(
+        "rows_before", F.col("__before").cast("bigint")).drop("__before")
+
+
 def whole_page_budget(pages: DataFrame, budget: int, page_col: str = "page",
-                      rows_col: str = "n_rows", block: int = 4096) -> DataFrame:
+                      rows_col: str = "n_rows", block: int = BLOCK) -> DataFrame:
     """Pages in order while the rows *before* a page are under ``budget``.
 
-    Whole pages only (a page that starts under the budget is taken entirely).
-    The running sum is two-level so no step sorts all pages in one task:
-    pages are grouped into blocks of ``block`` consecutive page numbers,
-    block totals are prefixed (one small window over ``#pages / block``
-    rows), and each block's pages are prefixed within the block.
+    Whole pages only (a page that starts under the budget is taken entirely).  Pages
+    without rows aside, at most ``budget`` pages come out.
     """
-    p = pages.withColumn("__blk", F.floor(F.col(page_col) / block))
-    totals = p.groupBy("__blk").agg(F.sum(rows_col).alias("__bt"))
-    w_all = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("__blk", F.coalesce(F.sum("__bt").over(w_all), F.lit(0)).alias("__off"))
-    w_in = Window.partitionBy("__blk").orderBy(page_col).rowsBetween(Window.unboundedPreceding, -1)
-    before = p.withColumn("__in", F.coalesce(F.sum(rows_col).over(w_in), F.lit(0)))
-    # one row per block (#pages / block): AQE broadcasts it when it is small
-    j = before.join(offs, "__blk")
-    return (j.withColumn("rows_before", (F.col("__off") + F.col("__in")).cast("bigint"))
-             .filter(F.col("rows_before") < budget)
-             .drop("__blk", "__in", "__off"))
+    return sums_before(pages, page_col, rows_col, block).where(F.col("rows_before") < budget)

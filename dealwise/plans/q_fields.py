@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dealwise.functions import custom_fields as X
 from dealwise.functions import parse as P
 from dealwise.functions.text import slugify
-from dealwise.operators.joins import fits_broadcast
+from dealwise.operators.options import decode_options
 from dealwise.operators.validate import FieldRule, extra_fields, validate_records
 from dealwise.plans.registry import register
 from dealwise.sources.tables import read_table
@@ -104,16 +104,11 @@ def q_explode_money(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ X5-X8 enums
-def nation_options(spark: SparkSession, base: str) -> tuple[tuple[int, str], ...]:
-    """Option metadata for the enum fields, read from ``nation``.
-
-    Metadata is configuration-sized; the bound is checked before it is
-    brought to the driver.
-    """
-    n = scan_table(spark, base, "nation").select("n_nationkey", "n_name")
-    if not fits_broadcast(n, 10_000):
-        raise ValueError("option metadata larger than 10,000 rows")
-    return tuple((int(r[0]), r[1]) for r in n.collect())
+def nation_options(spark: SparkSession, base: str, *fields: str) -> DataFrame:
+    """Option metadata (field, id, label) for the enum fields, from ``nation``."""
+    n = scan_table(spark, base, "nation")
+    return n.select(F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"), F.col("n_nationkey").alias("id"),
+                    F.col("n_name").alias("label"))
 
 
 @register("enum_decode", """
@@ -129,7 +124,6 @@ LEFT JOIN nation n2 ON n2.n_nationkey = (e.k + 7) % 40
 """)
 def q_enum_decode(spark: SparkSession, base: str) -> DataFrame:
     """X5 single id, X6 id list, X7 CSV ids, X8 enum without options."""
-    opts = nation_options(spark, base)
     e = read_table(spark, base, "events")
     k = F.try_variant_get(F.parse_json("props"), "$.k", "bigint")
     k2 = ((k + 7) % 40).cast("string")
@@ -138,13 +132,36 @@ def q_enum_decode(spark: SparkSession, base: str) -> DataFrame:
                   jq(F.concat(F.lit(" "), k.cast("string"))))
     multi = F.concat(F.lit("["), k.cast("string"), F.lit(',"'), k2, F.lit('","x",99]'))
     csv = jq(F.concat(k.cast("string"), F.lit(", "), k2, F.lit(",x")))
-    cols = {
-        **X.explode_enum(F.parse_json(single), "segment", options=opts),
-        **X.explode_enum(F.parse_json(multi), "regions", options=opts, multiple=True),
-        **X.explode_enum(F.parse_json(csv), "tags", options=opts, multiple=True),
-        **X.explode_enum(F.parse_json(jq(F.col("event_type"))), "kind"),
-    }
-    return e.select("event_id", *[c.alias(n) for n, c in cols.items()])
+    decoded = decode_options(
+        e, "event_id", {"segment_label": (F.parse_json(single), False), "regions_label": (F.parse_json(multi), True),
+                        "tags_label": (F.parse_json(csv), True)},
+        nation_options(spark, base, "segment_label", "regions_label", "tags_label"))
+    kind = X.explode_enum(F.parse_json(jq(F.col("event_type"))), "kind")["kind_label"]
+    return decoded.select("event_id", "segment_label", "regions_label", "tags_label", kind.alias("kind_label"))
+
+
+@register("enum_decode_large", """
+WITH o AS (SELECT l_orderkey * 8 + l_linenumber AS id, max(l_returnflag || '-' || CAST(l_partkey AS VARCHAR)) AS label
+           FROM lineitem GROUP BY 1),
+c AS (SELECT c_custkey, [c_custkey * 8 + 1, c_custkey * 16 + 3, c_custkey * 8 + 2, -1, c_custkey * 8 + 1] AS ids FROM customer),
+u AS (SELECT c_custkey, unnest(ids) AS id, unnest(range(len(ids))) AS pos FROM c)
+SELECT u.c_custkey, list(o.label ORDER BY pos) FILTER (pos <> 3) AS tags_label,
+       any_value(o.label) FILTER (pos = 0) AS first_label
+FROM u LEFT JOIN o ON o.id = u.id GROUP BY u.c_custkey
+""")
+def q_enum_decode_large(spark: SparkSession, base: str) -> DataFrame:
+    """X5 X6 with an option per line item: too many for a literal, joined in their order."""
+    li = read_table(spark, base, "lineitem")
+    options = li.groupBy((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")).agg(
+        F.max(F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_partkey").cast("string"))).alias("label"))
+    options = options.select(F.explode(F.array(F.lit("tags_label"), F.lit("first_label"))).alias("field"), "id", "label")
+    c = read_table(spark, base, "customer")
+    k = F.col("c_custkey")
+    ids = [(k * 8 + 1).cast("string"), jq((k * 16 + 3).cast("string")), (k * 8 + 2).cast("string"), F.lit('"x"'),
+           (k * 8 + 1).cast("string")]
+    tags = F.concat(F.lit("["), F.concat_ws(",", *ids), F.lit("]"))
+    return decode_options(c.select("c_custkey"), "c_custkey", {"tags_label": (F.parse_json(tags), True),
+                          "first_label": (F.parse_json((k * 8 + 1).cast("string")), False)}, options)
 
 
 # ------------------------------------------------------------ X9 address

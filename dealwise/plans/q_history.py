@@ -11,6 +11,7 @@ from dealwise.operators.joins import fits_broadcast
 from dealwise.operators.pending import newest_first, pending_keys, whole_page_budget
 from dealwise.plans import crm_views as v
 from dealwise.plans.registry import register
+from dealwise.session import stored
 from dealwise.sources.tables import read_table
 
 # Fixed values (reference limits): deals per history run.
@@ -139,13 +140,21 @@ FROM lineitem l JOIN q ON q.page = l.l_orderkey // {LINES_PER_PAGE_KEY}
 WHERE q.rows_before < {ROW_BUDGET}
 """)
 def q_row_budget(spark: SparkSession, base: str) -> DataFrame:
-    """Whole pages of activities while the run's row budget lasts."""
-    li = read_table(spark, base, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey",
-        F.floor(F.col("l_orderkey") / LINES_PER_PAGE_KEY).alias("page"))
-    pages = li.groupBy("page").agg(F.count(F.lit(1)).alias("n_rows"))
-    chosen = whole_page_budget(pages, ROW_BUDGET).select("page", "rows_before")
-    return li.join(chosen, "page").select("l_orderkey", "l_linenumber", "l_partkey", "page", "rows_before")
+    """Whole pages of activities while the run's row budget lasts.
+
+    The page counts are stored once.  What is taken is a prefix of the pages, so the rows
+    are read by a bound on the key that reaches the scan.
+    """
+    li = read_table(spark, base, "lineitem")
+    page = F.floor(F.col("l_orderkey") / LINES_PER_PAGE_KEY)
+    pages = stored(li.groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("n_rows")), "row-budget")
+    chosen = stored(whole_page_budget(pages, ROW_BUDGET).select("page", "rows_before"), "row-budget")
+    last = chosen.agg(F.max("page")).first()[0]
+    rows = li.where(F.col("l_orderkey") < ((last if last is not None else -1) + 1) * LINES_PER_PAGE_KEY)
+    rows = rows.select("l_orderkey", "l_linenumber", "l_partkey", page.alias("page"))
+    # a page holds a row at least, so the budget bounds the pages
+    return rows.join(F.broadcast(chosen.limit(ROW_BUDGET)), "page").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "page", "rows_before")
 
 
 @register("detail_fetch_history", f"WITH {CHANGES_SQL} SELECT * FROM h")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -140,6 +141,14 @@ def read_small(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def stored(df, name: str):
+    """Write ``df`` once to the shared checkpoint folder and read it back: cuts the lineage
+    in a way that survives lost executors.  The files stay until that folder is cleared."""
+    path = scratch_path(df.sparkSession, f"stored/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that this package wrote (staged batches)."""
     fs, p = _fs(spark, path)
