@@ -51,15 +51,14 @@ def change_items(pages: DataFrame, deal_col: str = "deal_id", items_col: str = "
                         F.posexplode(typed).alias("pos", "it"))
 
 
-def stage_changes(items: DataFrame, with_rejects: bool = False):
-    """Stage changes in either layout; falsy ``new_value`` dropped.
+def _typed_changes(items: DataFrame) -> DataFrame:
+    """Stage changes in either layout, falsy ``new_value`` dropped: ``stage_id`` is NULL
+    where ``raw_value`` is no integer.
 
     Old layout: ``payload.field_key == 'stage_id'``; new layout:
     ``payload.details.field_key``.  ``payload`` is ``item.data`` when present,
-    else the item itself.  A non-integer ``new_value`` does not fail the job
-    (D23): with ``with_rejects`` those rows are returned aside.
+    else the item itself.
     """
-    typed_item = items
     it = F.col("it")
     has_data = it["data"].isNotNull()
 
@@ -70,7 +69,7 @@ def stage_changes(items: DataFrame, with_rejects: bool = False):
     details = pay("details")
     is_old = F.coalesce(old_key == STAGE_KEY, F.lit(False))
     is_new = ~is_old & F.coalesce(details["field_key"] == STAGE_KEY, F.lit(False))
-    flat = typed_item.select(
+    flat = items.select(
         "deal_id",
         F.when(is_old, pay("new_value")).when(is_new, details["new_value"]).alias("nv"),
         (is_old | is_new).alias("is_stage"),
@@ -79,15 +78,38 @@ def stage_changes(items: DataFrame, with_rejects: bool = False):
     rows = flat.filter(F.col("is_stage")).select(
         "deal_id", "nv", "change_time", P.vget(F.col("uid"), "$", "bigint").alias("user_id"),
         _truthy(F.col("nv")).alias("truthy"))
-    typed = rows.filter("truthy").select(
+    return rows.filter("truthy").select(
         "deal_id", P.vget(F.col("nv"), "$", "bigint").alias(STAGE_KEY), "change_time", "user_id",
         P.vstr(F.col("nv")).alias("raw_value"))
+
+
+def stage_changes(items: DataFrame, with_rejects: bool = False):
+    """The stage changes of change-log items.
+
+    A non-integer ``new_value`` does not fail the job (D23): with ``with_rejects`` those
+    rows are returned aside.
+    """
+    typed = _typed_changes(items)
     good = typed.filter(F.col(STAGE_KEY).isNotNull()).drop("raw_value")
     if not with_rejects:
         return good
     return good, typed.filter(F.col(STAGE_KEY).isNull())
 
 
+def change_summary(items: DataFrame) -> DataFrame:
+    """B4 W1 in one aggregate: a row per (deal, stage) with its latest change, and one per
+    (deal, unusable value) with ``stage_id`` NULL; ``n`` counts the changes behind it.
+
+    Everything a history run needs is read from this: the rows to write, which deals had a
+    change, and the rejects.  Store it, and the change log is decoded once.
+    """
+    typed = _typed_changes(items).withColumn("raw_value", F.when(F.col(STAGE_KEY).isNull(), F.col("raw_value")))
+    latest = F.max(F.struct("change_time", "user_id")).alias("latest")
+    return typed.groupBy("deal_id", STAGE_KEY, "raw_value").agg(latest, F.count(F.lit(1)).alias("n")).select(
+        "deal_id", STAGE_KEY, "raw_value", F.col("latest.change_time").alias("change_time"),
+        F.col("latest.user_id").alias("user_id"), "n")
+
+
 def latest_per_stage(changes: DataFrame, keep: str = "last") -> DataFrame:
     """One row per ``(deal_id, stage_id)``: the latest (parsed) change.
 

@@ -96,12 +96,12 @@ def _jq(c: Column) -> Column:
     return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
 
 
-def change_log_item(e: DataFrame) -> Column:
+def change_log_item(e: DataFrame, junk: Column | None = None) -> Column:
     """One change-log item per event, as JSON text, in one of three layouts.
 
     field_key is ``stage_id`` except for ``view`` events; new_value is the
     event's ``props.k`` as a number, as a string (every third event), or an
-    empty string (even ``signup`` events); old layout for even ids, new
+    empty string (even ``signup`` events), or text that is no number where ``junk`` holds; old layout for even ids, new
     layout (``details``) for odd ids, and no ``data`` wrapper every 7th id.
     """
     i = F.col("event_id")
@@ -110,6 +110,8 @@ def change_log_item(e: DataFrame) -> Column:
     nv = (F.when((F.col("event_type") == "signup") & (i % 2 == 0), F.lit('""'))
            .when(i % 3 == 1, F.concat(F.lit('"'), k, F.lit('"')))
            .otherwise(k))
+    if junk is not None:
+        nv = F.when(junk, F.lit('"n/a"')).otherwise(nv)
     uid = (i % 50).cast("string")
     ts = _jq(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     old = F.concat(F.lit('{"field_key":'), fk, F.lit(',"new_value":'), nv, F.lit(',"user_id":'), uid, F.lit("}"))
@@ -122,7 +124,7 @@ def change_log_item(e: DataFrame) -> Column:
     return F.when(i % 7 == 0, bare).otherwise(wrapped)
 
 
-def change_log_pages(spark: SparkSession, base: str) -> DataFrame:
+def change_log_pages(spark: SparkSession, base: str, junk: Column | None = None) -> DataFrame:
     """S8 landing: ``(deal_id, page, items)`` with at most PAGE_SIZE items a page.
 
     Pages group a deal's items by ``event_id div PAGE_SIZE``, so every array
@@ -131,7 +133,7 @@ def change_log_pages(spark: SparkSession, base: str) -> DataFrame:
     e = read_table(spark, base, "events")
     return (e.select(F.col("user_id").alias("deal_id"),
                      F.floor(F.col("event_id") / PAGE_SIZE).alias("page"),
-                     F.col("event_id"), change_log_item(e).alias("item"))
+                     F.col("event_id"), change_log_item(e, junk).alias("item"))
              .groupBy("deal_id", "page")
              .agg(F.sort_array(F.collect_list(F.struct("event_id", "item"))).alias("items"))
              .select("deal_id", "page", F.col("items.item").alias("items")))

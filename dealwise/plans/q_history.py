@@ -112,6 +112,46 @@ def q_pending_loop(spark: SparkSession, base: str) -> DataFrame:
                        MAX_DEALS_PER_RUN)
 
 
+#: Runs that the loop takes, whatever the number of deals.
+LOOP_RUNS = 4
+
+
+@register("history_loop_full", """
+WITH e AS (SELECT event_id, ts, user_id AS deal_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events),
+s AS (SELECT deal_id, k AS stage_id, ts AS change_time, event_id % 50 AS user_id, event_id % 11 = 5 AS junk FROM e
+      WHERE event_type <> 'view' AND (event_id % 11 = 5 OR NOT (event_type = 'signup' AND event_id % 2 = 0)
+                                      AND NOT (event_id % 3 <> 1 AND k = 0))),
+d AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 25 END AS stage_id,
+             o_orderdate AS add_time FROM orders),
+c AS (SELECT deal_id, stage_id, change_time, user_id FROM s WHERE NOT junk AND deal_id IN (SELECT id FROM d)),
+h AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY deal_id, stage_id ORDER BY change_time DESC, user_id DESC) = 1),
+w AS (SELECT * FROM h UNION ALL
+      SELECT id, stage_id, add_time, NULL::BIGINT FROM d WHERE stage_id IS NOT NULL AND id NOT IN (SELECT deal_id FROM c))
+SELECT w.*, (SELECT count(*) FROM d) AS deals_done, (SELECT count(*) FROM s WHERE junk AND deal_id IN (SELECT id FROM d))
+         AS rejected, CAST(0 AS BIGINT) AS pending
+FROM w
+""")
+def q_history_loop_full(spark: SparkSession, base: str) -> DataFrame:
+    """Budgeted history runs until no deal is left (those without a stage too)."""
+    import uuid
+    from dealwise.operators.segments import read_table_at
+    from dealwise.session import scratch_path
+    from dealwise.streaming.backfill import HISTORY, HISTORY_DONE, history_flow
+    root = scratch_path(spark, f"history/{uuid.uuid4().hex}")
+    deals = v.stage_deals(spark, base)
+    pages = stored(v.change_log_pages(spark, base, junk=F.col("event_id") % 11 == 5), "change-log")
+    budget = max(1, -(-deals.count() // LOOP_RUNS))
+    run = 0
+    while history_flow(spark, deals, pages, root, budget, f"run-{run}") is not None:
+        run += 1
+    done = read_table_at(spark, f"{root}/{HISTORY_DONE}")
+    log = spark.read.parquet(f"{root}/_history_log").agg(F.sum("deals").alias("deals"), F.sum("rejected_changes").alias("rejected")).first()
+    pending = pending_keys(deals, done, "id", "deal_id").count()
+    return read_table_at(spark, f"{root}/{HISTORY}").select(
+        "deal_id", "stage_id", "change_time", "user_id", F.lit(log["deals"]).cast("bigint").alias("deals_done"),
+        F.lit(log["rejected"]).cast("bigint").alias("rejected"), F.lit(pending).cast("bigint").alias("pending"))
+
+
 LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 

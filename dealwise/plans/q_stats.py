@@ -18,6 +18,7 @@ from dealwise.operators import history as H
 from dealwise.plans import crm_views as v
 from dealwise.plans.q_history import CHANGES_SQL
 from dealwise.plans.registry import register
+from dealwise.session import stored
 from dealwise.sources.routes import routes_frame
 from dealwise.sources.tables import read_table
 from dealwise.streaming import state as S
@@ -132,11 +133,10 @@ SELECT (SELECT count(*) FROM h) AS change_rows,
 """)
 def q_row_accounting(spark: SparkSession, base: str) -> DataFrame:
     """Rows written by one full history pass and deals without changes."""
-    items = H.change_items(v.change_log_pages(spark, base))
-    changes = H.stage_changes(items)
-    written = (H.latest_per_stage(changes).withColumn("is_sentinel", F.lit(False))
-               .unionByName(H.stage_sentinels(v.stage_deals(spark, base), changes)
-                            .withColumn("is_sentinel", F.lit(True))))
+    summary = stored(H.change_summary(H.change_items(v.change_log_pages(spark, base))), "history-changes")
+    changes = summary.where(F.col(H.STAGE_KEY).isNotNull()).select("deal_id", H.STAGE_KEY, "change_time", "user_id")
+    written = (changes.withColumn("is_sentinel", F.lit(False))
+               .unionByName(H.stage_sentinels(v.stage_deals(spark, base), changes).withColumn("is_sentinel", F.lit(True))))
     return R.row_accounting(written)
 
 

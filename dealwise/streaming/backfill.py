@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from pyspark.sql.types import StructType
 
 from dealwise.operators import history as H
 from dealwise.operators.pending import newest_first, pending_keys
+from dealwise.operators.segments import read_table_at, table_exists, upsert_table
+from dealwise.session import stored
 from dealwise.streaming.state import get_sync_state, save_sync_state
 
 
@@ -36,6 +38,50 @@ def history_run(deals: DataFrame, pages: DataFrame, done: DataFrame, budget: int
     return H.latest_per_stage(changes).unionByName(H.stage_sentinels(batch, changes, run_ts))
 
 
+#: Tables of the stage-history flow: the history, and the deals it has gone through.
+HISTORY, HISTORY_DONE = "negocios_etapas_historico", "negocios_etapas_processados"
+HISTORY_LOG = ("run_id string, deals bigint, change_rows bigint, deals_without_changes bigint, rejected_changes bigint")
+
+
+def history_flow(spark: SparkSession, deals: DataFrame, pages: DataFrame | Callable[[DataFrame], DataFrame], root: str,
+                 budget: int, run_id: str, order: Sequence[str] = ("update_time", "add_time"),
+                 run_ts: Column | None = None) -> dict | None:
+    """One stage-history run that writes; None when no deal is left.
+
+    The newest ``budget`` deals that no run went through are stored, their change logs
+    (``pages``: a frame, or a function of the keys that fetches them) decoded and
+    summarised once, and the summary stored: rows to write, sentinels, rejects and the
+    accounting (A9) all read it.  History first, then the deals gone through: a run that
+    dies between the two is done again and writes the same.  A deal without a change and
+    without a stage writes no row, but is gone through like any other.
+    """
+    done = f"{root}/{HISTORY_DONE}"
+    left = pending_keys(deals, read_table_at(spark, done), "id", "deal_id") if table_exists(spark, done) else deals
+    by = F.coalesce(*[F.col(c) for c in order if c in deals.columns])
+    batch = stored(newest_first(left, budget, [by], ["id"]).select("id", "stage_id", "add_time"), "history-deals")
+    n_deals = batch.count()
+    if not n_deals:
+        return None
+    keys = batch.select(F.col("id").alias("deal_id"))
+    # the LIMIT of the batch proves its size
+    found = pages(keys) if callable(pages) else pages.join(F.broadcast(keys.limit(budget)), "deal_id", "left_semi")
+    summary = stored(H.change_summary(H.change_items(found)), "history-changes")
+    changes = summary.where(F.col(H.STAGE_KEY).isNotNull()).select("deal_id", H.STAGE_KEY, "change_time", "user_id")
+    rows = changes.unionByName(H.stage_sentinels(batch, changes, run_ts))
+    report = upsert_table(spark, f"{root}/{HISTORY}", rows, ["deal_id", H.STAGE_KEY], dedupe=False, flow="stage_history",
+                          batch_id=run_id)
+    kept = F.col(H.STAGE_KEY).isNotNull()
+    n = summary.agg(F.count_if(kept).alias("rows"), F.sum(F.when(~kept, F.col("n"))).alias("rejected")).first()
+    rejected = n["rejected"] or 0
+    if rejected:
+        (summary.where(~kept).select("deal_id", "raw_value", "change_time", "n").write.mode("overwrite")
+         .parquet(f"{root}/_history_rejects/run_id={run_id}"))
+    upsert_table(spark, done, keys.withColumn("run_id", F.lit(run_id)), ["deal_id"], dedupe=False)
+    log = (run_id, n_deals, n["rows"], report["rows"] - n["rows"], rejected)
+    spark.createDataFrame([log], HISTORY_LOG).drop("run_id").write.mode("overwrite").parquet(f"{root}/_history_log/run_id={run_id}")
+    return dict(zip(("run_id", "deals", "change_rows", "deals_without_changes", "rejected_changes"), log))
+
+
 def stream_backfill(spark: SparkSession, landing: str, schema: StructType | str,
                     handle_batch: Callable[[DataFrame, int], None], checkpoint: str, *,
                     files_per_batch: int = 1, fmt: str = "json") -> int:

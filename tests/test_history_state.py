@@ -180,3 +180,32 @@ def test_history_backfill_in_runs_equals_one_run(spark):
         done = done.unionByName(out.select("deal_id"))
     key = lambda r: (r.deal_id, r.stage_id, r.change_time)
     assert sorted(map(key, runs)) == sorted(map(key, once))
+
+
+def test_history_flow_writes_until_no_deal_is_left(spark):
+    from dealwise.operators.segments import read_table_at
+    from dealwise.streaming.backfill import HISTORY, history_flow
+    root = tempfile.mkdtemp(prefix="dw-history-")
+    deals = spark.createDataFrame([(i, None if i in (3, 5) else i % 4, dt.datetime(2024, 1, 1 + i)) for i in range(1, 8)],
+                                  "id long, stage_id long, add_time timestamp")
+    items = {i: [{"timestamp": f"2024-02-0{i} 00:00:00", "field_key": "stage_id", "new_value": 10 + i},
+                 {"timestamp": f"2024-03-0{i} 00:00:00", "field_key": "stage_id", "new_value": "n/a"}] for i in (2, 5, 7)}
+    pages = pages_of(spark, items)
+    logs = []
+    for k in range(9):
+        log = history_flow(spark, deals, pages, root, 3, f"r{k}")
+        if log is None:
+            break
+        logs.append(log)
+    got = {(r.deal_id, r.stage_id) for r in read_table_at(spark, f"{root}/{HISTORY}").collect()}
+    assert got == {(2, 12), (5, 15), (7, 17), (1, 1), (4, 0), (6, 2)}  # 3 has no stage and no change
+    assert [x["deals"] for x in logs] == [3, 3, 1] and sum(x["rejected_changes"] for x in logs) == 3
+    assert sum(x["change_rows"] for x in logs) == 3 and sum(x["deals_without_changes"] for x in logs) == 3
+    assert spark.read.parquet(f"{root}/_history_rejects").select("raw_value").distinct().collect()[0][0] == "n/a"
+
+
+def test_change_log_is_decoded_once(spark):
+    from dealwise.operators.history import change_items, change_summary
+    pages = pages_of(spark, {1: [{"timestamp": "2024-01-01", "field_key": "stage_id", "new_value": 4}]})
+    plan = change_summary(change_items(pages))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.count("parse_json") <= 1
