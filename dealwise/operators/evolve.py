@@ -138,7 +138,7 @@ def cast_rejects(df: DataFrame, types: dict[str, str]) -> dict[str, Column]:
             for n, t in types.items() if n in df.columns}
 
 
-def _non_null_value(c: Column, dt: DataType) -> Column:
+def non_null_value(c: Column, dt: DataType) -> Column:
     if isinstance(dt, (ArrayType, MapType)):
         return F.when(F.size(c) > 0, c)
     if isinstance(dt, VariantType):
@@ -175,7 +175,7 @@ def apply_column_cap(df: DataFrame, cap: int, protected: Sequence[str] = (),
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs: list[Column] = []
     for c in spill:
-        pairs += [F.lit(c), _as_variant(_non_null_value(F.col(f"`{c}`"), types[c]), types[c])]
+        pairs += [F.lit(c), _as_variant(non_null_value(F.col(f"`{c}`"), types[c]), types[c])]
     packed = F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
     if overflow_col in df.columns:
         old = F.coalesce(F.from_json(F.col(overflow_col), "map<string,variant>"),

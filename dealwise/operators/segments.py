@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, StructField, StructType, TimestampType
 
 from dealwise.operators.dedupe import keep_last
-from dealwise.operators.evolve import align, evolved_schema
+from dealwise.operators.evolve import align, evolved_schema, non_null_value
 from dealwise.session import (delete_path, folder_bytes, list_names, path_exists, read_small, rename_new,
                               write_small)
 
@@ -65,6 +65,8 @@ class Segment:
     flagged: bool = False  # holds rows without a usable key
     #: per time column: least and greatest value in microseconds, and the number of NULLs
     times: Mapping[str, tuple] = field(default_factory=dict)
+    #: columns known to hold no value (neither NULL nor an empty list)
+    empty: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -86,7 +88,7 @@ class Manifest:
     def text(self) -> str:
         def seg(s: Segment) -> dict:
             return {"name": s.name, "base": s.base, "schema": json.loads(s.schema.json()), "rows": s.rows, "bytes": s.bytes,
-                    "flagged": s.flagged, "times": {c: list(t) for c, t in s.times.items()}}
+                    "flagged": s.flagged, "times": {c: list(t) for c, t in s.times.items()}, "empty": list(s.empty)}
 
         return json.dumps({"schema": json.loads(self.schema.json()), "pk": list(self.pk), "buckets": self.buckets,
                            "segments": [seg(s) for s in self.segments], "ledger": dict(self.ledger)})
@@ -95,7 +97,7 @@ class Manifest:
     def parse(version: int, text: str) -> Manifest:
         d = json.loads(text)
         segments = tuple(Segment(s["name"], s["base"], StructType.fromJson(s["schema"]), s["rows"], s["bytes"], s["flagged"],
-                                 {c: tuple(t) for c, t in s["times"].items()}) for s in d["segments"])
+                                 {c: tuple(t) for c, t in s["times"].items()}, tuple(s["empty"])) for s in d["segments"])
         return Manifest(version, StructType.fromJson(d["schema"]), tuple(d["pk"]), d["buckets"], segments, d["ledger"])
 
 
@@ -141,10 +143,11 @@ def _times(schema: StructType) -> list[str]:
 
 
 def _write(spark: SparkSession, path: str, df: DataFrame, pk: Sequence[str], buckets: int | None,
-           dealt: bool = False) -> Segment:
+           dealt: bool = False, track: Sequence[str] = ()) -> Segment:
     """Write one segment (a base if ``buckets``) and measure it in the same job.
 
-    ``dealt``: the frame is hash-partitioned by the key into ``buckets`` already.
+    ``dealt``: the frame is hash-partitioned by the key into ``buckets`` already.  ``track``:
+    columns of which to learn whether they hold a value.
     """
     name = f"{'base' if buckets else 'delta'}-{uuid.uuid4().hex}"
     schema = StructType([f for f in df.schema.fields if f.name not in (BAD, BODY)])
@@ -154,6 +157,9 @@ def _write(spark: SparkSession, path: str, df: DataFrame, pk: Sequence[str], buc
     for i, c in enumerate(times):
         t = F.when(~bad, F.unix_micros(F.col(f"`{c}`").cast("timestamp")))
         stats += [F.min(t).alias(f"low{i}"), F.max(t).alias(f"high{i}"), F.count_if(~bad & t.isNull()).alias(f"nulls{i}")]
+    track = [c for c in track if c in schema.names]
+    for i, c in enumerate(track):
+        stats.append(F.max(~bad & non_null_value(F.col(f"`{c}`"), schema[c].dataType).isNotNull()).alias(f"filled{i}"))
     seen = Observation(name)
     if buckets:
         dealt_df = df if dealt else df.repartition(buckets, *pk)
@@ -163,7 +169,9 @@ def _write(spark: SparkSession, path: str, df: DataFrame, pk: Sequence[str], buc
         df.observe(seen, *stats).write.parquet(_folder(path, name))
     got = seen.get
     ranges = {c: (got[f"low{i}"], got[f"high{i}"], got[f"nulls{i}"]) for i, c in enumerate(times)}
-    return Segment(name, bool(buckets), schema, got["rows"], folder_bytes(spark, _folder(path, name)), got["bad"] > 0, ranges)
+    empty = tuple(c for i, c in enumerate(track) if not got[f"filled{i}"])
+    return Segment(name, bool(buckets), schema, got["rows"], folder_bytes(spark, _folder(path, name)), got["bad"] > 0, ranges,
+                   empty)
 
 
 def _table(name: str) -> str:
@@ -325,7 +333,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
                  insert_only: bool = False, order: Sequence[Column | str] | None = None, dedupe: bool = True,
                  batch_id: str | None = None, flow: str | None = None, note: Callable[[], dict] | None = None,
                  drop: Sequence[str] = (), aside: str | None = None,
-                 set_aside: Callable[[DataFrame], None] | None = None, compact: bool = True) -> dict:
+                 set_aside: Callable[[DataFrame], None] | None = None, compact: bool = True,
+                 track: Sequence[str] = ()) -> dict:
     """K1: upsert ``source`` into the table at ``path``; the first batch creates it.
 
     ``buckets`` counts only then; afterwards the table's own layout holds (see
@@ -336,7 +345,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
     ``note()`` says once the job has run.  Columns in ``drop`` serve ``order`` only.  Rows
     with text in the column ``aside`` are not merged either: ``set_aside`` gets them as
     ``(body)``, from the same job's files and before the commit.  ``compact=False`` leaves
-    merging to :func:`compact_table`.  Returns a small report.
+    merging to :func:`compact_table`; ``track`` names columns for :func:`drop_empty_columns`.  Returns a small report.
     """
     pk = list(pk)
     missing = [k for k in pk if k not in source.columns]
@@ -360,7 +369,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, pk: Sequence
         if insert_only and manifest is not None:
             held = _merged(spark, path, manifest, manifest.segments).select(*pk)
             fresh = batch.join(held, pk, "left_anti")
-        seg = _write(spark, path, fresh, pk, None if manifest else buckets)
+        seg = _write(spark, path, fresh, pk, None if manifest else buckets, track=track)
         report = {"created": manifest is None, "rows": seg.rows, "touched": [seg.name] if seg.rows else [], "added": [],
                   "changed": [], "rejected_keys": 0}
         if seg.flagged:
@@ -454,12 +463,13 @@ def rebucket_table(spark: SparkSession, path: str, buckets: int) -> None:
 
 def _replace(spark: SparkSession, path: str, manifest: Manifest, due: list[Segment], buckets: int) -> dict:
     rows = _merged(spark, path, manifest, due)
+    track = sorted({c for s in due for c in s.empty})
     if due[0].base:
         # the join with the base leaves the rows dealt by the key into its buckets
-        seg = _write(spark, path, rows, manifest.pk, buckets, dealt=len(due) > 1 and buckets == manifest.buckets)
+        seg = _write(spark, path, rows, manifest.pk, buckets, dealt=len(due) > 1 and buckets == manifest.buckets, track=track)
     else:
         names = {f.name for s in due for f in s.schema.fields}
-        seg = _write(spark, path, rows.select(*[c for c in rows.columns if c in names]), manifest.pk, None)
+        seg = _write(spark, path, rows.select(*[c for c in rows.columns if c in names]), manifest.pk, None, track=track)
     while True:
         at = manifest.segments.index(due[0])
         kept = manifest.segments[:at] + (seg,) + manifest.segments[at + len(due):]
@@ -471,6 +481,24 @@ def _replace(spark: SparkSession, path: str, manifest: Manifest, due: list[Segme
             return {"merged": 0}
 
 
+def drop_empty_columns(spark: SparkSession, path: str, protected: Sequence[str] = ()) -> list[str]:
+    """Leave out the columns that hold no value in any segment; the columns left out.
+
+    Decided from what the segments' jobs counted, and done in the manifest: nothing is
+    read or rewritten.  Columns that were not tracked stay.
+    """
+    while True:
+        manifest = read_manifest(spark, path)
+        segments = manifest.segments
+        gone = [c for c in manifest.schema.names if c not in manifest.pk and c not in protected and segments
+                and all(c in s.empty or c not in s.schema.names for s in segments)]
+        if not gone:
+            return []
+        schema = StructType([f for f in manifest.schema.fields if f.name not in gone])
+        if publish(spark, path, replace(manifest, version=manifest.version + 1, schema=schema)):
+            return gone
+
+
 def vacuum_table(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete versions before the last ``keep`` and the segments that only they name."""
     held = versions(spark, path)

@@ -27,6 +27,7 @@ class FieldRule:
     type: str
     required: bool = False
     key: str | None = None  # JSON key when it differs from the column name
+    default: object = None  # V13: value of an absent key (an explicit null stays NULL)
 
 
 def _record(df: DataFrame, body: str) -> Column:
@@ -74,6 +75,8 @@ def validate_stage(df: DataFrame, body: str, rules: Sequence[FieldRule],
             fields[f"__z_{r.name}"] = F.coalesce(is_zero_date(text), F.lit(False))
         else:
             fields[r.name] = _get(rec, key, r.type, is_map)
+        if r.default is not None:
+            fields[r.name] = F.when(raw.isNull(), F.lit(r.default).cast(r.type)).otherwise(fields[r.name])
         fields[f"__p_{r.name}"] = raw.isNotNull() & ~F.is_variant_null(raw)
     fields["__bad"] = F.lit(False) if is_map else (rec.isNull() & F.col(body).isNotNull())
     staged = evaluate_once(df, **fields)

@@ -204,11 +204,10 @@ def q_sync_incremental_second_run(spark: SparkSession, base: str) -> DataFrame:
 
     run_all(spark, {"deals": QS._records(old)}, {"deals": QS.DEAL}, root, run_start=CUTOFF)
     run_all(spark, {"deals": landing}, {"deals": QS.DEAL}, root)
-    return read_synced(spark, root, QS.DEAL).select("id", "title", "value", "update_time")
+    return read_synced(spark, root, QS.DEAL).select("id", "title", F.col("value").cast("double").alias("value"), "update_time")
 
 
-CLOSED_DEAL = replace(QS.DEAL, fields=(*QS.DEAL.fields, R("close_time", "string")),
-                      core=(*QS.DEAL.core, "close_time"))
+CLOSED_DEAL = replace(QS.DEAL, core=(*QS.DEAL.core, "close_time"))
 
 
 @register("sync_bi_persisted", """

@@ -7,19 +7,26 @@ a fresh bucketed table; the query returns the table as read back.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealwise.functions import parse as P
-from dealwise.operators.validate import FieldRule as R
+from dealwise import entities as E
+from dealwise.dependencies import DEPENDENCIES
+from dealwise.operators.segments import read_table_at, upsert_table
 from dealwise.plans.registry import register
-from dealwise.plans.sync import EXTRAS, Entity, read_synced, sync_entity
-from dealwise.session import scratch_path
+from dealwise.plans.sync import EXTRAS, Entity, read_synced, run_all, sync_entity
+from dealwise.session import scratch_path, stored
 from dealwise.sources.pages import build_page_landing, scan_pages
 from dealwise.sources.tables import read_table
-from dealwise.spec import FieldMeta, Handler
+from dealwise.spec import FieldMeta
+
+
+#: Start of the first run of :func:`q_run_all_ten_steps`, later than any time in the tables.
+RUN_START = dt.datetime(2029, 1, 1, tzinfo=dt.timezone.utc)
 
 
 def _iso(c: Column) -> Column:
@@ -44,20 +51,14 @@ K_VALOR = "3f1c9a7e5b2d4c6e8a0b1d3f5a7c9e1b3d5f7a90"
 K_PRIOR = "9b8a7c6d5e4f3a2b1c0d9e8f7a6b5c4d3e2f1a0b"
 K_ORIGEM = "0a1b2c3d4e5f60718293a4b5c6d7e8f9a0b1c2d3"
 
-DEAL = Entity(
-    name="deals", table="negocios", pk=("id",), endpoint="/deals", version="v2",
-    fields=(R("id", "bigint", True), R("title", "string"), R("value", "double"),
-            R("currency", "string"), R("status", "string"), R("person_id", "bigint"),
-            R("org_id", "bigint"), R("add_time", "string"), R("update_time", "string")),
-    core=("title", "value", "currency", "status", "person_id", "org_id", "add_time", "update_time"),
-    custom_fields=(FieldMeta(K_VALOR, "Valor Estimado", "monetary"),
-                   FieldMeta(K_PRIOR, "Prioridade", "enum", ((1, "alta"), (2, "média"), (3, "baixa"))),
-                   FieldMeta(K_ORIGEM, "Origem do Lead", "varchar")),
-)
+DEAL = replace(E.DEALS, custom_fields=(
+    FieldMeta(K_VALOR, "Valor Estimado", "monetary"),
+    FieldMeta(K_PRIOR, "Prioridade", "enum", ((1, "alta"), (2, "média"), (3, "baixa"))),
+    FieldMeta(K_ORIGEM, "Origem do Lead", "varchar")))
 
 
 @register("entity_sync_deals", f"""
-SELECT o_orderkey AS id, 'Order #' || CAST(o_orderkey AS VARCHAR) AS title, o_totalprice AS value,
+SELECT o_orderkey AS id, 'Order #' || CAST(o_orderkey AS VARCHAR) AS title, CAST(o_totalprice AS DECIMAL(18,4)) AS value,
        'USD' AS currency,
        CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'won' ELSE 'lost' END AS status,
        o_custkey AS person_id, o_orderkey % 30 AS org_id,
@@ -91,16 +92,7 @@ def raw_deals(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- persons
-PERSON = Entity(
-    name="persons", table="pessoas", pk=("id",), endpoint="/persons",
-    fields=(R("id", "bigint", True), R("name", "string"), R("org_id", "bigint"),
-            R("emails", "variant"), R("phones", "variant"), R("add_time", "string"),
-            R("update_time", "string")),
-    core=("name", "org_id", "add_time", "update_time"),
-    handlers={"emails": Handler("phone_list", "Email Contatos"),
-              "phones": Handler("phone_list", "Telefone Contatos")},
-    custom_fields=(FieldMeta("k4", "Saldo", "double"), FieldMeta("k5", "Segmento", "varchar")),
-)
+PERSON = replace(E.PERSONS, custom_fields=(FieldMeta("k4", "Saldo", "double"), FieldMeta("k5", "Segmento", "varchar")))
 
 
 @register("entity_sync_persons", """
@@ -113,8 +105,7 @@ SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS org_id,
        ['+55 11 ' || CAST(c_custkey AS VARCHAR)] AS telefone_contatos_list,
        CASE WHEN c_custkey % 2 = 0 THEN '+55 11 ' || CAST(c_custkey AS VARCHAR) END
          AS telefone_contatos_primary_value,
-       NULL::VARCHAR AS telefone_contatos_primary_label,
-       c_acctbal AS saldo_value, c_mktsegment AS segmento_text
+       c_acctbal AS saldo_value, c_mktsegment AS segmento_text, false AS is_deleted
 FROM customer
 """)
 def q_entity_sync_persons(spark: SparkSession, base: str) -> DataFrame:
@@ -139,14 +130,7 @@ def raw_persons(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- users
-USER = Entity(
-    name="users", table="usuarios", pk=("id",), endpoint="/users", version="v1", order="modified",
-    fields=(R("id", "bigint", True), R("name", "string"), R("email", "string"),
-            R("timezone_offset", "variant"), R("lang", "variant"), R("active_flag", "variant"),
-            R("created", "timestamp"), R("modified", "timestamp")),
-    core=("name", "email", "timezone_offset", "lang", "active_flag", "created", "modified"),
-    parsers={"timezone_offset": P.utc_offset_minutes, "lang": P.lang_norm, "active_flag": P.flex_bool},
-)
+USER = E.USERS
 
 
 @register("entity_sync_users", """
@@ -180,14 +164,7 @@ def raw_users(spark: SparkSession, base: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- activities
-ACTIVITY = Entity(
-    name="activities", table="atividades", pk=("id",), endpoint="/activities",
-    fields=(R("id", "bigint", True), R("deal_id", "bigint"), R("subject", "string"),
-            R("type", "string"), R("done", "boolean"), R("due_date", "date"),
-            R("due_time", "string"), R("update_time", "string")),
-    core=("deal_id", "subject", "type", "done", "due_date", "due_time", "update_time"),
-    time_of_day=("due_time",),
-)
+ACTIVITY = E.ACTIVITIES
 
 
 @register("entity_sync_activities", """
@@ -195,7 +172,7 @@ WITH a AS (
   SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS deal_id,
          'Line ' || CAST(l_linenumber AS VARCHAR) AS subject, l_returnflag AS type,
          l_linestatus = 'F' AS done, CAST(l_shipdate AS DATE) AS due_date,
-         '10:30' AS due_time,
+         '10:30' AS due_time, true AS active_flag,
          l_shipdate + CAST(l_partkey % 1000 AS INTEGER) * INTERVAL 1 SECOND AS update_time
   FROM lineitem)
 SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY id ORDER BY update_time DESC,
@@ -219,66 +196,53 @@ def raw_activities(spark: SparkSession, base: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- pipelines
-PIPELINE = Entity(
-    name="pipelines", table="pipelines", pk=("id",), endpoint="/pipelines", order=None,
-    fields=(R("id", "bigint", True), R("name", "string"), R("order_nr", "int"),
-            R("is_deleted", "variant")),
-    core=("name", "order_nr", "is_deleted"), parsers={"is_deleted": P.flex_bool},
-)
+PIPELINE = E.PIPELINES
 
 
 @register("entity_sync_pipelines", """
 SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, r_regionkey + 1 AS order_nr,
-       r_regionkey = 4 AS is_deleted FROM region
+       r_regionkey = 4 AS is_deleted, false AS is_selected, false AS is_deal_probability_enabled FROM region
 """)
 def q_entity_sync_pipelines(spark: SparkSession, base: str) -> DataFrame:
+    return _run(spark, raw_pipelines(spark, base), PIPELINE)
+
+
+def raw_pipelines(spark: SparkSession, base: str) -> DataFrame:
     r = read_table(spark, base, "region")
-    raw = r.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name"),
+    return r.select(F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name"),
                    (F.col("r_regionkey") + 1).alias("orderNr"),
                    F.when(F.col("r_regionkey") == 4, F.lit("true")).otherwise(F.lit("false")).alias("isDeleted"))
-    return _run(spark, raw, PIPELINE)
 
 
 # ------------------------------------------------------------------ stages
-STAGE = Entity(
-    name="stages", table="etapas_funil", pk=("id",), endpoint="/stages", order=None,
-    fields=(R("id", "bigint", True), R("name", "string"), R("pipeline_id", "bigint"),
-            R("order_nr", "int"), R("deal_probability", "int")),
-    core=("name", "pipeline_id", "order_nr", "deal_probability"),
-)
+STAGE = E.STAGES
 
 
 @register("entity_sync_stages", """
 SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(n_regionkey AS BIGINT) AS pipeline_id,
-       n_nationkey % 5 + 1 AS order_nr, n_nationkey * 4 AS deal_probability FROM nation
+       n_nationkey % 5 + 1 AS order_nr, n_nationkey * 4 AS deal_probability,
+       false AS is_deleted, false AS is_deal_rot_enabled FROM nation
 """)
 def q_entity_sync_stages(spark: SparkSession, base: str) -> DataFrame:
+    return _run(spark, raw_stages(spark, base), STAGE)
+
+
+def raw_stages(spark: SparkSession, base: str) -> DataFrame:
     n = read_table(spark, base, "nation")
-    raw = n.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
+    return n.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
                    F.col("n_regionkey").alias("pipelineId"), (F.col("n_nationkey") % 5 + 1).alias("orderNr"),
                    (F.col("n_nationkey") * 4).cast("string").alias("dealProbability"))
-    return _run(spark, raw, STAGE)
 
 
 # ----------------------------------------------------------- organizations
-ORG = Entity(
-    name="organizations", table="organizacoes", pk=("id",), endpoint="/organizations", order=None,
-    fields=(R("id", "bigint", True), R("name", "string"), R("owner_id", "variant"),
-            R("address", "variant")),
-    core=("name", "owner_id"),
-    parsers={"owner_id": P.flex_fk},
-    handlers={"address": Handler("address", "Endereco")},
-)
+ORG = E.ORGANIZATIONS
 
 
 @register("entity_sync_organizations", """
 SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name,
        CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_regionkey + 1 AS BIGINT) ELSE 7 END AS owner_id,
        'Rua ' || n_name AS endereco_formatted_address,
-       NULL::VARCHAR AS endereco_street_number, NULL::VARCHAR AS endereco_route,
-       NULL::VARCHAR AS endereco_sublocality, NULL::VARCHAR AS endereco_subpremise,
-       NULL::VARCHAR AS endereco_locality, NULL::VARCHAR AS endereco_aal1, NULL::VARCHAR AS endereco_aal2,
-       CASE WHEN n_nationkey % 3 = 0 THEN 'BR' END AS endereco_country, NULL::VARCHAR AS endereco_postal_code
+       CASE WHEN n_nationkey % 3 = 0 THEN 'BR' END AS endereco_country, false AS is_deleted
 FROM nation
 """)
 def q_entity_sync_organizations(spark: SparkSession, base: str) -> DataFrame:
@@ -301,13 +265,7 @@ def raw_organizations(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- activity types
-ACTIVITY_TYPE = Entity(
-    name="activity_types", table="atividade_tipos", pk=("id",), endpoint="/activityTypes",
-    version="v1", order=None,
-    fields=(R("id", "bigint", True), R("name", "string"), R("key_string", "string"),
-            R("active_flag", "variant"), R("order_nr", "int")),
-    core=("name", "key_string", "active_flag", "order_nr"), parsers={"active_flag": P.flex_bool},
-)
+ACTIVITY_TYPE = E.ACTIVITY_TYPES
 
 
 @register("entity_sync_activity_types", """
@@ -317,9 +275,80 @@ SELECT p_partkey AS id, p_type || ' ' || CAST(p_size AS VARCHAR) AS name,
 FROM part
 """)
 def q_entity_sync_activity_types(spark: SparkSession, base: str) -> DataFrame:
+    return _run(spark, raw_activity_types(spark, base), ACTIVITY_TYPE)
+
+
+def raw_activity_types(spark: SparkSession, base: str) -> DataFrame:
     p = read_table(spark, base, "part")
-    raw = p.select(F.col("p_partkey").alias("id"),
+    return p.select(F.col("p_partkey").alias("id"),
                    F.concat_ws(" ", "p_type", F.col("p_size").cast("string")).alias("name"),
                    F.concat(F.lower("p_type"), F.lit("_"), F.col("p_size").cast("string")).alias("keyString"),
                    (1 - F.col("p_size") % 2).alias("activeFlag"), F.col("p_size").alias("orderNr"))
-    return _run(spark, raw, ACTIVITY_TYPE)
+
+
+# -------------------------------------------------------------- the whole run
+def history_step(spark: SparkSession, base: str):
+    """C7 as a step of the run: history runs over the synced deals until none is left."""
+    from dealwise.plans.crm_views import change_log_pages
+    from dealwise.streaming.backfill import history_flow
+
+    def step(spark: SparkSession, root: str) -> dict:
+        deals = read_synced(spark, root, DEAL).select("id", F.lit(None).cast("bigint").alias("stage_id"), "add_time", "update_time")
+        pages, run = stored(change_log_pages(spark, base), "change-log"), 0
+        budget = max(1, -(-deals.count() // 2))
+        while history_flow(spark, deals, pages, root, budget, f"run-{run}"):
+            run += 1
+        return {"runs": run}
+
+    return step
+
+
+def bi_step(spark: SparkSession, root: str) -> dict:
+    """B2: the fact of the synced tables, upserted by deal."""
+    from dealwise.operators.bi import activity_rollup, build_bi_fact
+    people = read_synced(spark, root, PERSON).select(
+        "id", F.col("name").alias("contact_name"), F.col("email_contatos_primary_value").alias("contact_email"),
+        F.col("telefone_contatos_primary_value").alias("contact_phone"))
+    orgs = read_synced(spark, root, ORG).select("id", F.col("name").alias("company_name"))
+    rows = build_bi_fact(read_synced(spark, root, DEAL), people, orgs, activity_rollup(read_synced(spark, root, ACTIVITY)))
+    return upsert_table(spark, f"{root}/bi_deals", rows, ["deal_id"], buckets=8, dedupe=False)
+
+
+@register("run_all_ten_steps", """
+WITH c AS (SELECT user_id AS deal_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+           WHERE event_type <> 'view' AND NOT (event_type = 'signup' AND event_id % 2 = 0)
+             AND NOT (event_id % 3 <> 1 AND CAST(json_extract(props, '$.k') AS BIGINT) = 0))
+SELECT 'users' AS step, 'FULL' AS mode, (SELECT count(*) FROM supplier) AS n
+UNION ALL SELECT 'pipelines', 'FULL', (SELECT count(*) FROM region)
+UNION ALL SELECT 'stages', 'FULL', (SELECT count(*) FROM nation)
+UNION ALL SELECT 'organizations', 'FULL', (SELECT count(*) FROM nation)
+UNION ALL SELECT 'persons', 'FULL', (SELECT count(*) FROM customer)
+UNION ALL SELECT 'deals', 'FULL', (SELECT count(*) FROM orders)
+UNION ALL SELECT 'activities', 'FULL', (SELECT count(DISTINCT l_orderkey * 8 + l_linenumber) FROM lineitem)
+UNION ALL SELECT 'activity_types', 'FULL', (SELECT count(*) FROM part)
+UNION ALL SELECT 'bi', NULL, (SELECT count(*) FROM orders)
+UNION ALL SELECT 'stage_history', NULL, (SELECT count(DISTINCT (deal_id, k)) FROM c WHERE deal_id IN (SELECT o_orderkey FROM orders))
+UNION ALL SELECT 'organizations again', 'INCREMENTAL', (SELECT count(*) FROM nation)
+UNION ALL SELECT 'deals again', 'SKIP', (SELECT count(*) FROM orders)
+""")
+def q_run_all_ten_steps(spark: SparkSession, base: str) -> DataFrame:
+    """The ten steps in one run, then a second run whose dependency tables decide
+    from the manifests' time ranges (users changed: organizations run; nothing changed
+    for deals' other tables: they are skipped)."""
+    from dealwise.streaming.backfill import HISTORY
+    root = scratch_path(spark, f"ten/{uuid.uuid4().hex}")
+    raws = {"users": raw_users, "pipelines": raw_pipelines, "stages": raw_stages, "organizations": raw_organizations,
+            "persons": raw_persons, "deals": raw_deals, "activities": raw_activities, "activity_types": raw_activity_types}
+    sources = {name: _records(raw(spark, base)) for name, raw in raws.items()}
+    entities = {e.name: e for e in (USER, PIPELINE, STAGE, ORG, PERSON, DEAL, ACTIVITY, ACTIVITY_TYPE)}
+    first = run_all(spark, sources, entities, root, derived={"bi": bi_step, "stage_history": history_step(spark, base)},
+                    run_start=RUN_START)
+    found = [(name, first[name].get("mode"), read_table_at(spark, f"{root}/{table}").count()) for name, table in
+             [*((n, entities[n].table) for n in raws), ("bi", "bi_deals"), ("stage_history", HISTORY)]]
+    # a user changes after the run; organizations depend on users, deals look at a table that did not change
+    late = raw_users(spark, base).limit(1).withColumn("modified", F.lit("2030-01-01T00:00:00Z"))
+    sync_entity(spark, _records(late), USER, root)
+    for name, depends in (("organizations", DEPENDENCIES["organizations"]), ("deals", (("pipelines", ("add_time", "update_time")),))):
+        again = run_all(spark, {name: sources[name]}, entities, root, depends={name: depends})
+        found.append((f"{name} again", again[name]["mode"], read_synced(spark, root, entities[name]).count()))
+    return spark.createDataFrame(found, "step string, mode string, n bigint")

@@ -26,7 +26,8 @@ from dealwise.functions import custom_fields as X
 from dealwise.functions.once import evaluate_once
 from dealwise.lookups import LOOKUPS
 from dealwise.operators.enrich import enrich
-from dealwise.operators.evolve import apply_column_cap
+from dealwise.operators.evolve import apply_column_cap, cast_declared, cast_rejects
+from dealwise.operators.segments import changed_since, drop_empty_columns
 from dealwise.operators.upsert import read_table_at, table_exists, upsert_table
 from dealwise.operators.validate import FieldRule, validate_stage
 from dealwise.spec import FieldMeta, Handler
@@ -68,6 +69,7 @@ class Entity:
     buckets: int = 16
     version: str = "v2"
     endpoint: str = ""
+    types: Mapping[str, str] = field(default_factory=dict)  # K13: declared column types
 
 
 def transform(records: DataFrame, entity: Entity, record_col: str = "record",
@@ -160,9 +162,17 @@ def _sync(spark: SparkSession, records: DataFrame, entity: Entity, root: str, ru
         (found.select(F.lit(entity.name).alias("entity"), F.lit(run_start).alias("run_start"), r.alias("r"))
          .select("entity", "run_start", "r.*").write.mode("overwrite").parquet(place))
 
-    report = upsert_table(spark, f"{root}/{entity.table}", rows, entity.pk, buckets=entity.buckets, order=order,
-                          drop=("page", "ordinal"), aside=INVALID, set_aside=reject, batch_id=run_id,
-                          flow=f"sync:{entity.name}", note=lambda: {"counts": dict(obs.get)})
+    # Declared types on write; values that do not fit are counted by the same job
+    declared = {c: t for c, t in entity.types.items() if c in rows.columns and dict(rows.dtypes)[c] != t}
+    casts = Observation(f"casts_{entity.name}_{uuid.uuid4().hex[:8]}")
+    if declared:
+        rows = cast_declared(rows.observe(casts, *cast_rejects(rows, declared).values()), declared)
+    path, held = f"{root}/{entity.table}", (*entity.pk, *entity.core)
+    report = upsert_table(spark, path, rows, entity.pk, buckets=entity.buckets, order=order, drop=("page", "ordinal"),
+                          aside=INVALID, set_aside=reject, batch_id=run_id, flow=f"sync:{entity.name}",
+                          track=[c for c in rows.columns if c not in held],
+                          note=lambda: {"counts": {**obs.get, **({k: v or 0 for k, v in casts.get.items()} if declared else {})}})
+    report["pruned"] = drop_empty_columns(spark, path, held)  # K12
     counts = report["counts"]
     rejects = spark.read.parquet(place) if counts.get("invalid") else None
     seconds = time.monotonic() - t0
@@ -210,15 +220,16 @@ Source = DataFrame | Callable[[dt.datetime | None], DataFrame]
 
 def run_all(spark: SparkSession, sources: Mapping[str, Source], entities: Mapping[str, Entity],
             root: str, derived: Mapping[str, Callable] | None = None,
-            depends: Mapping[str, Mapping[str, Sequence[str]]] | None = None,
+            depends: Mapping[str, Sequence[tuple[str, Sequence[str]]]] | None = None,
             run_start: dt.datetime | None = None, lookups: bool = False) -> dict:
     """Every entity in dependency order inside one application.
 
     The watermark of each entity decides its mode.  An entity that never ran, or
     whose endpoint cannot filter (v1), is read in FULL; others are read from the
-    watermark less the skew (C2).  An entity named in ``depends`` (entity -> the
-    time columns of each synced entity it depends on) follows C3: it is skipped
-    when none of those changed since its last run (J11).  ``derived`` steps run
+    watermark less the skew (C2).  An entity named in ``depends`` (entity -> the tables it
+    depends on with their time columns, as in ``dependencies.DEPENDENCIES``) follows C3: it
+    is skipped when none of those changed since its last run (J11), which the tables'
+    manifests tell without a scan.  ``derived`` steps run
     at their place in the order with ``(spark, root)``.  With ``lookups`` each synced
     table gets its labels (:func:`fill_lookups`) right after its sync.
     """
@@ -230,8 +241,7 @@ def run_all(spark: SparkSession, sources: Mapping[str, Source], entities: Mappin
             last = S.get_watermark(spark, f"{root}/_state", entity.name)
             changed = True
             if last is not None and depends and name in depends:
-                changed = S.has_recent_updates(
-                    {d: (read_synced(spark, root, entities[d]), cols) for d, cols in depends[name].items()}, last)
+                changed = any(changed_since(spark, f"{root}/{table}", columns, last) for table, columns in depends[name])
             mode, since = S.decide_sync_mode(last, entity.version, changed)
             if mode == S.SKIP:
                 out[name] = {"mode": mode}
