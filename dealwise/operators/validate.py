@@ -35,14 +35,6 @@ def _record(df: DataFrame, body: str) -> Column:
     return F.try_parse_json(c) if isinstance(df.schema[body].dataType, StringType) else c
 
 
-def _get(rec: Column, key: str, typ: str, is_map: bool) -> Column:
-    """A field of a record held as VARIANT or as ``map<string,variant>``."""
-    if is_map:
-        raw = F.try_element_at(rec, F.lit(key))
-        return raw if typ == "variant" else F.try_variant_get(raw, "$", typ)
-    return F.try_variant_get(rec, f"$.{key}", typ)
-
-
 def extra_fields(body: Column | str, known: Sequence[str]) -> Column:
     """The record's unknown top-level keys as ``map<string,variant>``."""
     c = F.col(body) if isinstance(body, str) else body
@@ -60,21 +52,28 @@ def validate_stage(df: DataFrame, body: str, rules: Sequence[FieldRule],
     """
     is_map = isinstance(df.schema[body].dataType, MapType)
     if is_map:
+        # each key is searched for once; the rest reads the values found
+        df = evaluate_once(df, **{f"__v{i}": F.try_element_at(F.col(body), F.lit(r.key or r.name)) for i, r in enumerate(rules)})
         rec = F.col(body)
     else:
         df = evaluate_once(df, __vrec=_record(df, body))
         rec = F.col("__vrec")
+
+    def get(i: int, r: FieldRule, typ: str) -> Column:
+        if not is_map:
+            return F.try_variant_get(rec, f"$.{r.key or r.name}", typ)
+        return F.col(f"__v{i}") if typ == "variant" else F.try_variant_get(F.col(f"__v{i}"), "$", typ)
+
     fields: dict[str, Column] = {}
-    for r in rules:
-        key = r.key or r.name
-        raw = _get(rec, key, "variant", is_map)
+    for i, r in enumerate(rules):
+        raw = get(i, r, "variant")
         if r.type in CLEANED:
             # V3/V4: "no date" is NULL and no error
-            text = _get(rec, key, "string", is_map)
+            text = get(i, r, "string")
             fields[r.name] = CLEANED[r.type](text)
             fields[f"__z_{r.name}"] = F.coalesce(is_zero_date(text), F.lit(False))
         else:
-            fields[r.name] = _get(rec, key, r.type, is_map)
+            fields[r.name] = get(i, r, r.type)
         if r.default is not None:
             fields[r.name] = F.when(raw.isNull(), F.lit(r.default).cast(r.type)).otherwise(fields[r.name])
         fields[f"__p_{r.name}"] = raw.isNotNull() & ~F.is_variant_null(raw)
