@@ -172,6 +172,10 @@ def features(nodes: list[Node]) -> list[list[float]]:
     total, n = max(root.chars, 1), len(nodes)
     said: list[tuple[int, int]] = []  # nearest hint above: good, bad
     rows = []
+    place = [0] * n  # among its siblings
+    for node in nodes:
+        for i, kid in enumerate(node.kids):
+            place[kid.order] = i
     for node in nodes:
         up = node.up
         good = 1 if node.hints & _GOOD else 0
@@ -184,7 +188,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
         rows.append([
             chars ** 0.25, node.link / chars if chars else 0.0, chars / (node.tags + 1), blocks, chars / (blocks or 1),
             node.marks / (chars / 100 + 1), chars / total, node.depth, node.order / n, len(node.kids), len(family),
-            family.index(node) / len(family) if len(family) < 200 else 0.5, around / (len(family) - 1) if len(family) > 1 else 0.0,
+            place[node.order] / len(family), around / (len(family) - 1) if len(family) > 1 else 0.0,
             chars / (around + chars) if chars else 0.0, up.link / up.chars if up and up.chars else 0.0,
             up.chars / total if up else 1.0, len(node.blocks), _KIND.get(node.tag, len(KINDS)), good, bad, above[0], above[1]])
     return rows

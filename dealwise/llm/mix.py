@@ -1,14 +1,15 @@
 """Mixing sources to target weights by Poisson replication.
 
 A document of a group with mean rate r is repeated Poisson(r) times.  The draw
-inverts the Poisson distribution at a uniform number made from a hash of seed and
-doc_id, so it is the same in every run and on every executor.  Rates follow from
+inverts the Poisson distribution at a uniform number made from a hash of seed, doc_id
+and text, so it is the same in every run and on every executor.  Rates follow from
 the groups' bytes: r = weight * epochs * all bytes / bytes of the group.  Each copy
 gets a random key, and the copies are dealt out and sorted by it, which is a global
 shuffle in one exchange.
 
-A null id draws as the empty string; rows that repeat an id draw alike.  Null and
-empty texts count as one byte, so that no group of rows weighs nothing.  Groups
+Every row without an id has a draw of its own, by its place in the input's splits; rows
+that repeat both id and text are one document and draw alike, but are dealt out apart.
+Null and empty texts count as one byte, so that no group of rows weighs nothing.  Groups
 outside ``weights`` (null as well) share what is left of one as one group.
 """
 
@@ -71,25 +72,28 @@ def poisson_mix(df: DataFrame, weights: dict[str, float], group: str = "source",
     spark = df.sparkSession
     rates = group_rates(df, group, weights, epochs, text)
     if not rates:
-        return df.withColumn(copy, F.lit(0)) if copy else df
+        return df.select(*[c for c in df.columns if copy is None or c.lower() != copy.lower()],
+                         *([F.lit(0).alias(copy)] if copy else []))
     table = []
     for g, rate in rates.items():
         draws = max(1, math.ceil(rate / STEP))
         table.append((g, draws, cdf(rate / draws)))
     cdfs = checked_broadcast(spark.createDataFrame(table, "g string, draws int, cdf array<double>"), len(weights) + 1)
     # the input row travels as one struct, so its column names cannot clash with ours
-    rows = (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != copy]).alias("row"),
-                      _named(group, weights).alias("g"))
+    kept = [c for c in df.columns if copy is None or c.lower() != copy.lower()]
+    rows = (df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), _named(group, weights).alias("g"),
+                      F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("print"),
+                      F.monotonically_increasing_id().alias("at"))
             .join(cdfs.withColumnRenamed("g", "h"), F.col("g").eqNullSafe(F.col("h")), "left"))
-    ident = F.col("row").getField(doc_id)
+    ident = F.coalesce(F.col("row").getField(doc_id).cast("string"), F.concat(F.lit("row "), F.col("at")))
 
     def draw(j: Column) -> Column:
-        u = uniform(F.lit(seed), ident, j)
+        u = uniform(F.lit(seed), ident, F.col("print"), j)
         return F.size(F.filter("cdf", lambda c: c <= u))
 
     times = F.aggregate(F.sequence(F.lit(0), F.col("draws") - 1), F.lit(0), lambda acc, j: acc + draw(j))
-    copies = (rows.select("row", times.alias("times")).where("times > 0")
-              .select("row", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("n")))
-    keyed = copies.withColumn("key", F.xxhash64(F.lit(seed), ident, F.col("n")))
+    copies = (rows.select("row", "at", times.alias("times")).where("times > 0")
+              .select("row", "at", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("n")))
+    keyed = copies.withColumn("key", F.xxhash64(F.lit(seed), F.col("row").getField(doc_id), F.col("at"), F.col("n")))
     out = keyed.repartition(F.col("key")).sortWithinPartitions("key")
     return out.select("row.*", *([F.col("n").alias(copy)] if copy else []))

@@ -16,10 +16,9 @@ Two texts link if the Jaccard similarity of their sets is ``THRESHOLD`` or more.
    link of a text and finds the final components.
 
 Words are runs of characters other than ASCII white space.  Empty and null texts
-have no shingles and link to nothing, not even to one another.  Rows without an id
-are left out.  Rows that repeat an id are one text; if their texts differ, the one
-with the least set fingerprint stands, and a text without words only if there is no
-other.
+have no shingles and link to nothing, not even to one another.  Every row is a text of
+its own, whatever its id: rows are numbered when they are first written, and ids are
+only read again to name the classes.  A row without an id links like any other.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dealwise.llm.common import small_batches, stored, utf8
@@ -170,11 +168,14 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _chunked(rows: DataFrame, key: str, size: int) -> DataFrame:
     """Rows of groups of two and more, with their chunk and once for each pair (a, b) of
-    chunks of their group; a group of up to ``size`` rows has the one pair (0, 0)."""
-    group = W.partitionBy(key)
-    chunk = F.floor((F.row_number().over(group.orderBy("id")) - 1) / size).cast("int")
-    rows = rows.withColumn("n", F.count("*").over(group)).withColumn("chunk", chunk).where("n > 1")
+    chunks of their group; a group of up to ``size`` rows has the one pair (0, 0).
+
+    A group's size is a map-side combined count, and its rows are dealt to chunks by a hash
+    of their id, so that no group is sorted or numbered in one task.
+    """
+    sizes = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / size).cast("int")
+    rows = rows.join(sizes, key).withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
     return (rows.withColumn("x", F.explode(F.sequence(F.lit(0), chunks - 1)))
             .withColumn("a", F.least("x", "chunk")).withColumn("b", F.greatest("x", "chunk")).drop("n", "x"))
 
@@ -253,21 +254,26 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([None] * len(us) + links[some].tolist(), pa.int64())], ["u", "v", "n"])
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
-    """One row per id: the id, ``class_id`` (least id of its component of links) and
-    ``n_links`` (other texts that link to it, copies included).  Ids are integers."""
-    small_batches(df.sparkSession)
-    docs = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    signed = docs.mapInArrow(_signed, "id long, fp1 long, fp2 long, sig binary")
-    members = stored(signed.groupBy("id").agg(F.min(F.struct(F.col("fp1").isNull().alias("none"), "fp1", "fp2", "sig")).alias("x"))
-                     .select("id", "x.fp1", "x.fp2", "x.sig"), "members")
+def numbered(df: DataFrame, name: str = "id") -> DataFrame:
+    """``df`` written once with a number for every row, which holds from then on."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
+def near_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """(id, class, n_links) for every row of ``docs`` (id: a number of its own, text).
+
+    ``class`` is the least id of the row's component of links, ``n_links`` the number of
+    other rows that link to it, copies included.  Rows without words have a class each.
+    """
+    small_batches(docs.sparkSession)
+    members = stored(docs.select("id", "text").mapInArrow(_signed, "id long, fp1 long, fp2 long, sig binary"), "members")
     texts = stored(members.where("fp1 is not null").groupBy("fp1", "fp2")
                    .agg(F.min(F.struct("id", "sig")).alias("x"), F.count("*").alias("copies"))
                    .select("fp1", "fp2", "copies", "x.id", "x.sig"), "texts")
     near = components(forest_links(texts, recall).select("u", "v"))
     inside = near.withColumnRenamed("node", "id").join(texts.select("id", "copies", "fp1"), "id")
     inside = _chunked(inside, "root", CHUNK)
-    sets = (inside.join(docs, "id").mapInArrow(
+    sets = (inside.join(docs.select("id", "text"), "id").mapInArrow(
         _shingled, "root long, a int, b int, chunk int, id long, copies long, set array<long>")
         .repartition("root", "a", "b").sortWithinPartitions("root", "a", "b"))
     checked = stored(sets.mapInArrow(_verified, "u long, v long, n long"), "checked")
@@ -275,10 +281,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     links = checked.where("n is not null").groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("n"))
     classes = (texts.select("fp1", "fp2", "copies", "id")
                .join(roots.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
-               .select(F.col("fp1").alias("f1"), F.col("fp2").alias("f2"), F.coalesce("root", "id").alias("class_id"),
+               .select(F.col("fp1").alias("f1"), F.col("fp2").alias("f2"), F.coalesce("root", "id").alias("class"),
                        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    # an empty text has a null fingerprint and finds no class: it is its own
+    # a text without words has a null fingerprint and finds no class: it is its own
     return (members.select("id", "fp1", "fp2")
             .join(classes, (F.col("fp1") == F.col("f1")) & (F.col("fp2") == F.col("f2")), "left")
-            .select(F.col("id").alias(doc_id), F.coalesce("class_id", "id").alias("class_id"),
+            .select("id", F.coalesce("class", "id").alias("class"),
                     F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")))
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
+    """One row per row of ``df``: its id, ``class_id`` (the least id of its component of
+    links; null if no row of it has one) and ``n_links`` (other rows that link to it)."""
+    rows = numbered(df.select(F.col(doc_id).alias("own"), F.col(text).alias("text")))
+    found = stored(near_classes(rows, recall).join(rows.select("id", "own"), "id"), "classes")
+    named = found.groupBy(F.col("class").alias("c")).agg(F.min("own").alias("class_id"))
+    return found.join(named, F.col("class") == F.col("c")).select(F.col("own").alias(doc_id), "class_id", "n_links")

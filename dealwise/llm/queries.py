@@ -199,18 +199,18 @@ _W = "CASE g {} ELSE {} END".format(" ".join(f"WHEN '{s}' THEN {w}::DOUBLE" for
                                     max(0.0, 1.0 - sum(WEIGHTS.values())))
 
 OP10_SQL = rf"""
-WITH d AS (SELECT doc_id, source, {_G} AS g, greatest(strlen(coalesce(text, '')), 1) AS b FROM documents),
+WITH d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS print, {_G} AS g, greatest(strlen(coalesce(text, '')), 1) AS b FROM documents),
 r AS (SELECT g, ({_W}) * (SELECT sum(b) FROM d) / sum(b) AS rate FROM d GROUP BY g),
 k AS (SELECT g, CAST(greatest(1, ceil(rate / {mix.STEP})) AS INTEGER) AS draws, rate / greatest(1, ceil(rate / {mix.STEP})) AS mean
       FROM r),
 c AS (SELECT g, draws, n, exp(-mean + n * ln(mean) - lgamma(n + 1)) AS term FROM k, range(0, 80) AS s(n)),
 f AS (SELECT g, draws, n, sum(term) OVER (PARTITION BY g ORDER BY n) AS cdf FROM c),
 l AS (SELECT g, draws, list(cdf ORDER BY n) AS cdfs FROM f GROUP BY g, draws),
-u AS (SELECT doc_id, source, cdfs, unnest(range(0, draws)) AS j FROM d JOIN l ON d.g IS NOT DISTINCT FROM l.g),
-x AS (SELECT doc_id, source, len(list_filter(cdfs, lambda q:
-             q <= CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(j AS VARCHAR)), 1, 13)
+u AS (SELECT doc_id, source, print, cdfs, unnest(range(0, draws)) AS j FROM d JOIN l ON d.g IS NOT DISTINCT FROM l.g),
+x AS (SELECT doc_id, source, print, len(list_filter(cdfs, lambda q:
+             q <= CAST('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR) || ':' || print || ':' || CAST(j AS VARCHAR)), 1, 13)
                        AS BIGINT) / 4503599627370496.0::DOUBLE)) AS n FROM u),
-t AS (SELECT doc_id, source, sum(n) AS times FROM x GROUP BY doc_id, source)
+t AS (SELECT doc_id, source, sum(n) AS times FROM x GROUP BY doc_id, source, print)
 SELECT doc_id, source, CAST(unnest(range(0, CAST(times AS BIGINT))) AS INTEGER) AS copy FROM t WHERE times > 0
 """
 

@@ -15,8 +15,10 @@ greedy pass over the summary is the greedy pass over the groups, and its binary
 search gives the optimum.  The summary has a bounded number of rows at any input
 size: 16**START prefixes and 16 for each one split.
 
+Slots are numbered in hash buckets of (doc_id, text), whose number grows with the rows.
+
 Null texts have no bytes and form a group with the empty ones.  Empty tables give
-no rows.  Rows that repeat are rows like any other.
+no rows.  Rows that repeat are rows like any other; equal texts take slots by doc_id.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ START = 3
 HEAVY = 64
 #: Bytes that a row weighs besides its text.
 ROW_BYTES = 8
-#: Slots are counted in this many hash buckets of each shard.
-SLOT_BUCKETS = 512
+#: Rows of a shard that one task numbers, about; buckets that the driver's table may name.
+SLOT_ROWS, SLOT_BUCKETS = 50_000, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -192,23 +194,25 @@ def shard_texts(df: DataFrame, shards: int = 24, text: str = "text", doc_id: str
     allow.  A column already named ``out`` is replaced; all other columns stay.
     """
     body = F.coalesce(F.col("row").getField(text), F.lit(""))
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != out]).alias("row"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() != out.lower()]).alias("row"))
     keyed = rows.select("row", F.md5(body.cast("binary")).alias("key"),
                         (F.octet_length(body) + ROW_BYTES).cast("bigint").alias("size"),
                         F.crc32(body.cast("binary")).alias("crc"))
-    groups = stored(keyed.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
+    groups = stored(keyed.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "shard-groups")
+    rows_in_all = groups.agg(F.sum("rows")).first()[0] or 0
+    buckets = min(max(1, -(-rows_in_all // (shards * SLOT_ROWS))), SLOT_BUCKETS // shards or 1)
     _, cuts = minimax_cuts(groups, shards)
     shard = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("key"))) if cuts else F.lit(0)
     placed = keyed.withColumn("shard", shard.cast("int")).withColumn(
-        "bucket", F.pmod(F.xxhash64(F.col("row").getField(doc_id)), F.lit(SLOT_BUCKETS)).cast("int"))
+        "bucket", F.pmod(F.xxhash64(F.col("row").getField(doc_id), F.col("key")), F.lit(buckets)).cast("int"))
     # a slot is its place in a hash bucket behind the buckets before it: no shard is sorted in one task
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = counts.select(F.col("shard").alias("s"), F.col("bucket").alias("b"), F.coalesce(
         F.sum("n").over(W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)),
         F.lit(0)).alias("base"))
-    first = F.row_number().over(W.partitionBy("shard", "bucket").orderBy("key")) - 1
+    first = F.row_number().over(W.partitionBy("shard", "bucket").orderBy("key", F.col("row").getField(doc_id))) - 1
     slots = placed.withColumn("place", first).join(
-        checked_broadcast(before, shards * SLOT_BUCKETS),
+        checked_broadcast(before, shards * buckets),
         (F.col("shard") == F.col("s")) & (F.col("bucket") == F.col("b")))
     return slots.select("row.*", F.struct(
         "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",

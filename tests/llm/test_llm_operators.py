@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dealwise.llm import chat, components, decontaminate, html, licenses, mix, neardups, quality, shard, substrings, toxicity
+from dealwise.llm import chat, common, components, decontaminate, html, licenses, mix, neardups, quality, shard, substrings, toxicity
 
 DOCS = "doc_id long, text string, source string, quality string, n_words string"
 #: Nulls, empties, ties, repeats, a long text, and columns named like results.
@@ -165,10 +165,30 @@ def test_neardups_brute(spark, monkeypatch):
     texts[len(texts)] = texts[0]
     texts[len(texts)] = "two words"
     texts[len(texts)] = "two  words"
-    rows = [(i, t) for i, t in texts.items()]
-    docs = spark.createDataFrame([*rows, rows[3], (None, "no id")], "doc_id long, text string")
-    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardups.near_duplicates(docs).collect()}
-    assert got == jaccard_classes(texts)
+    # repeated rows, one id with several texts, copies and near copies without an id
+    rows = [*texts.items(), (3, texts[3]), (4, texts[30]), (4, "another text"), (None, "no id"), (None, "no id"),
+            (None, texts[60]), (None, None)]
+    found = jaccard_classes(dict(enumerate(t for _, t in rows)))
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        if i is not None:
+            least[found[n][0]] = min(least.get(found[n][0], i), i)
+    want = [(i, least.get(found[n][0]), found[n][1]) for n, (i, _) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(repr, map(tuple, neardups.near_duplicates(docs).collect()))) == sorted(map(repr, want))
+
+
+def test_chunks_are_dealt_without_a_window(spark, monkeypatch):
+    """A group is counted and dealt by hash; every pair of its rows meets in one chunk pair."""
+    rows = spark.range(500).select("id", F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("key"))
+    out = neardups._chunked(rows, "key", 64)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    met = {}
+    for r in out.collect():
+        met.setdefault((r["a"], r["b"]), set()).add(r["id"])
+    assert {i for ids in met.values() for i in ids} == set(range(400))
+    pairs = {(x, y) for ids in met.values() for x in ids for y in ids if x < y}
+    assert len(pairs) == 400 * 399 // 2
 
 
 def test_neardups_meets_pairs_at_the_threshold(spark):
@@ -193,8 +213,8 @@ def test_neardups_meets_pairs_at_the_threshold(spark):
 
 
 def test_neardups_edges(edge, empty):
-    rows = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardups.near_duplicates(edge).collect()}
-    assert rows == {i: (i, 0) for i in (1, 2, 3, 4, 5, 6, 7)}
+    rows = sorted(((r["doc_id"] or 0, r["class_id"], r["n_links"]) for r in neardups.near_duplicates(edge).collect()))
+    assert rows == [(0, None, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 1), (4, 4, 1), (5, 5, 0), (6, 6, 0), (7, 7, 0)]
     assert neardups.near_duplicates(empty).count() == 0
 
 
@@ -341,6 +361,17 @@ def test_shards_brute(spark, hot):
 def test_shards_edges(edge, empty):
     assert shard.shard_texts(edge, 3).count() == len(EDGE)
     assert shard.shard_texts(empty, 3).count() == 0
+    clash = edge.withColumnRenamed("quality", "Placed")
+    assert shard.shard_texts(clash, 3).columns == [c for c in clash.columns if c != "Placed"] + ["placed"]
+
+
+def test_slots_do_not_depend_on_the_run(spark, monkeypatch):
+    monkeypatch.setattr(shard, "SLOT_ROWS", 7)  # several buckets a shard
+    rows = [(i % 50 if i % 5 else None, f"text {i % 20}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    runs = [sorted(repr((r["doc_id"], r["text"], r["placed"]["slot"])) for r in shard.shard_texts(d, 3).collect())
+            for d in (df, df.repartition(5))]
+    assert runs[0] == runs[1]
 
 
 # ------------------------------------------------------------------ 10
@@ -356,7 +387,23 @@ def test_mix_shares_and_edges(spark, edge, empty):
     assert abs(large / (60 * 200) - 1) < 0.1  # drawn in steps
     assert mix.poisson_mix(edge, {"s": 0.5}, copy=None).columns == edge.columns
     assert mix.poisson_mix(empty, {"s": 0.5}).count() == 0
-    assert mix.poisson_mix(edge, {}).where("doc_id is null").count() >= 0
+    clash = edge.withColumnRenamed("quality", "Copy")
+    assert mix.poisson_mix(clash, {"s": 0.5}).columns == [c for c in clash.columns if c != "Copy"] + ["copy"]
+
+
+def test_rows_without_an_id_draw_and_spread_each_by_itself(spark):
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit("one text").alias("text"),
+                                  F.col("id").alias("row"))
+    out = common.stored(mix.poisson_mix(df, {"s": 1.0}), "test")
+    times = {r["row"]: r["n"] for r in out.groupBy("row").agg(F.count("*").alias("n")).collect()}
+    assert abs(sum(times.values()) / 4000 - 1) < 0.06 and abs(len(times) / 4000 - (1 - np.exp(-1))) < 0.03
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = mix.poisson_mix(df, {"s": 1.0}).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * sum(r["count"] for r in sizes) / 8
 
 
 def test_cdf():
