@@ -4,9 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of documents.  ``run`` writes each stage's result to the shared
 folder and reads it back, so a lost executor costs one stage's tasks at most.
 
-Null, empty or repeated rows and further columns: see the operators.  Rows without
-a doc_id are judged by their texts like any other; of rows that repeat a doc_id one
-text is judged, and only a row with that text can stay.
+Null, empty or repeated rows and further columns: see the operators.  No stage takes a
+doc_id for a key: rows without one, or that repeat one, are judged each by itself.
 """
 
 from __future__ import annotations
@@ -29,26 +28,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the least id, or one
-    without an id if none has one.
-
-    A row without an id goes by its text's 64-bit hash.  If it has no words either, it
-    links to nothing and stays.
-    """
-    key, mark, best = (common.fresh(docs, c) for c in ("near_key", "near_mark", "near_best"))
-    has = F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
-    loose = F.col("doc_id").isNull() & ~has
-    rows = (docs.where(~loose).withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")))
-            .withColumn(mark, F.struct((~has).alias("none"), F.xxhash64("text").alias("hash"))))
-    # the text that is compared is the one that is kept
-    first = rows.groupBy(F.col(key).alias("k")).agg(F.min(mark).alias(best), F.min("doc_id").alias("own"))
-    first = common.stored(first, "near-rows")
-    rows = rows.join(first.select("k", best), (F.col(key) == F.col("k")) & (F.col(mark) == F.col(best)), "left_semi")
-    classes = neardups.near_duplicates(rows.select(key, "text"), doc_id=key).select(F.col(key).alias("node"), "class_id")
-    rank = F.struct(F.col("own").isNull().alias("lost"), "own", "node")
-    kept = classes.join(first, F.col("node") == F.col("k")).groupBy("class_id").agg(F.min(rank)["node"].alias("node"))
-    kept = rows.join(kept.select("node"), F.col(key) == F.col("node"), "left_semi").dropDuplicates([key])
-    return kept.drop(key, mark).unionByName(docs.where(loose))
+    """One row of each group of near duplicates: that of the least id, then text (rows
+    without an id come last).  Rows that repeat an id are judged by their texts, each by
+    itself, and rows without words all stay."""
+    number = common.fresh(docs, "row_number")
+    rows = neardups.numbered(docs, number)
+    classes = neardups.near_classes(rows.select(F.col(number).alias("id"), "text"))
+    place = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", F.xxhash64("text").alias("hash"), F.col("id"))
+    named = rows.select(F.col(number).alias("id"), "doc_id", "text").withColumn("place", place).select("id", "place")
+    kept = classes.join(named, "id").groupBy("class").agg(F.min("place")["id"].alias("kept"))
+    return rows.join(kept.select("kept"), F.col(number) == F.col("kept"), "left_semi").drop(number)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
