@@ -38,7 +38,7 @@ HEAVY = 64
 #: Bytes that a row weighs besides its text.
 ROW_BYTES = 8
 #: Rows of a shard that one task numbers, about; buckets that the driver's table may name.
-SLOT_ROWS, SLOT_BUCKETS = 50_000, 1 << 20
+SLOT_ROWS, SLOT_BUCKETS = 1_000, 1 << 20
 
 
 @dataclass(frozen=True)
