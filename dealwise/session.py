@@ -61,13 +61,15 @@ _LOCAL_CKPT: str | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only invent one (under the
-    local temp dir) when the setting is absent, which happens in tests.
+    A cluster has to name a shared folder there; only a local session without the setting,
+    as in tests, gets one of its own under the local temp dir.
     """
     global _LOCAL_CKPT
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="dealwise-ckpt-")
         path = _LOCAL_CKPT
