@@ -86,7 +86,7 @@ def q_bi_activity_rollup(spark: SparkSession, base: str) -> DataFrame:
 @register("sync_all_bi", """
 SELECT o.o_orderkey AS deal_id, 'Order #' || CAST(o.o_orderkey AS VARCHAR) AS title,
        CASE o.o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'won' ELSE 'lost' END AS status,
-       o.o_totalprice AS value, 'USD' AS currency, o.o_orderdate AS add_time,
+       CAST(o.o_totalprice AS DECIMAL(18,4)) AS value, 'USD' AS currency, o.o_orderdate AS add_time,
        o.o_orderdate + INTERVAL 1 DAY AS update_time, NULL::TIMESTAMP AS close_time,
        c.c_name AS contact_name, 'w' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS contact_email,
        CASE WHEN c.c_custkey % 2 = 0 THEN '+55 11 ' || CAST(c.c_custkey AS VARCHAR) END AS contact_phone,
