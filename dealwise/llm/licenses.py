@@ -10,7 +10,8 @@ bigrams are made.
 
 Passages are runs of words that cross lines or are part of one: every run of up to
 ``SPAN`` times a template's words that starts and ends with one of its bigrams is
-compared, so trimming loses none.  See :func:`license_passages`.
+compared, so trimming loses none.  Of the runs from one bigram the best counts.  See
+:func:`license_passages`.
 
 Null, empty and one-word units have no bigrams and match nothing.
 """
@@ -25,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dealwise.functions.once import evaluate_once
+
 # Public licence notices and texts, as their owners publish them.
 TEMPLATES = {
     "MIT-notice": "Licensed under the MIT License.",
@@ -142,11 +145,15 @@ def license_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per (document, template, passage) with Dice >= ``threshold``, where no unit does.
 
-    Columns as in :func:`license_matches`; ``line`` is where the passage begins.  Of
-    passages of a template that overlap the one with the greatest Dice stays (then the
-    first, then the shorter).  A passage that touches a line that matches the template
-    itself is left out, as is one inside a line that matches any template, and so are all
-    of a text that matches as a whole.
+    Columns as in :func:`license_matches`; ``line`` is where the passage begins.  Of the
+    runs from one bigram the one with the greatest Dice counts (then the shorter), and of
+    those of a template that overlap the greatest stays (then the first).  A passage that
+    touches a line that matches the template itself is left out, as is one inside a line
+    that matches any template, and so are all of a text that matches as a whole.
+
+    The work for a text grows with its words times the span of a template, however many
+    passages it holds: a run's bigrams are counted on from the run shorter by one, and
+    runs are compared with neighbours only.
     """
     templates = templates or TEMPLATES
     kinds, words = [], set()
@@ -157,41 +164,85 @@ def license_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         kinds.append(F.struct(F.lit(name).alias("license"), F.lit(grams).alias("grams"), F.lit(need).alias("need"),
                               F.lit(span).alias("span")))
 
-    def dice(grams: Column, template: Column | None = None) -> Column:
-        own, other = F.array_distinct(grams), F.col("t.grams") if template is None else template
+    def dice(own: Column, other: Column) -> Column:
         return 2.0 * F.size(F.array_intersect(own, other)) / (F.size(own) + F.size(other))
 
     # through an array, so that the text is lowered once and not for each word
     some = F.exists(F.array(F.lower(F.col(text))), lambda x: reduce(lambda a, b: a | b, [x.contains(w) for w in sorted(words)]))
-    rows = df.where(some).select(F.col(doc_id).alias("id"), F.split(text, "\n", -1).alias("parts"), _bigrams(_words(F.col(text))).alias("g"))
+    rows = df.where(some).select(F.col(doc_id).alias("id"), F.split(text, "\n", -1).alias("parts"))
+    rows = evaluate_once(rows, ws=F.transform("parts", _words))
+    rows = evaluate_once(rows.select("id", "ws"), g=_bigrams(F.flatten("ws")))
     near = F.filter(F.array(*kinds), lambda t: F.size(F.array_intersect(F.col("g"), t["grams"])) >= t["need"])
-    rows = rows.select("id", "parts", "g", F.explode(near).alias("t"))
-    # positions (from 1) of bigrams of the template
-    hits = F.filter(F.transform("g", lambda x, i: F.when(F.array_contains("t.grams", x), i + 1)), lambda i: i.isNotNull())
-    rows = rows.select("*", hits.alias("h")).select("*", F.size("h").alias("m")).where(F.col("m") >= F.col("t.need"))
-    # every run from one hit to another that can hold enough of them
+    rows = evaluate_once(rows, near=near).where(F.size("near") > 0)
+
+    # templates that each line matches, the line of each word, and for each bigram (places
+    # from 1) the place of the same one before it
+    def names(line: Column) -> Column:
+        own = F.array_distinct(_bigrams(line))
+        return F.get(F.transform(F.array(own), lambda b: F.transform(
+            F.filter(F.array(*kinds), lambda t: (F.size(b) * threshold <= F.size(t["grams"]) * (2 - threshold) + 1e-6)
+                     & (dice(b, t["grams"]) >= threshold)), lambda t: t["license"])), F.lit(0))
+
+    rows = evaluate_once(rows, units=F.transform("ws", names),
+                         lines=F.flatten(F.transform("ws", lambda w, i: F.array_repeat(i, F.size(w)))),
+                         sorted=F.sort_array(F.transform("g", lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i")))))
+    last = lambda k: F.get("sorted", k - 1)
+    rows = evaluate_once(rows, before=F.sort_array(F.transform("sorted", lambda e, k: F.struct(
+        e["i"].alias("i"), F.when(last(k)["x"] == e["x"], last(k)["i"]).otherwise(0).alias("last")))))
+    rows = rows.select("id", "g", "units", "lines", "before", F.explode("near").alias("t"))
+    rows = evaluate_once(rows, size=F.size("t.grams"), whole=dice(F.array_distinct("g"), F.col("t.grams")) >= threshold,
+                         places=F.transform("before", lambda e: F.struct(
+                             e["i"].alias("i"), e["last"].alias("last"),
+                             F.array_contains("t.grams", F.get("g", e["i"] - 1)).alias("hit"))))
+    rows = evaluate_once(rows.where(~F.col("whole")), h=F.transform(F.filter("places", lambda e: e["hit"]), lambda e: e["i"]))
+
+    # the best run from every place whose run can hold enough of the template
     at = lambda k: F.get("h", k - 1)
-    starts = F.filter(F.sequence(F.lit(1), F.col("m") - F.col("t.need") + 1),
-                      lambda p: at(p + F.col("t.need") - 1) - at(p) < F.col("t.span"))
-    runs = F.flatten(F.transform(starts, lambda p: F.transform(
-        F.filter(F.sequence(p + F.col("t.need") - 1, F.least("m", p + F.col("t.span"))), lambda q: at(q) - at(p) < F.col("t.span")),
-        lambda q: F.struct(dice(F.slice("g", at(p), at(q) - at(p) + 1)).alias("dice"), (-at(p)).alias("a"), (-at(q)).alias("b")))))
-    rows = rows.select("*", F.sort_array(F.filter(runs, lambda r: r["dice"] >= threshold), asc=False).alias("runs"))
-    best = F.aggregate("runs", F.array().cast("array<struct<dice:double,a:int,b:int>>"), lambda kept, r: F.when(
-        F.exists(kept, lambda k: (r["a"] >= k["b"] - 1) & (k["a"] >= r["b"] - 1)), kept).otherwise(F.concat(kept, F.array(r))))
-    counts = F.transform("parts", lambda x: F.size(_words(x)))
-    rows = rows.select("id", "parts", "g", "t", counts.alias("counts"), F.explode(best).alias("r"))
-
-    def line(k: Column) -> Column:
-        """The line of the k-th word."""
-        zero = F.struct(F.lit(0).alias("words"), F.lit(0).alias("line"))
-        return F.aggregate("counts", zero, lambda z, n: F.struct(
-            (z["words"] + n).alias("words"), (z["line"] + F.when(z["words"] + n < k, 1).otherwise(0)).alias("line")))["line"]
-
-    rows = rows.select("*", line(-F.col("r.a")).alias("line"), line(1 - F.col("r.b")).alias("until"))
-    touched = F.slice("parts", F.col("line") + 1, F.col("until") - F.col("line") + 1)
-    units = F.exists(touched, lambda x: dice(_bigrams(_words(x))) >= threshold) | (dice(F.col("g")) >= threshold)
-    named = (F.col("line") == F.col("until")) & F.exists(F.array(*kinds), lambda t: dice(
-        _bigrams(_words(F.get("parts", F.col("line")))), t["grams"]) >= threshold)
-    return rows.where(~units & ~named).select(F.col("id").alias(doc_id), F.col("line").cast("int").alias("line"),
-                                     F.col("t.license").alias("license"), F.col("r.dice").alias("dice"))
+    starts = F.when(F.size("h") >= F.col("t.need"), F.transform(F.filter(
+        F.sequence(F.lit(1), F.size("h") - F.col("t.need") + 1), lambda p: at(p + F.col("t.need") - 1) - at(p) < F.col("t.span")), at))
+
+    def longest(a: Column) -> Column:
+        """The run from place ``a`` with the greatest Dice, as (dice, a, b)."""
+        # the score of the run so far is taken up one step late; only a new bigram of the
+        # template raises it, so the first place with the greatest score is one of its ends
+        score = lambda z: 2.0 * z["hit"] / (z["own"] + F.col("size"))
+        end = lambda z: F.when(score(z) > z["dice"], z["i"]).otherwise(z["b"])
+
+        def grown(z: Column, e: Column) -> Column:
+            fresh = e["last"] < a
+            return F.struct(F.when(fresh, z["own"] + 1).otherwise(z["own"]).alias("own"),
+                            F.when(fresh & e["hit"], z["hit"] + 1).otherwise(z["hit"]).alias("hit"), e["i"].alias("i"),
+                            F.greatest(z["dice"], score(z)).alias("dice"), end(z).alias("b"))
+        zero = F.struct(*[F.lit(0).alias(c) for c in ("own", "hit", "i")], F.lit(0.0).alias("dice"), F.lit(0).alias("b"))
+        return F.aggregate(F.slice("places", a, F.col("t.span")), zero, grown, lambda z: F.struct(
+            F.greatest(z["dice"], score(z)).alias("dice"), a.alias("a"), end(z).alias("b")))
+
+    rows = evaluate_once(rows.drop("g", "before"), starts=starts).where(F.size("starts") > 0)
+    rows = evaluate_once(rows, good=F.filter(F.transform("starts", longest), lambda r: r["dice"] >= threshold))
+    rows = rows.drop("places", "h", "starts")
+
+    # in rounds: a run that no better one overlaps stays, and what overlaps it goes
+    meet = lambda r, s: (s["a"] <= r["b"] + 1) & (r["a"] <= s["b"] + 1)
+    beats = lambda s, r: (s["dice"] > r["dice"]) | ((s["dice"] == r["dice"]) & (s["a"] < r["a"]))
+    around = lambda runs, i: F.slice(runs, F.greatest(F.lit(1), i + 1 - F.col("t.span")), 2 * F.col("t.span") + 1)
+    run = lambda r: [r[c].alias(c) for c in ("dice", "a", "b")]
+
+    def settled(z: Column) -> Column:
+        rest = z["rest"]
+        marked = F.transform(rest, lambda r, i: F.struct(*run(r), (~F.exists(
+            around(rest, i), lambda s: beats(s, r) & meet(r, s))).alias("stays")))
+        return F.get(F.transform(F.array(marked), lambda m: F.struct(
+            F.transform(F.filter(m, lambda r, i: ~F.exists(around(m, i), lambda s: s["stays"] & meet(r, s))),
+                        lambda r: F.struct(*run(r))).alias("rest"),
+            F.concat(z["kept"], F.transform(F.filter(m, lambda r: r["stays"]), lambda r: F.struct(*run(r)))).alias("kept"))), F.lit(0))
+
+    none = F.array().cast("array<struct<dice:double,a:int,b:int>>")
+    best = F.aggregate(F.sequence(F.lit(1), F.size("good")), F.struct(F.col("good").alias("rest"), none.alias("kept")),
+                       lambda z, _: F.when(F.size(z["rest"]) > 0, settled(z)).otherwise(z), lambda z: z["kept"])
+    rows = rows.where(F.size("good") > 0).select("id", "units", "lines", "t", F.explode(best).alias("r"))
+    rows = rows.select("*", F.get("lines", F.col("r.a") - 1).alias("line"), F.get("lines", F.col("r.b")).alias("until"))
+    unit = F.exists(F.slice("units", F.col("line") + 1, F.col("until") - F.col("line") + 1),
+                    lambda n: F.array_contains(n, F.col("t.license")))
+    named = (F.col("line") == F.col("until")) & (F.size(F.get("units", F.col("line"))) > 0)
+    return rows.where(~unit & ~named).select(F.col("id").alias(doc_id), F.col("line").cast("int").alias("line"),
+                                             F.col("t.license").alias("license"), F.col("r.dice").alias("dice"))

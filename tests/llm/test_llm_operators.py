@@ -322,6 +322,56 @@ def test_license_passages(spark, edge, empty):
     assert licenses.license_passages(edge).count() == 0 and licenses.license_passages(empty).count() == 0
 
 
+def brute_passages(text):
+    """Every run from every bigram of a template; the best stays where they overlap."""
+    grams, found = licenses.template_bigrams(licenses.TEMPLATES), []
+    words = lambda x: re.findall(licenses.WORD, x.lower())
+    pairs = lambda ws: [f"{a} {b}" for a, b in zip(ws, ws[1:])]
+    dice = lambda own, other: 2 * len(set(own) & set(other)) / (len(set(own)) + len(other))
+    lines = [words(x) for x in text.split("\n")]
+    units = [{n for n, other in grams.items() if dice(pairs(ws), other) >= licenses.THRESHOLD} for ws in lines]
+    line_of, g = [k for k, ws in enumerate(lines) for _ in ws], pairs([w for ws in lines for w in ws])
+    for name, other in grams.items():
+        if dice(g, other) >= licenses.THRESHOLD:
+            continue
+        span, runs, kept = licenses.SPAN * (len(words(licenses.TEMPLATES[name])) - 1), [], []
+        for a in (k for k, x in enumerate(g) if x in other):
+            ends = [b for b in range(a, min(len(g), a + span)) if g[b] in other]
+            runs.append(max((dice(g[a:b + 1], other), -a, -b) for b in ends))
+        for score, a, b in sorted((r for r in runs if r[0] >= licenses.THRESHOLD), reverse=True):
+            if all(-a > y + 1 or x > -b + 1 for x, y in kept):
+                kept.append((-a, -b))
+                first, until = line_of[-a], line_of[-b + 1]
+                if not any(name in u for u in units[first:until + 1]) and not (first == until and units[first]):
+                    found.append((first, name, round(score, 9)))
+    return found
+
+
+def test_license_passages_brute(spark):
+    rng = random.Random(5)
+    kinds, docs = list(licenses.TEMPLATES), []
+    for _ in range(40):  # several templates a text, whole, damaged and side by side, with lines cut anywhere
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            harm = rng.choice([0, 0, 0.05, 0.15])
+            parts.append(words_text(rng, rng.choice([0, 0, 1, 3, 20]), 200))
+            parts.append(" ".join(w for w in licenses.TEMPLATES[rng.choice(kinds)].split() if rng.random() >= harm))
+            parts.append(rng.choice(["", licenses.TEMPLATES[rng.choice(kinds)]]))
+        docs.append("".join(w + rng.choice(["\n"] + [" "] * 11) for w in " ".join(parts).split()))
+    docs += ["\n".join(["All rights reserved. Licensed under CC BY 4.0. x"] * 3), "All rights reserved. " * 9 + "and more", ""]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["line"], r["license"], round(r["dice"], 9)) for r in licenses.license_passages(df).collect())
+    want = sorted((k, *r) for k, text in enumerate(docs) for r in brute_passages(text))
+    assert got == want and len(want) > 100
+
+
+def test_license_passages_long_text(spark):
+    """One text of a thousand licence lines: a thousand passages, in time that grows with its words."""
+    text = "a new part. Licensed under CC BY 4.0. It goes on here\n" * 1000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert {r["line"] for r in licenses.license_passages(df).collect()} == set(range(1000))
+
+
 # ------------------------------------------------------------------ 8
 
 def least_capacity(sizes, shards):
