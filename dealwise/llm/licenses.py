@@ -21,7 +21,6 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,16 +103,20 @@ def license_matches(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     grams = template_bigrams(templates or TEMPLATES)
     low = min(len(g) for g in grams.values()) * threshold / (2 - threshold)
+    high = math.floor(max(len(g) for g in grams.values()) * (2 - threshold) / threshold + 1e-6)
+    telling = sorted(set().union(*[anchors(g, needed(g, threshold)) for g in grams.values()]))
     table = F.array(*[F.struct(F.lit(n).alias("license"), F.lit(g).alias("grams")) for n, g in grams.items()])
     body = F.coalesce(F.col(text), F.lit(""))
-    parts = F.split(body, "\n", -1)
-    units = F.when(F.size(parts) > 1, F.concat(F.array(body), parts)).otherwise(F.concat(F.array(F.lit("")), parts))
-    rows = df.select(F.col(doc_id).alias("id"), F.posexplode(units).alias("pos", "unit"))
-    # fewer words than the smallest template's lower bound can make no match
-    rows = rows.where(F.length("unit") > 2 * low)
-    rows = rows.select("id", "pos", _words(F.col("unit")).alias("w")).where(F.size("w") > low)
-    pairs = F.array_distinct(F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1),
-                                        lambda a, b: F.concat(a, F.lit(" "), b)))
+    # no word crosses a line, so the words of the lines are those of the text
+    rows = evaluate_once(df.select(F.col(doc_id).alias("id"), F.split(body, "\n", -1).alias("parts")), ws=F.transform("parts", _words))
+    whole = F.when(F.size("ws") > 1, F.flatten("ws")).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("id", F.posexplode(F.concat(F.array(whole), F.col("ws"))).alias("pos", "w"))
+    # a match has more words than the smallest template's lower bound and holds a telling word,
+    # and no part of it has more bigrams than the greatest upper bound
+    rows = rows.where((F.size("w") > low) & F.arrays_overlap("w", F.lit(telling)))
+    rows = rows.where(F.when(F.size("w") > 4 * high, F.size(F.array_distinct(_bigrams(F.slice("w", 1, 2 * high)))) <= high)
+                      .otherwise(True))
+    pairs = F.array_distinct(_bigrams(F.col("w")))
     rows = rows.select("id", "pos", pairs.alias("grams")).withColumn("n", F.size("grams"))
     # the slack is for rounding at the bounds; the Dice below decides
     fits = F.filter(table, lambda t: (F.col("n") * (2 - threshold) >= F.size(t["grams"]) * threshold - 1e-6)
@@ -125,6 +128,11 @@ def license_matches(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
             .where(F.col("dice") >= threshold))
 
 
+def needed(grams: list[str], threshold: float) -> int:
+    """How many of the bigrams a text with a Dice of ``threshold`` holds at least."""
+    return max(1, math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9))
+
+
 def anchors(grams: list[str], need: int) -> set[str]:
     """Words of which any text with ``need`` of the bigrams holds one; long words first."""
     left, out = set(grams), set()
@@ -158,7 +166,7 @@ def license_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     templates = templates or TEMPLATES
     kinds, words = [], set()
     for name, grams in template_bigrams(templates).items():
-        need = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+        need = needed(grams, threshold)
         span = SPAN * (len(re.findall(WORD, templates[name].lower())) - 1)
         words |= anchors(grams, need)
         kinds.append(F.struct(F.lit(name).alias("license"), F.lit(grams).alias("grams"), F.lit(need).alias("need"),
@@ -167,13 +175,13 @@ def license_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def dice(own: Column, other: Column) -> Column:
         return 2.0 * F.size(F.array_intersect(own, other)) / (F.size(own) + F.size(other))
 
-    # through an array, so that the text is lowered once and not for each word
-    some = F.exists(F.array(F.lower(F.col(text))), lambda x: reduce(lambda a, b: a | b, [x.contains(w) for w in sorted(words)]))
-    rows = df.where(some).select(F.col(doc_id).alias("id"), F.split(text, "\n", -1).alias("parts"))
-    rows = evaluate_once(rows, ws=F.transform("parts", _words))
+    rows = evaluate_once(df.select(F.col(doc_id).alias("id"), F.split(text, "\n", -1).alias("parts")), ws=F.transform("parts", _words))
+    rows = rows.where(F.exists("ws", lambda w: F.arrays_overlap(w, F.lit(sorted(words)))))
     rows = evaluate_once(rows.select("id", "ws"), g=_bigrams(F.flatten("ws")))
-    near = F.filter(F.array(*kinds), lambda t: F.size(F.array_intersect(F.col("g"), t["grams"])) >= t["need"])
-    rows = evaluate_once(rows, near=near).where(F.size("near") > 0)
+    every = sorted(set().union(*template_bigrams(templates).values()))
+    rows = evaluate_once(rows, known=F.array_intersect("g", F.lit(every)))
+    near = F.filter(F.array(*kinds), lambda t: F.size(F.array_intersect(F.col("known"), t["grams"])) >= t["need"])
+    rows = evaluate_once(rows.where(F.size("known") > 0), near=near).where(F.size("near") > 0).drop("known")
 
     # templates that each line matches, the line of each word, and for each bigram (places
     # from 1) the place of the same one before it
