@@ -4,7 +4,12 @@ Normalising lower-cases A-Z and makes every other ASCII character that is no
 digit a space, byte for byte, so an offset in the normalised text is the offset
 in the original.  A window is ``window`` consecutive words of an item (a shorter
 item is one window).  The automaton runs over words, one symbol a word, and each
-text is scanned once.
+text is scanned once.  A worker process builds it once, whatever the number of tasks
+and batches that it gets.
+
+Items of more than ``BLOCK_BYTES`` make one automaton a block, so that a worker never
+holds more than one of them: texts wait until ``WAIT_BYTES`` are together, and each
+automaton is built once for all of them.
 
 Null and empty texts have no words and no hits; items without words never occur.
 Rows, repeats and other columns stay as they are.
@@ -12,6 +17,7 @@ Rows, repeats and other columns stay as they are.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -28,6 +34,8 @@ WINDOW = 10
 BLOCK_BYTES = 1 << 20
 #: ... and that one function carries to the workers.
 GROUP_BYTES = 16 << 20
+#: Texts that wait for the automata of several blocks.
+WAIT_BYTES = 64 << 20
 
 _KEEP = set(range(48, 58)) | set(range(97, 123)) | set(range(128, 256))
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b in _KEEP else 32 for b in range(256))
@@ -84,21 +92,61 @@ def _offsets(raw: bytes, norm: bytes, runs: list[tuple[int, int]]) -> list[dict]
     return [{"start": int(points[spans[a][0]]), "end": int(points[spans[b - 1][1]])} for a, b in runs]
 
 
-def _blocks(items: list[tuple[str, list[bytes]]], size: int) -> list[list[tuple[str, list[bytes]]]]:
+def _pieces(words: list[bytes], window: int, size: int) -> Iterator[list[bytes]]:
+    """Runs of words of about ``size`` bytes that together hold every window: neighbours
+    share ``window - 1`` words."""
+    start = end = 0
+    while end < len(words):
+        start = max(0, end - window + 1)
+        end, room = start, size
+        while end < len(words) and (room > 0 or end - start < window):
+            room -= len(words[end]) + 1
+            end += 1
+        yield words[start:end]
+
+
+def _blocks(items: list[tuple[str, list[bytes]]], size: int, window: int) -> list[list[tuple[str, list[bytes]]]]:
     out: list[list[tuple[str, list[bytes]]]] = [[]]
     room = size
-    for item in items:
-        cost = sum(map(len, item[1])) + len(item[1])
-        if out[-1] and cost > room:
-            out.append([])
-            room = size
-        out[-1].append(item)
-        room -= cost
+    for item, words in items:
+        for piece in _pieces(words, window, size):
+            cost = sum(map(len, piece)) + len(piece)
+            if out[-1] and cost > room:
+                out.append([])
+                room = size
+            out[-1].append((item, piece))
+            room -= cost
     return out
 
 
+#: The automaton that this worker process built last, with the digest of its block.
+_held: dict[str, Automaton] = {}
+
+
+def _automaton(digest: str, block: list[tuple[str, list[bytes]]], window: int) -> Automaton:
+    if digest not in _held:
+        _held.clear()  # before the next one is built: one automaton in memory at a time
+        _held[digest] = Automaton(block, window)
+    return _held[digest]
+
+
+def _waiting(batches: Iterator[tuple[pa.Array, ...]], size: int) -> Iterator[list[tuple[pa.Array, ...]]]:
+    """Batches gathered until their texts have ``size`` bytes."""
+    wait, room = [], size
+    for batch in batches:
+        wait.append(batch)
+        room -= batch[0].nbytes
+        if room <= 0:
+            yield wait
+            wait, room = [], size
+    if wait:
+        yield wait
+
+
 def _hits_udf(items: list[tuple[str, list[bytes]]], window: int):
-    blocks = _blocks(items, BLOCK_BYTES)
+    blocks = [(hashlib.sha256(repr((window, block)).encode()).hexdigest(), block)
+              for block in _blocks(items, BLOCK_BYTES, window)]
+    wait = WAIT_BYTES if len(blocks) > 1 else 0
     ddl = "struct<n_words bigint, n_hit bigint, runs array<int>, items array<string>, spans array<struct<start int, end int>>>"
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("runs", pa.list_(pa.int32())),
@@ -106,24 +154,25 @@ def _hits_udf(items: list[tuple[str, list[bytes]]], window: int):
 
     @F.arrow_udf(ddl)
     def hits(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        only = Automaton(blocks[0], window) if len(blocks) == 1 else None
-        for texts, old_runs, old_items in batches:
-            raws = utf8(texts)
-            norms = [raw.translate(_TABLE) for raw in raws]
-            words = [norm.split() for norm in norms]
-            runs = [list(zip(r[::2], r[1::2])) if r else [] for r in old_runs.to_pylist()]
-            found = [set(x or ()) for x in old_items.to_pylist()]
-            for block in blocks:  # one automaton in memory at a time
-                automaton = only or Automaton(block, window)
-                for k, own in enumerate(words):
-                    automaton.scan(own, runs[k], found[k])
-            rows = []
-            for raw, norm, own, r, ids in zip(raws, norms, words, runs, found):
-                r = _merged(r)
-                rows.append({"n_words": len(own), "n_hit": sum(b - a for a, b in r),
-                             "runs": [x for run in r for x in run], "items": sorted(ids),
-                             "spans": _offsets(raw, norm, r) if r else []})
-            yield pa.array(rows, kind)
+        for together in _waiting(batches, wait):
+            runs = [[list(zip(r[::2], r[1::2])) if r else [] for r in old.to_pylist()] for _, old, _ in together]
+            found = [[set(x or ()) for x in old.to_pylist()] for _, _, old in together]
+            sizes: list[list[int]] = [[]] * len(together)
+            for digest, block in blocks:
+                automaton = _automaton(digest, block, window)
+                for b, batch in enumerate(together):
+                    words = [raw.translate(_TABLE).split() for raw in utf8(batch[0])]
+                    sizes[b] = [len(own) for own in words]
+                    for k, own in enumerate(words):
+                        automaton.scan(own, runs[b][k], found[b][k])
+            for b, batch in enumerate(together):
+                rows = []
+                for raw, n, r, ids in zip(utf8(batch[0]), sizes[b], runs[b], found[b]):
+                    r = _merged(r)
+                    rows.append({"n_words": n, "n_hit": sum(b - a for a, b in r),
+                                 "runs": [x for run in r for x in run], "items": sorted(ids),
+                                 "spans": _offsets(raw, raw.translate(_TABLE), r) if r else []})
+                yield pa.array(rows, kind)
 
     return hits
 
@@ -144,9 +193,11 @@ def benchmark_hits(df: DataFrame, benchmark: DataFrame, text: str = "text", item
                              F.coalesce(F.col(item_text), F.lit("")).alias("t"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     groups = size // GROUP_BYTES + 1
+    if groups > 1:
+        items = items.distinct()
     runs, ids = F.lit(None).cast("array<int>"), F.lit(None).cast("array<string>")
     for g in range(groups):
-        part = items.where(F.pmod(F.xxhash64("t"), F.lit(groups)) == g) if groups > 1 else items
+        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g) if groups > 1 else items
         rows = [(r["i"], r["t"].encode().translate(_TABLE).split()) for r in part.collect()]
         udf = _hits_udf([x for x in rows if x[1]], window)
         df = df.withColumn(out, udf(F.col(text), runs, ids))

@@ -6,6 +6,7 @@ import re
 import textwrap
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,43 @@ def test_decontaminate_in_blocks_is_the_same(spark, monkeypatch):
     assert decontaminate.benchmark_hits(docs, bench, window=3).orderBy("doc_id").collect() == whole
 
 
+def test_decontaminate_builds_once_a_worker(monkeypatch):
+    built = []
+
+    class Counted(decontaminate.Automaton):
+        def __init__(self, items, window):
+            built.append(len(items))
+            super().__init__(items, window)
+
+    rng = random.Random(5)
+    items = [(str(i), [b"%d" % rng.randrange(50) for _ in range(30)]) for i in range(40)]
+    texts = [pa.array([" ".join(str(rng.randrange(50)) for _ in range(200)) for _ in range(20)]) for _ in range(30)]
+    batches = [(t, pa.nulls(20, pa.list_(pa.int32())), pa.nulls(20, pa.list_(pa.string()))) for t in texts]
+    monkeypatch.setattr(decontaminate, "Automaton", Counted)
+    decontaminate._held.clear()
+    udf = decontaminate._hits_udf(items, 2)
+    whole = [list(udf.func(iter(batches))) for _ in range(3)][0]  # three tasks of one process
+    assert built == [40]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1000)
+    del built[:]
+    parts = list(decontaminate._hits_udf(items, 2).func(iter(batches)))
+    assert 1 < len(built) < 10 and [p.to_pylist() for p in parts] == [w.to_pylist() for w in whole]
+    decontaminate._held.clear()
+
+
+def test_decontaminate_pieces_hold_every_window():
+    rng = random.Random(6)
+    for n in range(40):
+        words = [b"x" * rng.randrange(1, 9) for _ in range(n)]
+        words = [w + b"%d" % i for i, w in enumerate(words)]
+        for window, size in ((1, 1), (3, 1), (3, 40), (10, 60), (50, 7)):
+            def windows(seq):
+                k = min(window, len(seq))
+                return {tuple(seq[i:i + k]) for i in range(len(seq) - k + 1)} if seq else set()
+            pieces = list(decontaminate._pieces(words, window, size))
+            assert set().union(*map(windows, pieces)) == windows(words) if words else not pieces
+
+
 # ------------------------------------------------------------------ 3
 
 def test_substrings_brute(spark):
