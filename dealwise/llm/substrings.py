@@ -14,10 +14,12 @@ blocks are shuffled once and read three times.
    and they are summed by (phrase, fingerprint): 128 bits confirm the recurring
    passages.  A window with any number of copies in a block is one row there, so a
    hot passage costs a row for each block and not for each copy.
-3. The confirmed phrases of a block are compiled into its Aho-Corasick automaton
-   (a shard of the automata: each holds what can occur in its block).  All texts of
-   the block are streamed through it; around each located phrase the windows that
-   hold it are checked against the confirmed ones, and covered words go.
+3. The words of confirmed phrases come with their confirmation to each block that
+   reported them, and are compiled into its Aho-Corasick automaton (a shard of the
+   automata: each holds what can occur in its block).  All texts of the block are
+   streamed through it, and only the automaton says where phrases are: around each
+   located phrase the windows that hold it are checked against the confirmed ones,
+   and covered words go.
 
 Null and empty texts have no words.  Rows that repeat are texts of their own, so
 all their windows recur.  Other columns are ignored.
@@ -108,68 +110,76 @@ class Block:
         keys, n = np.unique(self.grams[most == self.grams], return_counts=True)
         return keys, np.minimum(n, 2)
 
-    def windows(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (phrase, fingerprint) with a phrase in sorted ``keys``: phrase, fingerprint,
-        count (two stands for more) and number within the phrase, in sorted order."""
-        at = np.flatnonzero(self.valid & _found(self.keys, keys))
+    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (phrase, fingerprint) of the windows that start at ``at``: phrase, fingerprint,
+        count (two stands for more), number within the phrase and one start, in sorted order."""
         key, mark = self.keys[at], self.prints[at]
         order = np.lexsort((mark, key))
-        key, mark = key[order], mark[order]
+        at, key, mark = at[order], key[order], mark[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])
         first = np.flatnonzero(new)
         count = np.minimum(np.diff(np.append(first, len(key))), 2)
-        key, mark = key[first], mark[first]
+        at, key, mark = at[first], key[first], mark[first]
         head = np.ones(len(key), bool)
         head[1:] = key[1:] != key[:-1]
         heads = np.flatnonzero(head)
         number = np.arange(len(key)) - np.repeat(heads, np.diff(np.append(heads, len(key))))
-        return key, mark, count, number
+        return key, mark, count, number, at
 
-    def covered(self, keys: np.ndarray, parts: np.ndarray, masks: np.ndarray) -> np.ndarray:
-        """For each word of the block whether a confirmed window covers it."""
+    def spelled(self, starts: np.ndarray) -> list[bytes]:
+        """The phrase of each window that starts at ``starts``, its words joined by a space."""
+        out = []
+        for start in starts.tolist():
+            span = self.grams[start:start + self.window - self.phrase + 1]
+            at = start + int(span.argmin())
+            out.append(b" ".join(self.words[at:at + self.phrase]))
+        return out
+
+    def covered(self, phrases: list[bytes], keys: np.ndarray, parts: np.ndarray, masks: np.ndarray) -> np.ndarray:
+        """For each word of the block whether a confirmed window covers it.
+
+        ``phrases`` are the spelled phrases of ``keys``; ``masks`` confirm their windows."""
         edge = np.zeros(len(self.words) + 1, np.int64)
-        if len(keys) and len(self.prints):
-            key, mark, _, number = self.windows(np.unique(keys))
+        near = self._around(dict(zip(phrases, keys.tolist()))) if len(keys) and len(self.prints) else ()
+        if len(near):
+            key, mark, _, number, _ = self.windows(near)
             have = {(k, p): m for k, p, m in zip(keys.tolist(), parts.tolist(), masks.tolist())}
             bits = np.fromiter((have.get(kp, 0) for kp in zip(key.tolist(), (number // BITS).tolist())), np.int64, len(key))
             good = (bits >> (number % BITS)) & 1 == 1
-            key, mark = key[good], mark[good]
-            starts = self._locate(np.unique(key), np.sort(mark))
+            starts = near[_found(self.prints[near], np.sort(mark[good]))]
             edge[starts] += 1
             edge[starts + self.window] -= 1
         return np.cumsum(edge)[:-1] > 0
 
-    def _locate(self, keys: np.ndarray, marks: np.ndarray) -> np.ndarray:
-        """Starts of confirmed windows: the automaton finds the phrases, the fingerprints
-        of the windows around them decide."""
-        at = np.flatnonzero(_found(self.grams, keys))
-        _, first = np.unique(self.grams[at], return_index=True)
+    def _around(self, phrases: dict[bytes, int]) -> np.ndarray:
+        """Starts of the windows whose phrase is one of ``phrases``: the automaton over
+        them finds each occurrence, and the windows that hold it follow."""
         symbols: dict[bytes, str] = {}
         machine = ahocorasick.Automaton()
-        for p in at[first].tolist():
-            phrase = self.words[p:p + self.phrase]
-            for w in phrase:
+        for phrase, key in phrases.items():
+            words = phrase.split(b" ")
+            for w in words:
                 if w not in symbols:
                     n = len(symbols) + 1
                     symbols[w] = chr(n if n < 0xD800 else n + 0x800)  # no surrogates
-            machine.add_word("".join([symbols[w] for w in phrase]), self.phrase)
-        if not len(machine):
-            return np.zeros(0, np.int64)
+            machine.add_word("".join([symbols[w] for w in words]), key)
         machine.make_automaton()
         get = symbols.get
         places: list[int] = []
+        found: list[int] = []
+        last = self.phrase - 1
         for start, text in zip(self.starts.tolist(), self.texts):
             if len(text) >= self.window:
-                line = "".join([get(w, "\0") for w in text])
-                places += [start + end + 1 - size for end, size in machine.iter(line)]
-        where = np.array(places, np.int64)
-        around = where[:, None] - np.arange(self.window - self.phrase + 1)
-        phrase = np.broadcast_to(self.grams[where][:, None], around.shape)
-        inside = (around >= 0) & (around < len(self.prints))
-        around, phrase = around[inside], phrase[inside]
-        good = self.valid[around] & (self.keys[around] == phrase) & _found(self.prints[around], marks)
-        return np.unique(around[good])
+                for end, key in machine.iter("".join([get(w, "\0") for w in text])):
+                    places.append(start + end - last)
+                    found.append(key)
+        where, key = np.array(places, np.int64), np.array(found, np.uint64)
+        near = where[:, None] - np.arange(self.window - self.phrase + 1)
+        key = np.broadcast_to(key[:, None], near.shape)
+        inside = (near >= 0) & (near < len(self.prints))
+        near, key = near[inside], key[inside]
+        return np.unique(near[self.valid[near] & (self.keys[near] == key)])
 
 
 def _found(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -205,27 +215,32 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
 
     def report_windows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"key": [], "block": [], "part": [], "marks": [], "ns": []}, windows_schema)
+            return windows_schema.empty_table()
         found = Block(utf8(left.column("text").combine_chunks()), window, phrase)
-        key, mark, count, number = found.windows(np.sort(_unsigned(right.column("key"))))
+        at = np.flatnonzero(found.valid & _found(found.keys, np.sort(_unsigned(right.column("key")))))
+        key, mark, count, number, start = found.windows(at)
         first = np.flatnonzero(number % BITS == 0)
         offsets = pa.array(np.append(first, len(key)).astype(np.int32))
         return pa.table([
             pa.array(key[first].view(np.int64)),
             pa.array(np.full(len(first), left.column("block")[0].as_py(), np.int64)),
             pa.array((number[first] // BITS).astype(np.int32)),
+            pa.array(found.spelled(start[first]), pa.binary()),
             pa.ListArray.from_arrays(offsets, pa.array(mark.view(np.int64))),
             pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int8)))], schema=windows_schema)
 
-    windows_schema = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("part", pa.int32()),
+    windows_schema = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("phrase", pa.binary()),
                                 ("marks", pa.list_(pa.int64())), ("ns", pa.list_(pa.int8()))])
     windows = (docs.groupBy("block").cogroup(often.groupBy("block"))
-               .applyInArrow(report_windows, "key long, block long, part int, marks array<long>, ns array<tinyint>"))
+               .applyInArrow(report_windows, "key long, block long, part int, phrase binary, marks array<long>, ns array<tinyint>"))
     # all windows of a phrase are in one partition, so the sums need no further exchange
-    single = windows.repartition("key").select("key", "block", "part", F.posexplode(F.arrays_zip("marks", "ns")).alias("i", "w"))
-    sums = single.select("key", "block", "part", "i", F.sum("w.ns").over(W.partitionBy("key", "w.marks")).alias("n"))
-    confirmed = (sums.where("n > 1").groupBy("key", "block", "part")
-                 .agg(F.expr("bit_or(shiftleft(1L, i))").alias("mask")))
+    single = (windows.repartition("key")
+              .select("key", "block", "part", "phrase", F.posexplode(F.arrays_zip("marks", "ns")).alias("i", "w"))
+              .withColumn("phrase", F.when(F.col("i") == 0, F.col("phrase"))))  # once a row of windows, not in each sort row
+    sums = single.withColumn("n", F.sum("w.ns").over(W.partitionBy("key", "w.marks")))
+    confirmed = (sums.groupBy("key", "block", "part")
+                 .agg(F.expr("bit_or(if(n > 1, shiftleft(1L, i), 0L))").alias("mask"), F.max("phrase").alias("phrase"))
+                 .where("mask <> 0"))
 
     out_type = T.StructType([
         T.StructField("id", df.schema[doc_id].dataType), T.StructField("n_words", T.LongType()),
@@ -235,7 +250,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         found = Block(utf8(left.column("text").combine_chunks()), window, phrase)
-        gone = found.covered(_unsigned(right.column("key")), right.column("part").to_numpy(),
+        gone = found.covered(right.column("phrase").to_pylist(), _unsigned(right.column("key")), right.column("part").to_numpy(),
                              right.column("mask").to_numpy().astype(np.int64))
         kept, n_removed, ranges = [], [], []
         for words, a, b in zip(found.texts, found.starts[:-1].tolist(), found.starts[1:].tolist()):

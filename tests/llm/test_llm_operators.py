@@ -158,6 +158,37 @@ def test_substrings_brute(spark):
     assert all(r["n_removed"] == sum(x["end"] - x["start"] for x in r["removed"]) for r in rows)
 
 
+def test_substrings_hot_phrase_brute(spark, monkeypatch):
+    """A phrase with more windows than one mask confirms, in several blocks."""
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 2000)
+    rng = random.Random(8)
+    texts = [words_text(rng, 150, 12) for _ in range(12)]
+    size, seen = 3, {}
+    split = [t.split() for t in texts]
+    for d, ws in enumerate(split):
+        for i in range(len(ws) - size + 1):
+            seen.setdefault(tuple(ws[i:i + size]), []).append((d, i))
+    gone = {(d, i + k) for at in seen.values() if len(at) > 1 for d, i in at for k in range(size)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept"] for r in substrings.remove_repeats(docs, window=size, phrase=1).collect()}
+    assert got == {d: " ".join(w for i, w in enumerate(ws) if (d, i) not in gone) for d, ws in enumerate(split)}
+    assert len(seen) > 12 * substrings.BITS  # of twelve phrases one has more
+
+
+def test_substrings_are_located_by_the_automaton():
+    block = substrings.Block([b"a b c d e f g x a b c d e f g", b"h i j k l m n"], 5, 2)
+    key, _, _, number, start = block.windows(np.flatnonzero(block.valid))
+    spelled = block.spelled(start)
+    masks = np.full(len(key), (1 << substrings.BITS) - 1, np.int64)
+    parts = number // substrings.BITS
+    assert block.covered(spelled, key, parts, masks).all()
+    # a phrase that the automaton does not hold hides its windows, whatever is confirmed
+    without = [b"no phrase" for _ in spelled]
+    assert not block.covered(without, key, parts, masks).any()
+    one = block.covered(spelled[:1], key[:1], parts[:1], masks[:1])
+    assert one.any() and not one.all()
+
+
 def test_substrings_edges(edge, empty):
     rows = {r["doc_id"]: r for r in substrings.remove_repeats(edge).collect()}
     assert rows[2]["n_words"] == 0 and rows[2]["kept"] == "" and rows[7]["n_removed"] == 0
