@@ -1,6 +1,7 @@
 """Toxicity scores after noisy-channel deobfuscation.
 
-Obfuscated spans (leetspeak, letters set apart, letters repeated) become lattices:
+Obfuscated spans (leetspeak, letters set apart, letters repeated, letters of other scripts
+that look like Latin ones, invisible characters inside words) become lattices:
 each seen character offers the letters it may stand for, or nothing, at a channel
 cost.  Viterbi finds the best path under a character trigram model, whose counts
 come from all texts.  Tokens of any length are decoded, also those of digits and symbols
@@ -51,6 +52,12 @@ MOST = 3
 LEET = {"4": "a", "@": "a", "8": "b", "(": "c", "3": "e", "€": "e", "6": "g", "9": "g", "#": "h", "1": "il",
         "!": "il", "|": "il", "0": "o", "5": "s", "$": "s", "7": "t", "+": "t", "2": "z"}
 SEPARATORS = ".-_* /"
+# Cyrillic and Greek lower-case letters that look like a Latin one.
+LOOKALIKES = {"а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "о": "o",
+              "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o",
+              "ρ": "p", "τ": "t", "υ": "u"}
+# Soft hyphen, zero-width space, non-joiner and joiner, word joiner, byte order mark.
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 #: Channel costs in nats.
 SWAP, DROP_REPEAT, DROP_SEPARATOR, KEEP_SEPARATOR = 0.5, 0.3, 0.1, 2.5
 
@@ -67,6 +74,8 @@ _DOTTED = re.compile(r"\w(?:[.\-_*/]\w){2,}")
 _LEETISH = re.compile("[" + re.escape("".join(LEET)) + "]")
 _SYMBOLS_ONLY = re.compile("[" + re.escape("".join(LEET) + SEPARATORS) + "]+")
 _LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[a-z]")
+_HIDDEN = re.compile("[" + "".join(LOOKALIKES) + INVISIBLE + "]")
 
 
 def _symbol(c: str) -> int:
@@ -109,11 +118,15 @@ class CharModel:
             options: list[tuple[str, float]] = []
             if c.isalpha():
                 options.append((c, 0.0))
+                if c in LOOKALIKES:
+                    options.append((LOOKALIKES[c], SWAP))
                 if long_run:
                     options.append(("", DROP_REPEAT))
             else:
                 options += [(x, SWAP) for x in LEET.get(c, "")]
-                if c in SEPARATORS:
+                if c in INVISIBLE:
+                    options.append(("", 0.0))
+                elif c in SEPARATORS:
                     options += [("", DROP_SEPARATOR), (" ", KEEP_SEPARATOR)]
                 elif c not in LEET:
                     options.append((" ", 0.0))
@@ -166,12 +179,18 @@ def obfuscated(token: str) -> str | None:
         return None
     core = _LONG_RUN.sub(r"\1\1\1", core)  # else a long run outweighs the rest of its word
     if core.isalpha():
-        return core if _REPEAT.search(core) else None
-    if _LETTER.search(core) and (_LEETISH.search(core) or _REPEAT.search(core) or _DOTTED.fullmatch(core)):
+        return core if _REPEAT.search(core) or _disguised(core) else None
+    if _LETTER.search(core) and (_LEETISH.search(core) or _REPEAT.search(core) or _DOTTED.fullmatch(core) or _disguised(core)):
         return core
     return None
 
 
+def _disguised(core: str) -> bool:
+    """Whether Latin letters stand beside look-alikes of other scripts or invisible characters;
+    words wholly of another script are none."""
+    return not core.isascii() and _HIDDEN.search(core) is not None and _LATIN.search(core) is not None
+
+
 def words_of(token: str, model: CharModel) -> list[str]:
     """Plain words of a lower-case token after restoring; an obfuscated token also keeps its plain reading."""
     plain = re.findall(r"[^\W\d_]+", token)

@@ -1,6 +1,8 @@
 """Operators against brute force, round trips and edge cases."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import textwrap
@@ -570,11 +572,79 @@ def test_toxicity_decodes_long_symbol_only_and_short_spaced_words(spark):
     assert [t for k, t in enumerate(odd + plain) if (got[1000 + k] >= 0.7) != (t in odd)] == []
 
 
+def channel(seen):
+    """What each seen character may stand for, with its cost."""
+    out = []
+    for i, c in enumerate(seen):
+        before = len(seen[:i + 1]) - len(seen[:i + 1].rstrip(c))
+        repeated = before > 2 or (before == 2 and seen[i + 1:i + 2] == c)
+        if c.isalpha():
+            own = [(c, 0.0)] + [(x, toxicity.SWAP) for x in toxicity.LOOKALIKES.get(c, "")]
+            own += [("", toxicity.DROP_REPEAT)] if repeated else []
+        else:
+            own = [(x, toxicity.SWAP) for x in toxicity.LEET.get(c, "")]
+            if c in toxicity.INVISIBLE:
+                own += [("", 0.0)]
+            elif c in toxicity.SEPARATORS:
+                own += [("", toxicity.DROP_SEPARATOR), (" ", toxicity.KEEP_SEPARATOR)]
+            elif not own:
+                own = [(" ", 0.0)]
+        out.append(own)
+    return out
+
+
+def reading_cost(model, text):
+    syms = [0, 0, *map(toxicity._symbol, text), 0]
+    return sum(model.cost[(a * 28 + b) * 28 + c] for a, b, c in zip(syms, syms[1:], syms[2:]))
+
+
+def test_toxicity_viterbi_against_every_path():
+    """Every path of small lattices is walked; the decoder's reading costs no more than the best."""
+    rng = random.Random(12)
+    several = 0
+    for case in range(150):
+        model = toxicity.CharModel(np.random.default_rng(case).integers(0, 50, toxicity.SYMBOLS ** 3))
+        seen = "".join(rng.choice("aab1!@$.-* ιо\u200b?é") * rng.choice((1, 1, 1, 3)) for _ in range(rng.randrange(1, 6)))
+        best = {}
+        for path in itertools.product(*channel(seen)):
+            text = "".join(x for x, _ in path)
+            best[text] = min(best.get(text, math.inf), sum(c for _, c in path) + reading_cost(model, text))
+        several += len(best) > 8
+        assert best[model.restore(seen)] == pytest.approx(min(best.values()), abs=1e-9), seen
+    assert several > 40
+
+
 def test_toxicity_long_tokens_read_like_their_whole_lattice():
-    model = toxicity.CharModel(np.random.default_rng(3).integers(0, 50, toxicity.SYMBOLS ** 3))
-    for n in (5, 64, 65, 300):
-        assert model.restore("ab" * n) == "ab" * n
-        assert len(model.restore("a.1" * n)) >= 2 * n
+    rng = random.Random(13)
+    for case in range(20):
+        model = toxicity.CharModel(np.random.default_rng(case).integers(0, 50, toxicity.SYMBOLS ** 3))
+        seen = "".join(rng.choice("ab1!@.-ι?") * rng.choice((1, 1, 3)) for _ in range(rng.choice((40, 64, 65, 300))))
+        # all texts of the lattice kept whole, nothing settled on the way
+        states = {(0, 0): (0.0, "")}
+        for own in channel(seen):
+            new = {}
+            for (a, b), (cost, text) in states.items():
+                for x, extra in own:
+                    s = toxicity._symbol(x) if x else None
+                    key = (b, s) if x else (a, b)
+                    total = cost + extra + (model.cost[(a * 28 + b) * 28 + s] if x else 0.0)
+                    if key not in new or total < new[key][0]:
+                        new[key] = (total, text + x)
+            states = new
+        best = min((cost + model.cost[(a * 28 + b) * 28], text) for (a, b), (cost, text) in states.items())
+        assert model.restore(seen) == best[1]
+
+
+def test_toxicity_reads_lookalikes_and_invisible_characters(spark):
+    rng = random.Random(14)
+    prose = [" ".join(rng.choice(["rato", "milen", "dorsa", "neka", "tora", "wreath", "pitch"]) for _ in range(30)) for _ in range(400)]
+    rows = [(i, t + (" wretch" if i % 4 < 2 else "")) for i, t in enumerate(prose)]
+    odd = ["wrеtch", "wre\u200btch", "w\u00adr\u200de\u2060tch", "WRΕTCH", "wretсh,"]
+    plain = ["теска", "μετρο", "na\u200cmeh", "\U0001F468\u200d\U0001F467"]
+    docs = spark.createDataFrame(rows + [(1000 + k, prose[0] + " " + t) for k, t in enumerate(odd + plain)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(400)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["toxicity"]["score"] for r in toxicity.toxicity(docs, labels).where("doc_id >= 1000").collect()}
+    assert [t for k, t in enumerate(odd + plain) if (got[1000 + k] >= 0.7) != (t in odd)] == []
 
 
 def test_toxicity_held_out(spark):
