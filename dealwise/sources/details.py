@@ -3,8 +3,8 @@
 The reference fetched each pending deal's change log from a thread pool.
 Here the keys are a DataFrame, hash-partitioned over ``partitions`` tasks;
 each task walks the pagination of its keys with a user fetcher inside
-``mapInArrow``.  Every page leaves the task as one Arrow batch, so a task holds one
-page, and a key whose number of items is known is walked in ranges of pages, each a row
+``mapInArrow``.  Pages leave the task in Arrow batches of about BATCH_CHARS, so a task holds
+no more than that and one page, and a key whose number of items is known is walked in ranges of pages, each a row
 of its own: a key with very many items is spread like many keys.  Python only does the
 I/O and the pagination walk; the page bodies are parsed by Spark afterwards
 (``from_json`` to ``ARRAY<VARIANT>``), so per-item work stays in the JVM.  A lost executor
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from dealwise.sources.paged import PAGES_PER_TASK, page_data
 from dealwise.sources.pages import DEFAULT_LIMIT
 
+#: Text of an Arrow batch of pages: small pages leave together, a larger one leaves by itself.
+BATCH_CHARS, MAX_BATCH_PAGES = 1 << 20, 10_000
 PAGES_SCHEMA = "deal_id long, page long, body string"
 ARROW = pa.schema([("deal_id", pa.int64()), ("page", pa.int64()), ("body", pa.string())])
 
@@ -64,12 +66,26 @@ def fetch_details(keys: DataFrame, key_col: str, fetcher_factory: Callable[[], C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fetch = fetcher_factory()
-        for batch in batches:
-            for key, start, end in zip(*(batch.column(c).to_pylist() for c in ("key", "start", "end"))):
-                for row in walk_details(fetch, key, start, end, page_size):
-                    yield pa.RecordBatch.from_pylist([dict(zip(ARROW.names, row))], schema=ARROW)
-
-    return ranges.repartition(partitions, "key", "start").mapInArrow(run, PAGES_SCHEMA)
+        rows = (row for batch in batches
+                for key, start, end in zip(*(batch.column(c).to_pylist() for c in ("key", "start", "end")))
+                for row in walk_details(fetch, key, start, end, page_size))
+        yield from page_batches(rows)
+
+    # a task walks its keys in order, so that a fetcher may keep what neighbours share
+    return ranges.repartition(partitions, "key", "start").sortWithinPartitions("key", "start").mapInArrow(run, PAGES_SCHEMA)
+
+
+def page_batches(rows: Iterator[tuple[int, int, str]], size: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Pages as Arrow batches; a batch ends with the page that brings its text to ``size``."""
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row[2])
+        if chars >= size or len(held) >= MAX_BATCH_PAGES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), ARROW.types)], schema=ARROW)
+            held, chars = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), ARROW.types)], schema=ARROW)
 
 
 def detail_items(pages: DataFrame) -> DataFrame:

@@ -7,8 +7,11 @@ holds one page.  File systems are opened by pyarrow from the folder's URI.
 from __future__ import annotations
 
 import json
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
+from itertools import accumulate
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
@@ -69,36 +72,68 @@ def write_details(pages: DataFrame, root: str, buckets: int = DETAIL_BUCKETS) ->
 
 def details(root: str, page_size: int = DEFAULT_LIMIT, buckets: int = DETAIL_BUCKETS) -> Callable[[int, int], dict]:
     """The fetcher ``(key, start) -> page`` over pages of :func:`write_details`: the key's
-    n-th saved page for ``start // page_size``.  Only file footers are kept open."""
-    opened: dict[int, list] = {}
+    n-th saved page for ``start // page_size``.
 
-    def groups(b: int) -> list:
+    A key's row groups are found by bisection of their ranges.  Kept are the files' footers,
+    the last row group read of each bucket, and where the last key's pages are, so a walk
+    in the order of the keys reads a row group once.
+    """
+    opened: dict[int, tuple] = {}
+    held: dict[int, tuple] = {}
+    last: list = [None, None]
+
+    def groups(b: int) -> tuple[list, list, list]:
         if b not in opened:
             fs, path = _place(f"{root}/bucket={b}")
-            opened[b] = []
+            found = []
             for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
                 if f.base_name.endswith(".parquet"):
                     file = pq.ParquetFile(fs.open_input_file(f.path))
                     at = file.schema_arrow.get_field_index("deal_id")
                     for g in range(file.num_row_groups):
-                        stats = file.metadata.row_group(g).column(at).statistics
-                        opened[b].append((stats.min, stats.max, file, g))
+                        meta = file.metadata.row_group(g)
+                        stats = meta.column(at).statistics
+                        found.append((stats.min, stats.max, file, g, meta.num_rows))
+            found.sort(key=lambda x: x[:2])
+            # lower ends ascend; so do the greatest upper ends so far
+            opened[b] = found, [x[0] for x in found], list(accumulate((x[1] for x in found), max))
         return opened[b]
 
+    def rows(b: int, i: int) -> tuple[dict, pa.ChunkedArray]:
+        """Row group ``i`` of a bucket: the places of its keys, and its bodies."""
+        if b not in held or held[b][0] != i:
+            _, _, file, g, _ = groups(b)[0][i]
+            table = file.read_row_group(g, columns=["deal_id", "body"])
+            at: dict[int, list] = {}
+            for place, k in enumerate(table.column("deal_id").to_pylist()):
+                at.setdefault(k, []).append(place)
+            held[b] = i, at, table.column("body")
+        return held[b][1:]
+
+    def spans(b: int, key: int) -> tuple[list, list, int]:
+        """The row groups that hold the key, the number of its pages before each, and in all."""
+        if last[0] != key:
+            found, lows, highs = groups(b)
+            at, before, n = [], [], 0
+            for i in range(bisect_left(highs, key), bisect_right(lows, key)):
+                low, high, _, _, size = found[i]
+                here = size if low == high == key else len(rows(b, i)[0].get(key, ())) if high >= key else 0
+                if here:
+                    at.append(i)
+                    before.append(n)
+                    n += here
+            last[:] = key, (at, before, n)
+        return last[1]
+
     def fetch_detail(key: int, start: int) -> dict:
-        n, found, more = start // page_size, None, False
-        seen = 0
-        for low, high, file, g in groups(key % buckets):
-            if low <= key <= high:
-                rows = file.read_row_group(g, columns=["deal_id"]).column("deal_id").to_pylist()
-                at = [i for i, k in enumerate(rows) if k == key]
-                if found is None and seen <= n < seen + len(at):
-                    found = file.read_row_group(g, columns=["body"]).column("body")[at[n - seen]].as_py()
-                seen += len(at)
-        more = seen > n + 1
-        if found is None:
+        b, n = key % buckets, start // page_size
+        at, before, total = spans(b, key)
+        if not 0 <= n < total:
             return EMPTY
+        s = bisect_right(before, n) - 1
+        places, bodies = rows(b, at[s])
+        found = bodies[places[key][n - before[s]]].as_py()
         return {"data": json.loads(found), "additional_data": {"pagination": {
-            "start": start, "limit": page_size, "more_items_in_collection": more, "next_start": start + page_size}}}
+            "start": start, "limit": page_size, "more_items_in_collection": total > n + 1, "next_start": start + page_size}}}
 
     return fetch_detail

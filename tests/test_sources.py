@@ -160,3 +160,24 @@ def test_details_fetch_one_page_at_a_time_and_split_hot_keys(spark):
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, items.collect()))
     hot = got.where("deal_id = 1").select(F.spark_partition_id().alias("p")).distinct().count()
     assert hot > 1  # one deal's pages come from several tasks
+
+
+def test_details_read_a_row_group_once_and_small_pages_leave_together(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="dw-details-")
+    items = spark.range(60_000).select((F.col("id") % 600).alias("deal_id"), F.floor(F.col("id") / 600).alias("page"),
+                                       F.array(F.concat(F.lit('"'), F.repeat(F.lit("x"), 80), F.col("id"), F.lit('"'))).alias("items"))
+    saved_pages.write_details(items, root, buckets=2)
+    reads = []
+
+    class Counted(saved_pages.pq.ParquetFile):
+        def read_row_group(self, g, **kwargs):
+            reads.append(g)
+            return super().read_row_group(g, **kwargs)
+
+    monkeypatch.setattr(saved_pages.pq, "ParquetFile", Counted)
+    fetch = saved_pages.details(root, 10, 2)
+    rows = [row for key in range(600) for row in D.walk_details(fetch, key, page_size=10)]
+    assert len(rows) == 60_000 and len({(k, p) for k, p, _ in rows}) == 60_000
+    # a group that two keys share is read again at most once a key; far from once a page
+    assert len(reads) < 3_000
+    assert [b.num_rows for b in D.page_batches(iter([(1, 0, "abc"), (1, 1, "d"), (2, 0, "e")]), 4)] == [2, 1]
