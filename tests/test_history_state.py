@@ -209,3 +209,15 @@ def test_change_log_is_decoded_once(spark):
     pages = pages_of(spark, {1: [{"timestamp": "2024-01-01", "field_key": "stage_id", "new_value": 4}]})
     plan = change_summary(change_items(pages))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate") == 1 and plan.count("parse_json") <= 1
+
+
+def test_sync_transform_is_compiled_at_any_width(spark):
+    """A generator over a hundred columns is evaluated expression by expression; projections are compiled."""
+    from dealwise.entities import ACTIVITIES
+    from dealwise.plans.sync import transform
+    records = spark.sql("""SELECT 0L AS page, 0 AS ordinal, parse_json('{"id": 1, "dealId": "2", "dueDate": "x"}') AS record""")
+    rows = transform(records, ACTIVITIES)
+    assert "Generate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    row = rows.first()
+    assert (row["id"], row["deal_id"], row["due_date"], row["done"], row["active_flag"]) == (1, 2, None, False, True)
+    assert json.loads(row["__invalid"])["errors"] == ["due_date:date"]
