@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealwise.session import stored
+
 
 def pending_keys(items: DataFrame, done: DataFrame, key: str, done_key: str) -> DataFrame:
     """Rows of ``items`` whose key is not yet in ``done``.
@@ -24,12 +26,37 @@ def newest_first(df: DataFrame, budget: int, order: Sequence[Column], tiebreak:
 
     The budget is the feature (work per run); Spark plans it as a
     ``TakeOrderedAndProject``: each task keeps its local top ``budget`` and
-    only those reach the final merge.
+    only those reach the final merge.  One task merges them: for a budget that grows with
+    the table see :func:`newest_stored`.
     """
     sort = [o.desc_nulls_last() for o in order] + [F.col(t).desc() for t in tiebreak]
     return df.orderBy(*sort).limit(budget)
 
 
+#: Budget up to which one task may merge the rows taken.
+ONE_TASK = 100_000
+
+
+def newest_stored(df: DataFrame, budget: int, order: Sequence[Column], tiebreak: Sequence[str], name: str,
+                  one_task: int = ONE_TASK) -> DataFrame:
+    """The rows of :func:`newest_first`, stored; a large budget goes through no single task.
+
+    The rows are range-partitioned by the order and stored with their range, so the ranges
+    before the one that the budget ends in are taken whole, and only that one is sorted and cut.
+    """
+    if budget <= one_task:
+        return stored(newest_first(df, budget, order, tiebreak), name)
+    sort = [o.desc_nulls_last() for o in order] + [F.col(t).desc() for t in tiebreak]
+    ranked = stored(df.repartitionByRange(*sort).withColumn("__range", F.spark_partition_id()), name)
+    left, whole = budget, -1
+    for r in sorted(ranked.groupBy("__range").count().collect()):  # a row per range
+        if r["count"] > left:
+            cut = ranked.where(F.col("__range") == r["__range"]).orderBy(*sort).limit(left)
+            return stored(ranked.where(F.col("__range") <= whole).unionByName(cut).drop("__range"), name)
+        left, whole = left - r["count"], r["__range"]
+    return ranked.drop("__range")
+
+
 #: Consecutive numbers that one task sums up.
 BLOCK = 4096
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dealwise.operators import history as H
-from dealwise.operators.pending import newest_first, pending_keys
+from dealwise.operators.pending import ONE_TASK, newest_first, newest_stored, pending_keys
 from dealwise.operators.segments import read_table_at, table_exists, upsert_table
 from dealwise.session import stored
 from dealwise.streaming.state import get_sync_state, save_sync_state
@@ -58,13 +58,15 @@ def history_flow(spark: SparkSession, deals: DataFrame, pages: DataFrame | Calla
     done = f"{root}/{HISTORY_DONE}"
     left = pending_keys(deals, read_table_at(spark, done), "id", "deal_id") if table_exists(spark, done) else deals
     by = F.coalesce(*[F.col(c) for c in order if c in deals.columns])
-    batch = stored(newest_first(left, budget, [by], ["id"]).select("id", "stage_id", "add_time"), "history-deals")
+    batch = newest_stored(left.select("id", "stage_id", "add_time", by.alias("__by")), budget, [F.col("__by")], ["id"],
+                          "history-deals").drop("__by")
     n_deals = batch.count()
     if not n_deals:
         return None
     keys = batch.select(F.col("id").alias("deal_id"))
-    # the LIMIT of the batch proves its size
-    found = pages(keys) if callable(pages) else pages.join(F.broadcast(keys.limit(budget)), "deal_id", "left_semi")
+    # a small LIMIT proves the batch's size; a budget that grows with the table is left to Catalyst
+    few = F.broadcast(keys.limit(budget)) if budget <= ONE_TASK else keys
+    found = pages(keys) if callable(pages) else pages.join(few, "deal_id", "left_semi")
     summary = stored(H.change_summary(H.change_items(found)), "history-changes")
     changes = summary.where(F.col(H.STAGE_KEY).isNotNull()).select("deal_id", H.STAGE_KEY, "change_time", "user_id")
     rows = changes.unionByName(H.stage_sentinels(batch, changes, run_ts))

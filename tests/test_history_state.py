@@ -221,3 +221,13 @@ def test_sync_transform_is_compiled_at_any_width(spark):
     row = rows.first()
     assert (row["id"], row["deal_id"], row["due_date"], row["done"], row["active_flag"]) == (1, 2, None, False, True)
     assert json.loads(row["__invalid"])["errors"] == ["due_date:date"]
+
+
+def test_a_large_budget_is_cut_by_ranges(spark):
+    """Same rows as one global sort, also over ties, NULL times and a budget beyond the table."""
+    from dealwise.operators.pending import newest_first, newest_stored
+    df = spark.range(5000).select("id", F.when(F.col("id") % 11 != 0, F.col("id") % 300).alias("t"))
+    for budget in (1, 700, 2500, 4999, 5000, 9000):
+        want = newest_first(df, budget, [F.col("t")], ["id"]).collect()
+        got = newest_stored(df, budget, [F.col("t")], ["id"], "test-newest", one_task=0)
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want)
