@@ -231,3 +231,36 @@ def test_a_large_budget_is_cut_by_ranges(spark):
         want = newest_first(df, budget, [F.col("t")], ["id"]).collect()
         got = newest_stored(df, budget, [F.col("t")], ["id"], "test-newest", one_task=0)
         assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want)
+
+
+def test_a_records_keys_are_renamed_together(spark):
+    """Same names as key by key, also with odd keys; only keys that hold the separator go one by one."""
+    from dealwise.plans.sync import CAMEL, KEY_END, snake_keys
+    records = [{"id": 1, "dealId": 2, "Title": 3, "aID": 4, "x Y": 5, "": 6}, {"éTat": 1, "ΟΔΟΣ": 2, "_B": 3, "a\nB": 4}, {},
+               {"a" + KEY_END + "B": 1, "cD": 2}, {KEY_END: 1}, {"": 1}, {"Z": None}, [1], None]
+    df = spark.createDataFrame([(json.dumps(r),) for r in records], "j string").select(F.parse_json("j").alias("r"))
+    one = F.transform_keys(F.try_variant_get("r", "$", "map<string,variant>"), lambda k, _: F.lower(F.regexp_replace(k, CAMEL, "_")))
+    for r in df.select(F.to_json(snake_keys(F.col("r"))).alias("got"), F.to_json(one).alias("want")).collect():
+        assert r["got"] == r["want"]
+    plan = df.select(snake_keys(F.col("r")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_arrays" in plan
+
+
+def test_keys_beyond_the_rules_are_looked_for_only_where_there_are_some(spark):
+    """Custom and unknown keys are kept as before; a record of nothing but fields is told by counting."""
+    from dataclasses import replace
+    from dealwise.entities import ACTIVITIES
+    from dealwise.operators.validate import validate_stage
+    from dealwise.plans.sync import EXTRAS, transform
+    from dealwise.spec import FieldMeta
+    bodies = ['{"id": 1, "dealId": 2, "subject": null}', '{"id": 2, "k1": "a", "other": 5}',
+              '{"id": 3, "customFields": {"k1": "b", "more": 1}}', '{"id": 4, "k1": "c", "custom_fields": {"k1": "d"}}', "[1]"]
+    df = spark.createDataFrame([(0, i, b) for i, b in enumerate(bodies)], "page long, ordinal int, j string")
+    records = df.select("page", "ordinal", F.parse_json("j").alias("record"))
+    rows = transform(records, replace(ACTIVITIES, custom_fields=(FieldMeta("k1", "Origem", "varchar"),)))
+    got = {r["ordinal"]: (r["id"], r["origem_text"], r[EXTRAS]) for r in rows.collect()}
+    assert got == {0: (1, None, None), 1: (2, "a", '{"other":5}'), 2: (3, "b", '{"more":1}'), 3: (4, "d", None), 4: (None, None, None)}
+    maps = records.select("ordinal", F.try_variant_get("record", "$", "map<string,variant>").alias("m"))
+    rules = [f for f in ACTIVITIES.fields if f.name == "id"]
+    staged = validate_stage(maps, "m", rules, keep=("ordinal",), filtered=False, more="more")
+    assert [r["more"] for r in staged.orderBy("ordinal").collect()] == [True, True, True, True, False]
