@@ -84,7 +84,8 @@ def q_micro_batch_upsert(spark: SparkSession, base: str) -> DataFrame:
 @register("paged_stream_backfill", ORDERS_SQL)
 def q_paged_stream_backfill(spark: SparkSession, base: str) -> DataFrame:
     """The offset page source as a stream: page ranges fetched by tasks, a
-    100,000-row budget per run, drained by AvailableNow runs on one checkpoint, upserted per batch."""
+    100,000-row budget per run, drained on one checkpoint by runs over what is available now
+    (the batches of one stream, see ``drain_paged_stream``), upserted per batch."""
     from dealwise.plans.q_sources import _landing
     from dealwise.sources.paged import register_sources
     from dealwise.streaming.backfill import drain_paged_stream

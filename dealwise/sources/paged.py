@@ -11,8 +11,8 @@ Every page is fetched by a task and leaves it as one Arrow batch, so a task hold
   such as key or time ranges that the API filters by) cuts a collection into as many.
 * The stream's offset is the number of records read, ``{"start": n}``.  The driver only
   looks for the end of the collection, by a search over page starts; a batch is the range
-  between two offsets and reads the same pages when it is run again, and the next run
-  starts at the end of the last one, whatever has come since.
+  between two offsets, of at most ``maxRowsPerBatch`` records, and reads the same pages when
+  it is run again, and the next batch starts at the end of the last one, whatever has come since.
 
 Semantics follow the source API: an empty page is not emitted and ends the walk; a missing
 ``next_start`` falls back to ``start + len(page)``.  An error payload, or a page whose
@@ -184,27 +184,31 @@ class CursorPagesReader(DataSourceReader):
 class OffsetPagesStream(DataSourceStreamReader):
     """Offset pagination as a stream; offset ``{"start": n}``, the records before it.
 
-    ``until`` is the end of this run's batch (see ``streaming.backfill.drain_paged_stream``,
-    which admits a budget of records per run); without it a batch takes what there is.
+    A batch takes at most ``maxRowsPerBatch`` records, without it what there is.  Spark asks
+    for the latest offset without naming the last one, so the reader counts from the end of
+    the batch that it planned last, and from ``start`` before the first: a stream that is
+    started again with a budget has to be told there where it was (see
+    ``streaming.backfill.drain_paged_stream``).
     """
 
     def __init__(self, options: dict):
         self.options = dict(options)
+        self.planned = self.initialOffset()["start"]
 
     def initialOffset(self):
         return {"start": int(_opt(self.options, "start", 0))}
 
-    def available(self, budget: int | None = None) -> int:
-        """Where the collection ends, at most ``budget`` records after the start."""
-        start = self.initialOffset()["start"]
-        return collection_end(_load(self.options), self.options.get("endpoint", ""), self.options, start,
-                              None if budget is None else start + budget)
+    def available(self) -> int:
+        """Where the next batch ends: at the collection's end, or where the budget is used up."""
+        budget = int(_opt(self.options, "maxRowsPerBatch", 0))
+        return collection_end(_load(self.options), self.options.get("endpoint", ""), self.options, self.planned,
+                              self.planned + budget if budget else None)
 
     def latestOffset(self):
-        until = _opt(self.options, "until")
-        return {"start": int(until) if until is not None else self.available()}
+        return {"start": self.available()}
 
     def partitions(self, start: dict, end: dict):
+        self.planned = int(end["start"])
         return _ranges(self.options.get("endpoint", ""), int(start["start"]), int(end["start"]), _limit(self.options),
                        int(_opt(self.options, "pagesPerTask", PAGES_PER_TASK)))
 

@@ -17,7 +17,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealwise.sources.pages import DEFAULT_LIMIT
+from dealwise.sources.pages import DEFAULT_LIMIT, PAGES_PER_FILE
 
 EMPTY = {"data": [], "additional_data": {}}
 DETAIL_BUCKETS = 64
@@ -27,12 +27,19 @@ def _place(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri.removeprefix("file:"))
 
 
-def _page(root: str, key: str) -> dict:
-    fs, path = _place(f"{root}/key={key}")
+def _page(root: str, page: int) -> dict:
+    fs, path = _place(f"{root}/block={page // PAGES_PER_FILE}")
     for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
         if f.base_name.startswith("part-"):
-            with fs.open_input_stream(f.path, compression=None) as body:
-                return json.loads(body.read())
+            with fs.open_input_file(f.path) as source:
+                file = pq.ParquetFile(source)
+                at = file.schema_arrow.get_field_index("page")
+                for g in range(file.num_row_groups):
+                    pages = file.metadata.row_group(g).column(at).statistics
+                    if pages.min <= page <= pages.max:
+                        rows = file.read_row_group(g, columns=["page", "value"], use_threads=False).to_pydict()
+                        if page in rows["page"]:
+                            return json.loads(rows["value"][rows["page"].index(page)])
     return EMPTY
 
 
@@ -45,14 +52,14 @@ def fetch(endpoint: str, params: dict) -> dict:
     """
     root = params["landing"]
     if "start" not in params:
-        key = params.get("cursor") or f"c{params.get('from_page', 0)}"
-        page = _page(root, key)
-        if "to_page" in params and int(key[1:]) + 1 >= int(params["to_page"]):
+        number = int((params.get("cursor") or f"c{params.get('from_page', 0)}")[1:])
+        page = _page(root, number)
+        if "to_page" in params and number + 1 >= int(params["to_page"]):
             page = {**page, "additional_data": {}}
         return page
     start, limit, size = int(params["start"]), int(params.get("limit", DEFAULT_LIMIT)), int(params.get("page_size", DEFAULT_LIMIT))
     first = start // size * size
-    page = _page(root, str(first))
+    page = _page(root, start // size)
     data = page["data"][start - first:start - first + limit]
     more = bool(page["additional_data"].get("pagination", {}).get("more_items_in_collection"))
     rest = start - first + limit < len(page["data"])

@@ -13,10 +13,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from dealwise.operators import history as H
@@ -110,31 +113,53 @@ def stream_backfill(spark: SparkSession, landing: str, schema: StructType | str,
 def drain_paged_stream(spark: SparkSession, fmt: str, options: dict,
                        handle_batch: Callable[[DataFrame, int], None], checkpoint: str,
                        state: tuple[str, str] | None = None) -> int:
-    """C4 C5 for page sources: runs of at most ``maxRowsPerBatch`` records until one finds no more.
+    """C4 C5 T3 for page sources: runs of at most ``maxRowsPerBatch`` records until one finds no more.
+
+    A run is a micro-batch of its own offsets, upsert and checkpoint entry.  The runs share
+    one stream, which is stopped when it finds no more: Spark gives a Python source a single
+    batch for each ``AvailableNow`` stream, and starting one (a Python process that plans the
+    source, the checkpoint's recovery) takes longer than the rows of a run.
 
     The cursor is kept in the sync-state table (``state``: its root and the entity's name;
     beside the checkpoint by default), so a flow that was stopped goes on where it was, and
-    a finished one takes up what has come since.  The state is saved after the batch: if
-    that is lost, the next run names the same end again, which the checkpoint knows.
-    Returns the number of runs that brought rows.
+    a finished one takes up what has come since.  The state is saved after the batch, beside
+    the next one and before that is committed: if it is lost, the next flow names the same
+    end again, which the checkpoint knows.  Returns the number of runs that brought rows.
     """
     from dealwise.sources.paged import OffsetPagesStream
     root, entity = state or (f"{checkpoint}_state", "pages")
-    budget = int(options.get("maxRowsPerBatch", 0)) or None
     cursor = get_sync_state(spark, root, entity)[0] or int(options.get("start", 0))
     runs = 0
-    while True:
-        end = OffsetPagesStream({**options, "start": cursor}).available(budget)
-        if end == cursor:
-            save_sync_state(spark, root, entity, cursor, True)
-            return runs
-
-        def _each(df: DataFrame, batch_id: int) -> None:
-            handle_batch(df, batch_id)
-
-        q = (spark.readStream.format(fmt).options(**{**options, "until": str(end)}).load()
-             .writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        save_sync_state(spark, root, entity, end, False)
-        cursor, runs = end, runs + 1
+    with ThreadPoolExecutor(1) as beside:
+        while (end := OffsetPagesStream({**options, "start": cursor}).available()) != cursor:
+            query, handled = Future(), []  # a first batch may come before the stream is at hand
+
+            def _each(df: DataFrame, batch_id: int) -> None:
+                saved = None
+                if handled:  # the batch before is committed by now
+                    saved = beside.submit(save_sync_state, spark, root, entity, _reached(query.result()), False)
+                try:
+                    handle_batch(df, batch_id)
+                finally:
+                    if saved:
+                        saved.result()
+                handled.append(batch_id)
+
+            query.set_result(spark.readStream.format(fmt).options(**{**options, "start": str(cursor)}).load()
+                             .writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
+                             .trigger(processingTime="0 seconds").start())
+            try:
+                query.result().processAllAvailable()
+            finally:
+                query.result().stop()
+            # without a batch, only the state was behind: the checkpoint was at this end
+            cursor = _reached(query.result()) if handled else end
+            runs += len(handled)
+            save_sync_state(spark, root, entity, cursor, False)
+    save_sync_state(spark, root, entity, cursor, True)
+    return runs
+
+
+def _reached(query: StreamingQuery) -> int:
+    """The end of the stream's last committed batch."""
+    return json.loads(query.lastProgress.json)["sources"][0]["endOffset"]["start"]

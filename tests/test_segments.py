@@ -225,3 +225,20 @@ def test_many_small_batches_stay_few_segments(spark):
     assert len(G.read_manifest(spark, path).segments) <= G.FANOUT + 1
     got = {r["id"]: r["v"] for r in G.read_table_at(spark, path).where("id < 10").collect()}
     assert got == {k: f"n{k}" for k in range(10)}
+
+
+def test_the_latest_version_is_probed_and_not_listed(spark, monkeypatch):
+    path, listed, names = new_path(), [], G.list_names
+    rows = spark.range(3).select("id", F.lit("a").alias("v"))
+    G.create_table(spark, path, rows, ["id"], 1)
+    G.read_manifest(spark, path)
+    monkeypatch.setattr(G, "list_names", lambda *a: listed.append(a) or names(*a))
+    for _ in range(3):
+        G.upsert_table(spark, path, rows, ["id"], compact=False)
+    assert G.read_manifest(spark, path).version == 4 and not listed
+    G._SEEN[path] = 1  # another process wrote the versions since
+    assert G.read_manifest(spark, path).version == 4 and not listed
+    G.vacuum_table(spark, path, keep=1)
+    G._SEEN[path] = 1  # and removed the one that was seen
+    assert G.read_manifest(spark, path).version == 4
+    assert G.read_manifest(spark, new_path()) is None

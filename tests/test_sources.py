@@ -181,3 +181,78 @@ def test_details_read_a_row_group_once_and_small_pages_leave_together(spark, mon
     # a group that two keys share is read again at most once a key; far from once a page
     assert len(reads) < 3_000
     assert [b.num_rows for b in D.page_batches(iter([(1, 0, "abc"), (1, 1, "d"), (2, 0, "e")]), 4)] == [2, 1]
+
+
+def test_runs_share_one_stream_and_keep_their_budget(spark, monkeypatch):
+    """A stream costs a Python process: one for all runs, which are batches of at most the budget."""
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+    root = tempfile.mkdtemp(prefix="dw-paged-")
+    land, state = os.path.join(root, "land"), (os.path.join(root, "state"), "orders")
+    write_keyed_landing(build_page_landing(records(spark, 4700), "id", 500), land)
+    PG.register_sources(spark)
+    starts, seen, start = [], [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **b: starts.append(1) or start(self, *a, **b))
+    runs = drain_paged_stream(spark, "offset_pages", {"landing": land, "maxRowsPerBatch": "1000"},
+                              lambda df, b: seen.append((b, sorted(ids(df)))), os.path.join(root, "ckpt"), state)
+    assert runs == 5 and len(starts) == 1
+    assert seen == [(k, list(range(1000 * k, min(1000 * k + 1000, 4700)))) for k in range(5)]
+    assert get_sync_state(spark, *state) == (4700, True)
+
+
+def test_state_follows_each_committed_run(spark):
+    """The fourth run fails: the state names the end of the third, and a flow goes on from there."""
+    root = tempfile.mkdtemp(prefix="dw-paged-")
+    land, ckpt, state = os.path.join(root, "land"), os.path.join(root, "ckpt"), (os.path.join(root, "state"), "orders")
+    write_keyed_landing(build_page_landing(records(spark, 4700), "id", 500), land)
+    PG.register_sources(spark)
+    seen, fail = [], [3]
+
+    def handle(df, b):
+        if b in fail:
+            raise RuntimeError("table is locked")
+        seen.extend(ids(df))
+
+    options = {"landing": land, "maxRowsPerBatch": "1000"}
+    with pytest.raises(Exception, match="table is locked"):
+        drain_paged_stream(spark, "offset_pages", options, handle, ckpt, state)
+    assert get_sync_state(spark, *state) == (3000, False) and sorted(seen) == list(range(3000))
+    fail.clear()
+    assert drain_paged_stream(spark, "offset_pages", options, handle, ckpt, state) == 2
+    assert sorted(seen) == list(range(4700)) and get_sync_state(spark, *state) == (4700, True)
+
+
+def test_stream_reader_counts_its_budget_from_the_last_planned_batch(monkeypatch):
+    monkeypatch.setattr(PG.saved_pages, "fetch", api(2300))
+    reader = PG.OffsetPagesStream({"maxrowsperbatch": "1000", "start": "300"})
+    assert reader.latestOffset() == reader.latestOffset() == {"start": 1300}
+    reader.partitions({"start": 300}, {"start": 1300})
+    assert reader.latestOffset() == {"start": 2300}
+    reader.partitions({"start": 1300}, {"start": 2300})
+    assert reader.latestOffset() == {"start": 2300}
+    assert PG.OffsetPagesStream({}).latestOffset() == {"start": 2300}
+
+
+def test_keyed_landing_holds_many_pages_a_file_and_a_fetch_reads_one(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="dw-paged-")
+    pages = build_page_landing(records(spark, 1500), "id", 10)
+    write_keyed_landing(pages, os.path.join(root, "o"))
+    write_keyed_landing(build_page_landing(records(spark, 1500), "id", 10, cursor=True), os.path.join(root, "c"))
+    files = [f for d, _, names in os.walk(os.path.join(root, "o")) for f in names if f.endswith(".parquet")]
+    assert len(files) == 3  # 150 pages, 64 to a file
+    read = []
+
+    class Counted(saved_pages.pq.ParquetFile):
+        def read_row_group(self, g, **kwargs):
+            table = super().read_row_group(g, **kwargs)
+            read.append(table.num_rows)
+            return table
+
+    monkeypatch.setattr(saved_pages.pq, "ParquetFile", Counted)
+    for row in pages.collect():
+        body = json.loads(row["value"])
+        got = saved_pages.fetch("/x", {"landing": os.path.join(root, "o"), "start": row["key"], "limit": 10, "page_size": 10})
+        assert got["data"] == body["data"]
+        chained = saved_pages.fetch("/x", {"landing": os.path.join(root, "c"), "cursor": f"c{row['page']}"})
+        assert chained["data"] == body["data"]
+    assert read == [1] * 300
+    assert saved_pages.fetch("/x", {"landing": os.path.join(root, "o"), "start": 1500, "page_size": 10})["data"] == []
